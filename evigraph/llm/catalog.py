@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash
+from . import language, mixing, notices, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op3_toxicity_neighbours": toxicity.op3_toxicity_neighbours,
+    "op4_quality_ranking": quality.op4_quality_ranking,
+    "op6_language_ppm": language.op6_language_ppm,
     "op7_poisson_mixing": mixing.op7_poisson_mixing,
+    "op10_license_notices": notices.op10_license_notices,
 }
 
 ORACLE_SQL = {
