@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from . import language, mixing, notices, quality, simhash, toxicity
+from . import chat, html_text, language, mixing, notices, quality, simhash, tiling, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_reply_trees": chat.op2_reply_trees,
     "op3_toxicity_neighbours": toxicity.op3_toxicity_neighbours,
     "op4_quality_ranking": quality.op4_quality_ranking,
+    "op5_impact_topk": topk.op5_impact_topk,
     "op6_language_ppm": language.op6_language_ppm,
     "op7_poisson_mixing": mixing.op7_poisson_mixing,
+    "op8_html_text": html_text.op8_html_text,
+    "op9_benchmark_tiling": tiling.op9_benchmark_tiling,
     "op10_license_notices": notices.op10_license_notices,
 }
 
 ORACLE_SQL = {
+    "op2_reply_trees": chat.ORACLE_SQL,
+    "op5_impact_topk": topk.ORACLE_SQL,
     "op7_poisson_mixing": mixing.ORACLE_SQL,
 }
