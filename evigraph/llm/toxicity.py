@@ -32,8 +32,9 @@ from . import common
 
 #: Labelled documents that examples and vocabulary come from at most.
 MOST_LABELLED = 20_000
-#: Likelihood ratio (chi-square, one degree of freedom) that a term needs, and documents it must be in.
-LEAST_RATIO, LEAST_DOCS = 24.0, 3
+#: Likelihood ratio (chi-square, one degree of freedom) that a term needs, documents it must be in,
+#: and how many times as frequent it must be in toxic documents as in others.
+LEAST_RATIO, LEAST_DOCS, LEAST_LIFT = 24.0, 3, 3.0
 MOST_TERMS = 20_000
 NEIGHBOURS, BLOCK, PRIOR, THRESHOLD = 15, 64, 0.5, 0.3
 
@@ -80,7 +81,7 @@ def vocabulary(examples: DataFrame, most: int = MOST_TERMS) -> list[str]:
 
     found = examples.select("text", "y").mapInPandas(counts, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     ratio = " + ".join(f"if({o} > 0, 2 * {o} * ln({o} / ({e})), 0)" for o, e in (("a", f"{n}D * (a + b) / {n + m}"), (f"({n}D - a)", f"{n}D * ({n + m}D - a - b) / {n + m}"), ("b", f"{m}D * (a + b) / {n + m}"), (f"({m}D - b)", f"{m}D * ({n + m}D - a - b) / {n + m}")))
-    kept = found.where(f"a >= {LEAST_DOCS} and a * {m}D > b * {n}D").withColumn("g", F.round(F.expr(ratio), 6)).where(f"g >= {LEAST_RATIO}")
+    kept = found.where(f"a >= {LEAST_DOCS} and a * {m}D > {LEAST_LIFT}D * b * {n}D").withColumn("g", F.round(F.expr(ratio), 6)).where(f"g >= {LEAST_RATIO}")
     return [r.term for r in kept.orderBy(F.desc("g"), "term").limit(most).select("term").collect()]
 
 
@@ -160,8 +161,12 @@ class Index:
             for t, w in zip(ids, q):
                 if (own := self.lists.get((t, b))) is not None:
                     sums[own[0]] += w * own[1]
-            hits = np.flatnonzero(sums > floor - 1e-9)
-            top = sorted(top + [(round(float(sums[i]), 12), int(b) * BLOCK + int(i)) for i in hits], key=lambda x: (-x[0], x[1]))[:k]
+            least = max(floor, top[-1][0] if len(top) == k else 0.0)
+            hits = np.flatnonzero(sums > least - 1e-9)
+            if len(hits) > k:
+                hits = hits[np.argsort(-sums[hits].round(12), kind="stable")[:k]]
+            if len(hits):
+                top = sorted(top + [(round(float(sums[i]), 12), int(b) * BLOCK + int(i)) for i in hits], key=lambda x: (-x[0], x[1]))[:k]
         if group > 0 and self.plain:
             top = [x for x in top if x[0] >= group] + [x for x in top if x[0] < group][: max(0, k - self.plain - sum(x[0] >= group for x in top))]
             return top, group, min(self.plain, k - sum(x[0] >= group for x in top))
