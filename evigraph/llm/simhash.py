@@ -92,6 +92,16 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
     return homes.join(met, "anchor").where(F.expr(f"a < b and bit_count(a ^ b) <= {bits}")).select("a", "b")
 
 
+def _named(docs: DataFrame, bits: int, words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
+    signed = common.stored(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), words).alias("fp")))
+    fps = common.cut(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(links(fps, bits))  # (node, root), of linked fingerprints only
+    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return signed, rooted.join(least, "root").select("fp", "root", "component_id")
+
+
 def classes(docs: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, fp, component_id), the smallest id reachable through links.
 
@@ -99,15 +109,25 @@ def classes(docs: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_i
     component's smallest id unless it has no other. Other columns of ``docs`` are not used, so
     their names cannot clash. An empty table gives an empty one.
     """
-    signed = common.stored(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), words).alias("fp")))
-    fps = common.cut(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(fps, bits))  # (node, root), of linked fingerprints only
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    signed, named = _named(docs, bits, words, id_col, text_col)
     return signed.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(docs: DataFrame, bits: int = 3, words: int = 3) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...), with their columns, that are the first of their component: one for each.
+
+    Of repeated rows one stays, as of documents without an id in a component that has no other.
+    """
+    signed, named = _named(docs, bits, words, "doc_id", "text")
+    named = common.cut(named)
+    rows, ids = signed.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        kept = named.select(F.col("component_id").alias("kept")).distinct()
+        return docs.join(kept, docs["doc_id"] == kept["kept"], "left_semi")
+    marked = docs.select(F.struct("*").alias("row"), fingerprints(F.col("text"), words).alias("mark")).join(named, F.expr("mark = fp"))
+    return marked.where("row.doc_id <=> component_id").dropDuplicates(["root"]).select("row.*")
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = classes(common.table(spark, sf_dir, "documents"))

@@ -96,7 +96,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     block of vectors; a block gives k rows for each query, and the best of these are the result.
     """
     vectors = common.cut(vectors.where("v is not null and vec_id is not null").select("vec_id", "v", F.size("v").alias("dims")))
-    queries = common.cut(queries.where("v is not null and vec_id is not null").select("vec_id", "v", F.size("v").alias("dims")).distinct())
+    queries = common.cut(queries.where("v is not null and vec_id is not null").select("vec_id", "v", F.size("v").alias("dims"), F.xxhash64("v").alias("mark")).distinct())
     blocks, groups = -(-vectors.count() // BLOCK_ROWS) or 1, -(-queries.count() // QUERY_ROWS) or 1
     deal = lambda n: F.pmod(F.xxhash64("vec_id", "v", F.rand(1)), F.lit(n)).cast("int")
     left = common.cut(vectors.withColumn("block", deal(blocks))).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
@@ -107,17 +107,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         if len(own) and len(asked):
             own = own.sort_values("vec_id", kind="stable")
             ids, index = own["vec_id"].to_numpy(), ImpactIndex(np.stack(own["v"].to_numpy()).astype(np.int64))
-            for query_id, q in zip(asked["vec_id"], asked["v"]):
+            for query_id, mark, q in zip(asked["vec_id"], asked["mark"], asked["v"]):
                 same = int((ids == query_id).sum())
                 rows, scores = index.search(np.asarray(q, np.int64), k + same)
                 other = ids[rows] != query_id
                 rows, scores = rows[other], scores[other]
                 best = np.lexsort((ids[rows], -scores))[:k]
-                found.append(pd.DataFrame({"query_id": query_id, "q": [q] * len(best), "vec_id": ids[rows[best]], "score": scores[best]}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []})
+                found.append(pd.DataFrame({"query_id": query_id, "mark": mark, "vec_id": ids[rows[best]], "score": scores[best]}))
+        return pd.concat(found) if found else pd.DataFrame(columns=["query_id", "mark", "vec_id", "score"], dtype="int64")
 
-    met = left.groupBy("dims", "group", "block").cogroup(right.groupBy("dims", "group", "block")).applyInPandas(meet, "query_id long, q array<long>, vec_id long, score long")
-    order = W.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
+    met = left.groupBy("dims", "group", "block").cogroup(right.groupBy("dims", "group", "block")).applyInPandas(meet, "query_id long, mark long, vec_id long, score long")
+    order = W.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -52,6 +52,10 @@ def test_classes(spark):
     got = sorted((r.doc_id or -1, r.component_id) for r in simhash.classes(docs).collect())
     assert got == [(-1, 3), (3, 3), (3, 3), (5, 3), (7, 7), (8, 8), (9, 8)]
     assert simhash.classes(docs.limit(0)).count() == 0
+    assert sorted((r.doc_id, r.text) for r in simhash.representatives(docs).collect()) == [(3, "A b C d"), (7, "unlike all others here"), (8, "")]
+    some = docs.where("doc_id in (5, 9, 8, 7)")
+    assert sorted(r.doc_id for r in simhash.representatives(some).collect()) == [5, 7, 8] and simhash.representatives(some).columns == docs.columns
+    assert sorted(r.text for r in simhash.representatives(docs.where("doc_id is null")).collect()) == ["a b c d"]
 
 
 def test_components_of_a_chain_a_star_and_a_cycle(spark):
