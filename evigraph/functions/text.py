@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Every Unicode white space and the four ASCII separators.
 WHITE = r"(?U)[\s\x1c-\x1f]+"
@@ -34,7 +35,7 @@ def company_identity(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(identity(c), rf"\b(?:{'|'.join(COMPANY_WORDS)})\b", " "), " +", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     """Unicode NFKC, for which there is no built-in."""
     return values.str.normalize("NFKC")
