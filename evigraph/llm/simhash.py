@@ -89,7 +89,8 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
     filed = common.cut(_anchors(fps))
     homes = filed.select(F.col("home").alias("anchor"), F.col("fp").alias("a"))
     met = filed.select(F.explode("anchors").alias("anchor"), F.col("fp").alias("b"))
-    return homes.join(met, "anchor").where(F.expr(f"a < b and bit_count(a ^ b) <= {bits}")).select("a", "b")
+    # a partition's homes, one row for each fingerprint and half, are small: hashed, so that replicas need no sort
+    return met.join(homes.hint("shuffle_hash"), "anchor").where(F.expr(f"a < b and bit_count(a ^ b) <= {bits}")).select("a", "b")
 
 
 def _named(docs: DataFrame, bits: int, words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -110,7 +111,7 @@ def classes(docs: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_i
     their names cannot clash. An empty table gives an empty one.
     """
     signed, named = _named(docs, bits, words, id_col, text_col)
-    return signed.join(named, "fp").select("doc_id", "fp", "component_id")
+    return signed.join(named.hint("shuffle_hash"), "fp").select("doc_id", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, bits: int = 3, words: int = 3) -> DataFrame:
@@ -123,7 +124,7 @@ def representatives(docs: DataFrame, bits: int = 3, words: int = 3) -> DataFrame
     rows, ids = signed.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:
         kept = named.select(F.col("component_id").alias("kept")).distinct()
-        return docs.join(kept, docs["doc_id"] == kept["kept"], "left_semi")
+        return docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == kept["kept"], "left_semi")  # ids only are hashed; texts are not sorted
     marked = docs.select(F.struct("*").alias("row"), fingerprints(F.col("text"), words).alias("mark")).join(named, F.expr("mark = fp"))
     return marked.where("row.doc_id <=> component_id").dropDuplicates(["root"]).select("row.*")
 
