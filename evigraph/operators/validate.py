@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evigraph.functions import props as P
-
 
 def known_types(nodes: DataFrame, types: DataFrame) -> DataFrame:
     """The nodes whose type is in the ontology."""
