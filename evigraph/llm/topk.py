@@ -11,8 +11,6 @@ can still be among the k best, or at the last segment, and these are rescored ex
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
