@@ -1,21 +1,19 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, from a block-max inverted index.
-
-Terms are a word and its beginnings of four and five characters. The vocabulary is learned: the
-terms whose document counts among labelled examples show, by the likelihood ratio, that they go with
-toxic ones; near copies count once. All other words together are one more term, so that it matters
-how much of a text the vocabulary takes. Idf is counted over all documents.
-
-The index holds, term by term and for blocks of consecutive examples, postings and the largest weight
-in the block. A query bounds each block by the sum of its weights times those maxima, visits blocks
-by falling bound and stops when the next bound is below the k-th cosine found: the others cannot
-enter. Examples without any term of the vocabulary all point the same way; they are kept as one
-group, which takes the votes left to it at its cosine with the share of toxic ones among it. The
-neighbours vote with their cosine as weight, against ``PRIOR`` votes at that group's rate.
+"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, over every term of the examples.
+
+Terms are a word and its beginnings of four and five characters. Each term that an example has is
+indexed, with idf counted over all documents. Terms whose document counts among the examples show,
+by the likelihood ratio, that they go with toxic ones weigh more, by the root of the ratio (near
+copies count once there); no term is left out, so every text that shares a term with an example is
+searched for. A word that no example has is no dimension: it would scale all of a text's cosines alike.
+
+A query's products with the examples' common terms are one matrix product of a batch, those with
+rare terms come from postings; both are in single precision, and all examples within ``MARGIN`` of
+the k-th are weighed again in double precision, so that the neighbours are exact. They vote with
+their cosine as weight, against ``PRIOR`` votes at the examples' rate.
 """
 
 from __future__ import annotations
 
-import math
 import pickle
 import re
 import zlib
@@ -24,19 +22,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled documents that examples and vocabulary come from at most.
+#: Labelled documents that examples come from at most.
 MOST_LABELLED = 20_000
-#: Likelihood ratio (chi-square, one degree of freedom) that a term needs, documents it must be in,
-#: and how many times as frequent it must be in toxic documents as in others.
+#: Likelihood ratio (chi-square, one degree of freedom) that a term needs to weigh more, documents it
+#: must be in, and how many times as frequent it must be in toxic documents as in others.
 LEAST_RATIO, LEAST_DOCS, LEAST_LIFT = 24.0, 3, 3.0
-MOST_TERMS = 20_000
-NEIGHBOURS, BLOCK, PRIOR, THRESHOLD = 15, 64, 0.5, 0.3
+#: How much more per root of the ratio; chosen by leaving each example out in turn, sf0.1.
+BOOST = 1 / 8
+NEIGHBOURS, PRIOR, THRESHOLD = 15, 0.5, 0.3
+#: Most terms in the matrix, share of examples a term needs to be there, queries at a time.
+DENSE, DENSE_SHARE, BATCH = 1024, 1 / 32, 128
+#: Far above the error of single precision in a cosine.
+MARGIN = 1e-5
 
 _SPLIT = re.compile(r"[^\W\d_]+")
 
@@ -59,160 +63,251 @@ def signature(text: str) -> int:
     return min(map(zlib.crc32, map(b" ".join, zip(words, words[1:], words[2:]))), default=zlib.crc32(b" ".join(words)))
 
 
-def vocabulary(examples: DataFrame, most: int = MOST_TERMS) -> list[str]:
-    """The terms of ``examples`` (doc_id, text, y) that go with y = 1, counted on the executors; at most ``most``, strongest first.
+def vocabulary(examples: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Every term of ``examples`` (doc_id, text, y), in order, and by how much it weighs more: 1 but for terms that go with y = 1.
 
-    Of examples with equal label and signature the one with the smallest id counts.
+    In the counts, of examples with equal label and signature the one with the smallest id counts.
     """
     signed = F.pandas_udf(lambda texts: texts.map(signature), "long")
-    firsts = examples.select("doc_id", "y", signed("text").alias("s")).groupBy("s", "y").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    examples = examples.dropDuplicates(["doc_id"]).join(F.broadcast(firsts), "doc_id")
-    size = {r.y: r["count"] for r in examples.groupBy("y").count().collect()}
+    firsts = examples.select("doc_id", "y", signed("text").alias("s")).groupBy("s", "y").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(True).alias("first")).distinct()
+    rows = examples.join(F.broadcast(firsts), "doc_id", "left")
+    size = {r.y: r["count"] for r in rows.where("first").dropDuplicates(["doc_id"]).groupBy("y").count().collect()}
     n, m = size.get(1, 0), size.get(0, 0)
-    if not n or not m:
-        return []
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            seen: Counter = Counter()
-            for text, y in zip(rows["text"], rows["y"]):
-                seen.update((t, y) for t in terms(text))
-            yield pd.DataFrame([(t, n if y else 0, 0 if y else n) for (t, y), n in seen.items()], columns=["term", "a", "b"])
-
-    found = examples.select("text", "y").mapInPandas(counts, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    ratio = " + ".join(f"if({o} > 0, 2 * {o} * ln({o} / ({e})), 0)" for o, e in (("a", f"{n}D * (a + b) / {n + m}"), (f"({n}D - a)", f"{n}D * ({n + m}D - a - b) / {n + m}"), ("b", f"{m}D * (a + b) / {n + m}"), (f"({m}D - b)", f"{m}D * ({n + m}D - a - b) / {n + m}")))
-    kept = found.where(f"a >= {LEAST_DOCS} and a * {m}D > {LEAST_LIFT}D * b * {n}D").withColumn("g", F.round(F.expr(ratio), 6)).where(f"g >= {LEAST_RATIO}")
-    return [r.term for r in kept.orderBy(F.desc("g"), "term").limit(most).select("term").collect()]
+            seen: dict[str, list[int]] = {}
+            for text, y, counted in zip(rows["text"], rows["y"], rows["counted"]):
+                for t in terms(text):
+                    own = seen.setdefault(t, [0, 0])
+                    if counted:
+                        own[0 if y else 1] += 1
+            yield pd.DataFrame([(t, *x) for t, x in seen.items()], columns=["term", "a", "b"])
+
+    counted = F.coalesce("first", F.lit(False)) & (F.row_number().over(W.partitionBy("doc_id").orderBy("text")) == 1)
+    found = rows.select("text", "y", counted.alias("counted")).mapInPandas(counts, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    strong = F.lit(0.0)
+    if n and m:
+        ratio = " + ".join(f"if({o} > 0, 2 * {o} * ln({o} / ({e})), 0)" for o, e in (("a", f"{n}D * (a + b) / {n + m}"), (f"({n}D - a)", f"{n}D * ({n + m}D - a - b) / {n + m}"), ("b", f"{m}D * (a + b) / {n + m}"), (f"({m}D - b)", f"{m}D * ({n + m}D - a - b) / {n + m}")))
+        strong = F.when(F.expr(f"a >= {LEAST_DOCS} and a * {m}D > {LEAST_LIFT}D * b * {n}D"), F.round(F.expr(ratio), 6)).otherwise(0.0)
+    rows = found.select("term", strong.alias("g")).toArrow().sort_by("term")
+    g = rows["g"].to_numpy()
+    return rows["term"].to_pylist(), np.where(g >= LEAST_RATIO, 1 + BOOST * np.sqrt(np.maximum(g, 0)), 1.0)
 
 
 class Vocabulary:
-    """Numbers the terms it knows; the last number stands for all other words."""
+    """Numbers the terms it knows. Kept as one string until it is used, so that little is held and sent."""
 
     def __init__(self, known: list[str]):
-        self.words = {t[1:]: i for i, t in enumerate(known) if t[0] == "="}
-        self.starts = {t[1:]: i for i, t in enumerate(known) if t[0] == "^"}
         self.size = len(known)
-
-    def vector(self, text: str | None) -> tuple[list[int], list[int]]:
+        self.joined = "\n".join(known)
+        self.number: dict[str, int] = {}
+        self.seen: dict[str, tuple[int, ...]] = {}
+
+    def of_word(self, word: str) -> tuple[int, ...]:
+        """The numbers of the known terms of a word; of known words they are remembered."""
+        if (ids := self.seen.get(word)) is None:
+            if not self.number and self.size:
+                self.number = {t: i for i, t in enumerate(self.joined.split("\n"))}
+            made = ["=" + word, *(["^" + word[:4]] if len(word) > 4 else []), *(["^" + word[:5]] if len(word) > 5 else [])]
+            ids = tuple(i for t in made if (i := self.number.get(t)) is not None)
+            if made[0] in self.number:
+                self.seen[word] = ids
+        return ids
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the terms in a whole text, ascending, and how often each stands there."""
         found: dict[int, int] = {}
-        words, starts, other = self.words, self.starts, 0
-        for w, n in Counter(_SPLIT.findall((text or "").lower())).items():
-            known = False
-            for i in (words.get(w), starts.get(w[:4]) if len(w) > 4 else None, starts.get(w[:5]) if len(w) > 5 else None):
-                if i is not None:
-                    found[i] = found.get(i, 0) + n
-                    known = True
-            other += 0 if known else n
-        ids = sorted(found)
-        counts = [found[i] for i in ids]
-        return (ids + [self.size], counts + [other]) if other else (ids, counts)
-
-
-def vectors(text: Column, known: Vocabulary) -> Column:
-    @F.pandas_udf("ids array<int>, counts array<int>")
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([known.vector(t) for t in texts], columns=["ids", "counts"], dtype=object)
+        for word, n in Counter(_SPLIT.findall((text or "").lower())).items():
+            for i in self.of_word(word):
+                found[i] = found.get(i, 0) + n
+        ids, counts = np.fromiter(found.keys(), np.int32, len(found)), np.fromiter(found.values(), np.int32, len(found))
+        order = np.argsort(ids)
+        return ids[order], counts[order]
 
-    return udf(text)
+    def numbers(self, text: str | None) -> list[int]:
+        """The numbers of the terms in a whole text, each once."""
+        return list(set().union(*map(self.of_word, set(_SPLIT.findall((text or "").lower())))))
+
+
+def pack(ids: list[int], counts: list[int]) -> bytes:
+    """A vector in few bytes: steps between numbers, and counts, byte by byte of their places."""
+    both = np.array([np.diff(np.asarray(ids, np.int32), prepend=np.int32(0)), np.asarray(counts, np.int32)], np.int32)
+    return zlib.compress(np.ascontiguousarray(both.view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1)).tobytes(), 1) if len(ids) else b""
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(2, 4, -1)
+    steps, counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int32).reshape(2, -1)
+    return np.cumsum(steps, dtype=np.int32), counts
 
 
 class Index:
-    """Examples as unit TF-IDF vectors, in postings by term and block with each block's largest weight."""
+    """Examples as unit TF-IDF vectors: a matrix of the common terms, postings of the others."""
 
-    def __init__(self, examples: list[tuple[int, list[int], list[int], int]], idf: np.ndarray):
-        """``examples``: (doc_id, term numbers, counts, y), in the order of their ids; ``idf`` has one for each term and the rest."""
+    def __init__(self, examples: list[tuple], idf: np.ndarray):
+        """``examples``: (doc_id, term numbers, counts, y) or (doc_id, packed, y), in the order of their ids; ``idf`` has the weight of each term."""
         self.idf = idf
-        used, plain = [], []
-        for x in examples:
-            (used if len(x[1]) and x[1][0] < len(idf) - 1 else plain).append(x)
-        self.plain_ids = [x[0] for x in plain[:NEIGHBOURS]]
-        self.plain_y = [x[3] for x in plain[:NEIGHBOURS]]
-        self.plain = len(plain)
-        rate = sum(x[3] for x in examples) / max(1, len(examples))
-        self.base = (sum(x[3] for x in plain) + rate) / (len(plain) + 1)
-        self.ids = np.array([x[0] for x in used], np.int64)
-        self.y = np.array([x[3] for x in used], float)
-        self.blocks = -(-len(used) // BLOCK)
-        self.highest = np.zeros((len(idf), self.blocks))
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for i, (_, ids, counts, _) in enumerate(used):
-            for t, w in zip(ids, self.unit(ids, counts)):
-                lists.setdefault((t, i // BLOCK), []).append((i % BLOCK, w))
-                self.highest[t, i // BLOCK] = max(self.highest[t, i // BLOCK], w)
-        self.lists = {k: (np.array([a for a, _ in v]), np.array([b for _, b in v])) for k, v in lists.items()}
+        rows = [(x[0], x[1] if len(x) == 3 else pack(x[1], x[2]), x[-1]) for x in examples]
+        self.base = float(sum(y for _, _, y in rows) / max(1, len(rows)))
+        rows = [x for x in rows if x[1]]  # others have no direction
+        self.ids = np.array([x[0] for x in rows], np.int64)
+        self.y = np.array([x[2] for x in rows], float)
+        self.packed = [x[1] for x in rows]
+        self.ready = False
+
+    def prepare(self) -> None:
+        """Matrix and postings; made where the index is used, so that less is sent."""
+        n, size = len(self.packed), len(self.idf)
+        alike: dict[bytes, int] = {}  # equal vectors are weighed once
+        self.group = np.array([alike.setdefault(x, i) for i, x in enumerate(self.packed)], np.int64)
+        length, df, most = np.zeros(n, np.int64), np.zeros(size, np.int64), 0
+        for i, x in enumerate(self.packed):
+            ids, counts = unpack(x)
+            length[i], most = len(ids), max(most, int(counts.max()))
+            df[ids] += 1
+        common_terms = np.argsort(-df, kind="stable")[:DENSE]
+        common_terms = common_terms[df[common_terms] > n * DENSE_SHARE]
+        self.column = np.full(size, -1, np.int32)
+        self.column[common_terms] = np.arange(len(common_terms))
+        df[common_terms] = 0
+        self.at, self.start = (np.concatenate([[0], np.cumsum(x)]).astype(np.int64) for x in (length, df))
+        self.matrix = np.zeros((len(common_terms), n), np.float32)
+        self.terms, self.counts, self.norm = np.zeros(self.at[-1], np.int32), np.zeros(self.at[-1], np.min_scalar_type(most)), np.zeros(n)
+        self.owners, self.weights = np.zeros(self.start[-1], np.int32), np.zeros(self.start[-1], np.float32)
+        free = self.start[:-1].copy()
+        for i, x in enumerate(self.packed):  # one vector after the other, so that nothing large is made besides
+            ids, counts = unpack(x)
+            self.terms[self.at[i] : self.at[i + 1]], self.counts[self.at[i] : self.at[i + 1]] = ids, counts
+            w = (1 + np.log(counts)) * self.idf[ids]
+            self.norm[i] = np.sqrt((w * w).sum())
+            w /= self.norm[i]
+            place = self.column[ids]
+            self.matrix[place[place >= 0], i] = w[place >= 0]
+            to = free[ids[place < 0]]
+            self.owners[to], self.weights[to] = i, w[place < 0]
+            free[ids[place < 0]] += 1
+        self.scratch = np.zeros(size)
+        self.ready = True
 
     def unit(self, ids: list[int], counts: list[int]) -> np.ndarray:
         w = (1 + np.log(np.array(counts, float))) * self.idf[ids]
         return w / np.sqrt((w * w).sum())
 
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[float, int]]]:
+        """The k nearest examples of each query, (cosine, number), ties to the smaller number; only cosines above 0."""
+        if not self.ready:
+            self.prepare()
+        out: list[list[tuple[float, int]]] = []
+        for a in range(0, len(queries), BATCH):
+            part = [(np.asarray(i), self.unit(i, c)) if len(i) else (np.zeros(0, np.int32), np.zeros(0)) for i, c in queries[a : a + BATCH]]
+            dense = np.zeros((len(part), len(self.matrix)), np.float32)
+            for row, (ids, q) in enumerate(part):
+                place = self.column[ids]
+                dense[row, place[place >= 0]] = q[place >= 0]
+            out += [self._top(ids, q, s, k) for (ids, q), s in zip(part, dense @ self.matrix)]
+        return out
+
+    def _top(self, ids: np.ndarray, q: np.ndarray, sums: np.ndarray, k: int) -> list[tuple[float, int]]:
+        n = len(self.ids)
+        if not n or not len(ids):
+            return []
+        rare = self.column[ids] < 0
+        lo, hi = self.start[ids[rare]], self.start[ids[rare] + 1]
+        some = hi > lo
+        lo, hi, w = lo[some], hi[some], q[rare][some]
+        if len(lo):
+            owners = np.concatenate([self.owners[x:y] for x, y in zip(lo.tolist(), hi.tolist())])
+            weights = np.concatenate([self.weights[x:y] for x, y in zip(lo.tolist(), hi.tolist())])
+            sums = sums + np.bincount(owners, weights * np.repeat(w, hi - lo), minlength=n)
+        least = np.partition(sums, n - k)[n - k] if n > k else 0.0
+        near = np.flatnonzero(sums >= max(least - MARGIN, 1e-9))
+        self.scratch[ids] = q
+        exact: dict[int, float] = {}
+        for g in set(self.group[near].tolist()):
+            x, y = self.at[g], self.at[g + 1]
+            t = self.terms[x:y]
+            exact[g] = round(float((self.scratch[t] * (1 + np.log(self.counts[x:y].astype(float))) * self.idf[t]).sum() / self.norm[g]), 12)
+        self.scratch[ids] = 0
+        return sorted(((exact[g], i) for i, g in zip(near.tolist(), self.group[near].tolist())), key=lambda x: (-x[0], x[1]))[:k]
+
     def nearest(self, ids: list[int], counts: list[int], k: int = NEIGHBOURS) -> tuple[list[tuple[float, int]], float, int]:
-        """The k nearest examples: (cosine, number) of those with terms, ties to the smaller number; then cosine and votes of the group without."""
-        q = self.unit(ids, counts)
-        group = round(float(q[-1]), 12) if ids[-1] == len(self.idf) - 1 else 0.0
-        floor = group if self.plain >= k else 0.0  # no lower cosine can enter
-        bounds = q @ self.highest[ids]
-        top: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] < max(floor, top[-1][0] if len(top) == k else 0.0) - 1e-9 or bounds[b] <= 0:
-                break
-            sums = np.zeros(BLOCK)
-            for t, w in zip(ids, q):
-                if (own := self.lists.get((t, b))) is not None:
-                    sums[own[0]] += w * own[1]
-            least = max(floor, top[-1][0] if len(top) == k else 0.0)
-            hits = np.flatnonzero(sums > least - 1e-9)
-            if len(hits) > k:
-                hits = hits[np.argsort(-sums[hits].round(12), kind="stable")[:k]]
-            if len(hits):
-                top = sorted(top + [(round(float(sums[i]), 12), int(b) * BLOCK + int(i)) for i in hits], key=lambda x: (-x[0], x[1]))[:k]
-        if group > 0 and self.plain:
-            top = [x for x in top if x[0] >= group] + [x for x in top if x[0] < group][: max(0, k - self.plain - sum(x[0] >= group for x in top))]
-            return top, group, min(self.plain, k - sum(x[0] >= group for x in top))
-        return [x for x in top if x[0] > 0], 0.0, 0
-
-    def score(self, ids: list[int], counts: list[int]) -> tuple[float, list[dict]]:
-        if not ids or ids[0] == len(self.idf) - 1:
-            return self.base, []
-        near, group, votes = self.nearest(ids, counts)
-        weight = sum(c for c, _ in near) + group * votes
-        score = (sum(c * self.y[i] for c, i in near) + (group * votes + PRIOR) * self.base) / (weight + PRIOR)
-        evidence = [{"doc_id": int(self.ids[i]), "cosine": c, "toxic": int(self.y[i])} for c, i in near]
-        evidence += [{"doc_id": int(i), "cosine": group, "toxic": int(y)} for i, y in zip(self.plain_ids[:votes], self.plain_y)]
-        return float(min(1.0, max(0.0, score))), evidence
+        """As :meth:`search`, of one query; then cosine and votes of examples outside the index, which has all of them."""
+        return self.search([(ids, counts)], k)[0], 0.0, 0
+
+    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[dict]]]:
+        out = []
+        for near in self.search(queries):
+            score = (sum(c * self.y[i] for c, i in near) + PRIOR * self.base) / (sum(c for c, _ in near) + PRIOR)
+            out.append((float(min(1.0, max(0.0, score))), [{"doc_id": int(self.ids[i]), "cosine": c, "toxic": int(self.y[i])} for c, i in near]))
+        return out
+
+    def score(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, list[dict]]:
+        return self.scores([(ids, counts)])[0]
+
+
+_loaded: dict[int, object] = {}
+
+
+def _here(shared: Broadcast):
+    """What ``shared`` holds, unpacked once in a Python worker."""
+    value = shared.value
+    if id(value) not in _loaded or _loaded[id(value)][0] is not value:
+        _loaded.clear()
+        _loaded[id(value)] = (value, pickle.loads(value))
+    return _loaded[id(value)][1]
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tuple[Vocabulary, Index]:
     """Vocabulary and index from at most ``most`` labelled documents whose crc32 modulo 4 is not 2, idf from all of ``docs``.
 
     Documents are counted on the executors; what comes to the driver is a row for each term of the
-    vocabulary, at most ``MOST_TERMS``, and the examples' vectors. Without labels of both kinds the
-    vocabulary is empty.
+    examples, and the examples' vectors as packed numbers.
     """
     examples = common.cut(common.labelled_sample(docs, labels, "toxic", 4, 2, most))
-    known = Vocabulary(vocabulary(examples))
-    in_docs = docs.select(F.explode(vectors(F.col("text"), known)["ids"]).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    df = {r.t: r.n for r in in_docs.collect()} if known.size else {}
-    n = docs.count()
-    idf = np.array([math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in range(known.size + 1)])
-    rows = examples.select("doc_id", "y", vectors(F.col("text"), known).alias("v")).select("doc_id", "v.ids", "v.counts", "y").orderBy("doc_id", "ids", "counts").limit(2 * most).collect()
-    return known, Index([(r.doc_id, list(r.ids), list(r.counts), r.y) for r in rows], idf)
+    found, strength = vocabulary(examples)
+    known = Vocabulary(found)
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(known))
+
+    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here = _here(shared)
+        df = np.zeros(here.size, np.int64)
+        for rows in batches:
+            for text in rows["text"]:
+                df[here.numbers(text)] += 1
+        yield pd.DataFrame({"t": np.flatnonzero(df), "n": df[df > 0]})
+
+    df = np.zeros(known.size, np.int64)
+    n = 0
+    if known.size:
+        n = docs.count()
+        counted = docs.select("text").mapInPandas(frequencies, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+        df[counted["t"].to_numpy()] = counted["n"].to_numpy()
+
+    @F.pandas_udf("binary")
+    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        here = _here(shared)
+        for texts in batches:
+            yield texts.map(lambda t: pack(*here.vector(t)))
+
+    rows = examples.select("doc_id", packed("text").alias("v"), "y").toArrow()
+    vectors = sorted(zip(*(rows[c].to_pylist() for c in ("doc_id", "v", "y"))))
+    return known, Index(vectors, (np.log((1 + n) / (1 + df)) + 1) * strength)
 
 
 def score_column(text: Column, model: tuple[Vocabulary, Index], spark) -> Column:
     """Score from 0 to 1 and evidence (doc_id, cosine, toxic) of each whole text, as a struct.
 
-    A null text is empty. A text without a known term has the share of toxic ones among such
-    examples as score, and no evidence. Equal cosines go to the example that comes first by id.
+    A null text is empty. A text that shares no term with an example has the examples' share of toxic
+    ones as score, and no evidence. Equal cosines go to the example that comes first by id.
     """
     shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
     @F.pandas_udf("score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, index = pickle.loads(shared.value)
+        known, index = _here(shared)
         for texts in batches:
-            yield pd.DataFrame([index.score(*known.vector(t)) for t in texts], columns=["score", "evidence"], dtype=object)
+            yield pd.DataFrame(index.scores([known.vector(t) for t in texts]), columns=["score", "evidence"], dtype=object)
 
     return udf(text)
 

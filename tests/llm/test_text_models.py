@@ -62,6 +62,21 @@ def test_block_max_index_finds_the_exact_neighbours():
         assert np.allclose(sorted([c for c, _ in near] + [group] * votes, reverse=True), want, atol=1e-9)
 
 
+def test_near_copy_of_a_toxic_text_of_words_seen_once_is_found(spark):
+    import zlib
+
+    docs, labels = corpus(200)
+    free = [i for i in range(5000, 5100) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rare = [f"zy{a}{b}qu" for a in "bcdfghjk" for b in "aeiou"]
+    docs += [(i, " ".join(rare), "x") for i in free[:3]] + [(9100, " ".join(rare[1:]), "x"), (9101, docs[1][1] + " more", "x")]
+    labels += [(i, 0, 1) for i in free[:3]]
+    d = spark.createDataFrame(docs, "doc_id long, text string, score string")
+    model = toxicity.train(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r.r for r in d.where("doc_id > 9000").select("doc_id", toxicity.score_column(F.col("text"), model, spark).alias("r")).collect()}
+    assert got[9100].score > 0.5 and got[9100].evidence[0].toxic == 1 and got[9100].evidence[0].cosine > 0.9
+    assert got[9101].score < toxicity.THRESHOLD and len(got[9101].evidence) == toxicity.NEIGHBOURS  # no toxic term, and still searched
+
+
 def test_labelled_sample_is_bounded_and_outside_the_fold(spark):
     d = spark.createDataFrame([(i, "t", 0) for i in range(400)], "doc_id long, text string, y int")
     l = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
