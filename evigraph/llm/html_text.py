@@ -1,10 +1,12 @@
 """The main text of web pages, from streaming parser events and smoothed text-to-tag ratios.
 
 The standard library's parser is fed piece by piece. Its events make lines: a line is what stands
-between two block tags, with the number of tags since the line before. Lines inside menus, adverts,
-forms and the like are set aside by their elements' tags, roles, classes and ids. The text-to-tag
-ratios of the other lines are smoothed by a Gaussian, and a threshold between their two clusters
-marks content. The region is the article or main element that holds most of the marked text, or, in
+between two block tags, with the number of tags since the line before. Lines inside menus, asides,
+forms and the like are set aside by their elements' tags and roles. The text-to-tag ratios of the
+other lines are smoothed by a Gaussian, and a threshold between their two clusters marks content.
+Words of a class or id, as ``sidebar``, only tell against an element, and not where it holds an article
+or main element or most of the page's text: it is set aside if the clusters take less than half of its
+text for content, where other short lines of a region stay. The region is the article or main element that holds most of the marked text, or, in
 a page without, the innermost division that holds four fifths of it; all lines of the region make
 the text, in page order, short ones too.
 """
@@ -32,7 +34,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 REGION = frozenset("article main section div td body".split())
 SKIPPED = frozenset("script style noscript template head title nav footer aside form button select option textarea input label iframe object svg canvas math audio video map dialog menu menuitem noframes".split())
 ROLES = frozenset("navigation contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status".split())
-#: Words of a class or id that set an element aside.
+#: Words of a class or id that tell against an element.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle sponsor sponsored sponsors promo promos promotion promoted"
     " nav navbar navigation navi menu menus submenu breadcrumb breadcrumbs sidebar sidebars aside footer foot topbar masthead toolbar pagination pager pagenav"
@@ -46,18 +48,20 @@ _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags before it, set aside, region numbers) of each line of a page."""
+    """Collects (text, tags before it, set aside, region numbers, mark numbers) of each line of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
-        self.open: list[tuple[str, bool, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, bool, tuple[int, ...], tuple[int, ...]]] = []
+        self.open: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []
+        self.marks = 0
+        self.holding: set[int] = set()  # marks of elements that hold an article or main element
         self.regions: list[str] = []
         self.now: list[str] = []
         self.tags = 0
 
-    def state(self) -> tuple[bool, tuple[int, ...]]:
-        return self.open[-1][1:] if self.open else (False, ())
+    def state(self) -> tuple[bool, tuple[int, ...], tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (False, (), ())
 
     def line(self) -> None:
         if self.now:
@@ -68,18 +72,18 @@ class Lines(HTMLParser):
                 self.tags = 0
 
     def pop(self, at: int) -> None:
-        if any(t not in INLINE for t, _, _ in self.open[at:]):
+        if any(x[0] not in INLINE for x in self.open[at:]):
             self.line()
         del self.open[at:]
 
     def aside(self, tag: str, attrs: list, inside: bool) -> bool:
         if tag in SKIPPED or tag == "header" and not inside:
             return True
+        return any(name == "role" and value and (value.lower() in ROLES or value.lower() == "banner" and not inside) for name, value in attrs)
+
+    def marked(self, tag: str, attrs: list, inside: bool) -> bool:
         for name, value in attrs:
-            if name == "role" and value:
-                if value.lower() in ROLES or value.lower() == "banner" and not inside:
-                    return True
-            elif name in ("class", "id") and value and tag not in ("html", "body", "article", "main"):
+            if name in ("class", "id") and value and tag not in ("html", "body", "article", "main"):
                 found = {w.lower() for w in _WORDS.findall(value)}
                 if found & MARKS or not inside and "header" in found:
                     return True
@@ -109,12 +113,18 @@ class Lines(HTMLParser):
             self.line()
         if tag in VOID:
             return
-        dropped, within = self.state()
-        dropped = dropped or self.aside(tag, attrs, any(self.regions[r] in ("article", "main") for r in within))
+        dropped, within, marks = self.state()
+        inside = any(self.regions[r] in ("article", "main") for r in within)
+        dropped = dropped or self.aside(tag, attrs, inside)
+        if marked := not dropped and self.marked(tag, attrs, inside):
+            marks = (*marks, self.marks)
+            self.marks += 1
         if tag in REGION and not dropped:
+            if tag in ("article", "main") and not marked:
+                self.holding.update(marks)
             within = (*within, len(self.regions))
-            self.regions.append(tag)
-        self.open.append((tag, dropped, within))
+            self.regions.append("section" if marked and tag == "article" else tag)
+        self.open.append((tag, dropped, within, marks))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -170,10 +180,25 @@ def extract(html: str | None, piece: int = PIECE) -> tuple[str, int, int, str]:
             break
     if not lines:
         return "", 0, 0, ""
-    ratio = smoothed(np.array([len(t) / (1 + tags) for t, tags, _, _ in lines]))
+    held: dict[int, int] = {}  # code points in each element that a class or id tells against
+    for x in lines:
+        for m in x[4]:
+            held[m] = held.get(m, 0) + len(x[0])
+    most = sum(len(x[0]) for x in lines) / 2
+    against = {m for m, n in held.items() if m not in parser.holding and n <= most}
+    ratio = smoothed(np.array([len(x[0]) / (1 + x[1]) for x in lines]))
     marked = ratio >= threshold(ratio)
+    taken = dict.fromkeys(against, 0)
+    for x, is_content in zip(lines, marked):
+        for m in against.intersection(x[4]):
+            taken[m] += is_content * len(x[0])
+    out = {m for m in against if 2 * taken[m] < held[m]}
+    stay = [not out.intersection(x[4]) for x in lines]
+    lines, marked = [x for x, s in zip(lines, stay) if s], marked[stay]
+    if not lines:
+        return "", 0, 0, ""
     mass: dict[int, int] = {}
-    for (text, _, _, within), is_content in zip(lines, marked):
+    for (text, _, _, within, _), is_content in zip(lines, marked):
         for r in within:
             mass[r] = mass.get(r, 0) + is_content * len(text)
     articles = [r for r in mass if kinds[r] == "article"] or [r for r in mass if kinds[r] == "main"]

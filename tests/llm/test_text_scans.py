@@ -102,3 +102,13 @@ def test_smoothing_and_threshold():
     assert np.allclose(html_text.smoothed(np.ones(5)), 1) and html_text.threshold(np.array([1.0, 2.0, 100.0, 110.0])) == 53.25
     assert html_text.threshold(np.array([3.0])) == 3.0
 
+
+def test_words_of_a_class_alone_set_no_text_aside():
+    prose = "<p>" + "Plain prose about people and places, long enough to be read. " * 6 + "</p>"
+    for wrapper in ("<div class='layout has-sidebar'>", "<div id='no-ads'>"):
+        text, _, n, region = html_text.extract(f"<body>{wrapper}<article>{prose * 3}</article></div></body>")
+        assert n == 3 and region == "article"
+        assert html_text.extract(f"<body>{wrapper}{prose * 3}</div></body>")[2] == 3
+    page = f"<body><main>{prose * 3}<section id='social-history'>{prose.replace('Plain', 'Social')}</section><div class='share'><a>Like</a> <a>Post</a></div></main></body>"
+    text = html_text.extract(page)[0]
+    assert "Social prose" in text and "Like" not in text
