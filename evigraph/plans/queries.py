@@ -369,6 +369,13 @@ def signature_batches(spark, sf_dir):
     return retrieve.signature_batches(batched, _onto(spark)[2].where("source_type <> 'Order' and target_type <> 'Order'"))
 
 
+@query("signature_batches_all", None)
+def signature_batches_all(spark, sf_dir):
+    """As signature_batches, of every signature, those with Order too; held against counts of batches by a test."""
+    batched = retrieve.batches(M.merge_nodes(star.nodes(spark, sf_dir))[0])
+    return retrieve.signature_batches(batched, _onto(spark)[2])
+
+
 @query("coverage_requests", f"WITH {CHUNKS_SQL}, {star.NODES_SQL}, {star.ONTOLOGY_SQL}, {star.MERGED_SQL}, o AS (SELECT chunk_ord, (row_number() OVER (ORDER BY chunk_ord) - 1) // 6 AS batch FROM chk) SELECT node_type, batch::BIGINT AS batch, count(*)::BIGINT AS n_chunks FROM typ, o WHERE node_type NOT IN (SELECT node_type FROM node) GROUP BY ALL")
 def coverage_requests(spark, sf_dir):
     chunks = C.cut(_docs(spark, sf_dir)).select("chunk_ord", F.lit("chunk").alias("node_type"))

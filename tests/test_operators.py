@@ -164,3 +164,17 @@ def test_replies_are_read_where_they_can_be(spark):
     got = spark.range(1).select(F.explode(R.items(item, "nodes")).alias("i")).select(R.properties(F.col("i")).alias("p"), R.evidence(F.col("i")).alias("e")).collect()
     assert [(p.key, p.value_json) for p in got[0].p] == [("b", "1.5"), ("a", '"x"'), ("l", "[1]"), ("n", "null"), ("f", "false")] and got[1].p == []
     assert [e.quote for e in got[0].e if e.quote] == ["q"]
+
+
+def test_every_signature_has_all_pairs_of_its_batches(spark):
+    import os
+
+    from evigraph.plans import queries, star
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test data")
+    count = {r.node_type: -(-r["count"] // 16) for r in M.merge_nodes(star.nodes(spark, sf))[0].groupBy("node_type").count().collect()}
+    got = {(r.source_type, r.target_type): r["count"] for r in queries.QUERIES["signature_batches_all"](spark, sf).groupBy("source_type", "target_type").count().collect()}
+    want = {(s, t): count.get(s, 0) * count.get(t, 0) or 1 for s, _, t in star.ONTOLOGY.signatures}
+    assert got == want and any("Order" in pair for pair in got)
