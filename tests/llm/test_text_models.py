@@ -157,3 +157,9 @@ def test_language_held_out_and_edges(spark):
     assert [got[i].lang_pred for i in (9001, 9002, 9003, 9004)] == ["und", "und", "und", "aa"] and got[9001].score == 0
     empty = language.train(d.limit(0))
     assert {r.r.lang_pred for r in d.select(language.predict_column(F.col("text"), empty, spark).alias("r")).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark):
+    rows = [(10 * i + j, f"word{i} text", f"l{i:03}") for i in range(230) for j in range(8)]
+    got = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert got.select("lang").distinct().count() == 230
