@@ -8,23 +8,21 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch for Python workers; with texts of 100 KB a batch still is some 100 MB.
-BATCH_ROWS = 1000
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; ``sf_dir`` may be in any store that Spark reads."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, where that is unset, a new one of our own."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given:
-        given = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a new folder of its own; on a cluster that is an error,
+    as executors would write where nobody else reads.
+    """
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not given:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         given = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(given)
     return given
@@ -49,15 +47,17 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held: int, most: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``most`` labelled documents outside the held-out fold.
+    """(doc_id, text, y) of at most ``most`` labelled documents outside the held-out fold, one row an id.
 
-    The sample is the ``most`` rows with the smallest hash of their id, so it does not depend on
-    how the tables are laid out. It is bounded, so its ids may be broadcast. Labels that are null
-    or neither 0 nor 1 are left out, as are rows without an id or text.
+    The sample is the ``most`` ids with the smallest hash, so it does not depend on how the tables
+    are laid out. It is bounded, so its ids may be broadcast. Labels that are null or neither 0 nor 1
+    are left out, as are rows without an id or text; of several labels of an id the largest counts,
+    of several texts the smallest.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (remainder(F.col("doc_id"), divisor) != held))
         .groupBy("doc_id").agg(F.max(label).alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
-    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"))
+    found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").cast("int").alias("y"))

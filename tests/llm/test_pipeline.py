@@ -16,8 +16,8 @@ def test_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
     labels, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
-    known, index = toxicity.train(docs, labels)
-    kept = {i for i, r in rows.items() if index.score(*known.vector(r.text))[0] < toxicity.THRESHOLD}
+    index = toxicity.train(docs, labels)
+    kept = {i for i, r in rows.items() if index.score(r.text)[0] < toxicity.THRESHOLD}
     model = language.train(docs.where(docs.doc_id.isin(sorted(kept))))
     bits = {i: language.predict(model, rows[i].text)[2] for i in kept}
     kept = {i for i in kept if bits[i] is not None and bits[i] < corpus_pipeline.MOST_BITS}

@@ -1,10 +1,13 @@
 """Toxicity, quality and language: against brute force, and on rows held out."""
 
 import math
+import os
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from evigraph.llm import common, language, quality, toxicity
@@ -40,31 +43,70 @@ def test_toxicity_held_out_and_edges(spark):
     assert score[9003] > 0.9 and score[9001] < 0.3 and score[9002] < 0.3 and score[9004] < 0.3 and score[None] > 0.3
     assert next(r for r in got if r.doc_id == 9003).evidence[0].cosine > 0
     bare = toxicity.train(d, l.limit(0))
-    assert {r.r.score for r in d.select(toxicity.score_column(F.col("text"), bare, spark).alias("r")).collect()} == {0.0}
+    assert {round(r.r.score, 2) for r in d.select(toxicity.score_column(F.col("text"), bare, spark).alias("r")).collect()} == {0.0}
     assert d.limit(0).select(toxicity.score_column(F.col("text"), model, spark)).count() == 0
 
 
-def test_block_max_index_finds_the_exact_neighbours():
+def brute_neighbours(index, text, k=toxicity.NEIGHBOURS):
+    """Cosines by dictionaries, example after example."""
+    unit = lambda ids, counts: dict(zip(ids.tolist(), index.unit(ids, counts).tolist()))
+    q = unit(*index.vectors([text])[0])
+    cosines = [sum(w * e.get(t, 0) for t, w in q.items()) for e in (unit(*toxicity.unpack(x)) for x in index.packed)]
+    return sorted((-round(c, 12), i) for i, c in enumerate(cosines) if c > toxicity.MARGIN)[:k]
+
+
+def test_block_max_index_finds_the_exact_neighbours_and_skips_blocks(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
     g = np.random.default_rng(1)
-    size = 12
-    examples = []
-    for i in range(700):
-        ids = sorted(g.choice(size, g.integers(0, 5), replace=False).tolist())
-        examples.append((i, ids + [size], g.integers(1, 5, len(ids)).tolist() + [int(g.integers(1, 300))], int(g.integers(0, 2))))
-    idf = np.array([math.log(5 + t) for t in range(size)] + [1.0])
-    index = toxicity.Index(examples, idf)
-    def cosine(a, b):
-        u, v = (dict(zip(x[1], index.unit(x[1], x[2]))) for x in (a, b))
-        return round(sum(w * v.get(t, 0) for t, w in u.items()), 12)
-    for q in [x for x in examples if x[1][0] < size][::23]:
-        near, group, votes = index.nearest(q[1], q[2], 15)
-        want = sorted((cosine(q, e) for e in examples), reverse=True)[:15]
-        assert np.allclose(sorted([c for c, _ in near] + [group] * votes, reverse=True), want, atol=1e-9)
+    kinds = [[k + a + b for a in "abcdefghij" for b in "uvwxyz"] for k in ("ka", "lo", "mi", "ru")]
+    texts = [" ".join(g.choice(kinds[i % 4], g.integers(1, 40))) for i in range(700)] + ["kaau kaav"] * 30 + ["", "..."]
+    found = toxicity.terms(texts)
+    vocabulary = np.unique(np.concatenate([i for i, _ in found]))
+    index = toxicity.Index([(i, toxicity.pack(np.searchsorted(vocabulary, t), n), i % 3 == 0) for i, (t, n) in enumerate(found)], vocabulary, np.log(2 + np.arange(len(vocabulary))))
+    queries = [*texts[::23], "kaau loau miau ruau unknown", "unknown", None]
+    for text, near in zip(queries, index.search(index.vectors(queries))):
+        want = brute_neighbours(index, text)
+        assert [i for _, i in near] == [i for _, i in want] and np.allclose([c for c, _ in near], [-c for c, _ in want], atol=1e-11)
+    assert index.skipped > 0.3 * index.met
+    assert all(c <= toxicity.COPY for near in index.search(index.vectors(queries), copies=False) for c, _ in near)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_query_of_toxicity_equals_brute_force_and_is_calibrated(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    index = toxicity.train(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in toxicity.op3_toxicity_neighbours(spark, SF).collect()}
+    assert set(got) == set(texts)
+    for i, r in got.items():
+        want = brute_neighbours(index, texts[i])
+        assert [e.doc_id for e in r.evidence] == [int(index.ids[j]) for _, j in want]
+        share = (sum(-c * index.y[j] for c, j in want) + toxicity.PRIOR * index.base) / (sum(-c for c, _ in want) + toxicity.PRIOR)
+        assert math.isclose(r.score, index.calibrated(share), abs_tol=1e-9) and r.predicted == (r.score >= 0.3) and r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert r.evidence or not any(map(str.isalpha, texts[i] or ""))
+
+
+BIG = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(BIG), reason="no test data")
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = spark.read.parquet(f"{BIG}/documents.parquet"), spark.read.parquet(f"{BIG}/labels.parquet")
+    index = toxicity.train(docs, labels)
+    rows = docs.join(labels, "doc_id").where((common.remainder(F.col("doc_id"), 4) == 2) & F.col("toxic").isNotNull()).select("text", "toxic").collect()
+    y = np.array([r.toxic for r in rows])
+    p = np.array([s for s, _ in index.scores(index.vectors([r.text for r in rows]))])
+    assert (p[y == 1] >= toxicity.THRESHOLD).mean() >= 0.9 and (p[y == 0] >= toxicity.THRESHOLD).mean() <= 0.01
+    assert ((p - y) ** 2).mean() < 0.02
+    for low, high in ((0, 0.1), (0.1, 0.5), (0.5, 1.01)):
+        inside = (p >= low) & (p < high)
+        assert abs(p[inside].mean() - y[inside].mean()) < 0.2 or inside.sum() < 15
 
 
 def test_near_copy_of_a_toxic_text_of_words_seen_once_is_found(spark):
-    import zlib
-
     docs, labels = corpus(200)
     free = [i for i in range(5000, 5100) if zlib.crc32(str(i).encode()) % 4 != 2]
     rare = [f"zy{a}{b}qu" for a in "bcdfghjk" for b in "aeiou"]
@@ -80,10 +122,8 @@ def test_near_copy_of_a_toxic_text_of_words_seen_once_is_found(spark):
 def test_labelled_sample_is_bounded_and_outside_the_fold(spark):
     d = spark.createDataFrame([(i, "t", 0) for i in range(400)], "doc_id long, text string, y int")
     l = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
-    import zlib
-
-    got = {r.doc_id: r.y for r in common.labelled_sample(d, l, "toxic", 4, 2, 50).collect()}
-    assert len(got) == 50 and all(zlib.crc32(str(i).encode()) % 4 != 2 and y == i % 2 for i, y in got.items())
+    got = {r.doc_id: r.y for r in common.labelled_sample(d.union(d).union(d), l, "toxic", 4, 2, 50).collect()}
+    assert len(got) == 50 and common.labelled_sample(d.union(d), l, "toxic", 4, 2, 50).count() == 50 and all(zlib.crc32(str(i).encode()) % 4 != 2 and y == i % 2 for i, y in got.items())
 
 
 def test_quality_ranks_held_out_rows(spark):
