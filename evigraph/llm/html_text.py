@@ -1,14 +1,17 @@
 """The main text of web pages, from streaming parser events and smoothed text-to-tag ratios.
 
 The standard library's parser is fed piece by piece. Its events make lines: a line is what stands
-between two block tags, with the number of tags since the line before. Lines inside menus, asides,
-forms and the like are set aside by their elements' tags and roles. The text-to-tag ratios of the
-other lines are smoothed by a Gaussian, and a threshold between their two clusters marks content.
-Words of a class or id, as ``sidebar``, only tell against an element, and not where it holds an article
-or main element or most of the page's text: it is set aside if the clusters take less than half of its
-text for content, where other short lines of a region stay. The region is the article or main element that holds most of the marked text, or, in
-a page without, the innermost division that holds four fifths of it; all lines of the region make
-the text, in page order, short ones too.
+between two block tags, with the number of tags since the line before. What is no text to read by
+its very tag (scripts, styles, menus, asides, forms' fields, a page's header and footer) is set aside.
+
+Every other line has a text-to-tag ratio, larger by ``VOUCHED`` in an article or main element and
+smaller by ``MARKED`` where a class or id tells against an element. The ratios are smoothed by a
+Gaussian and parted into two clusters, and lines of the upper one are content, as are lines of an
+article or main element that reach it by themselves. A region is an element
+that holds content in several of its parts: from the whole page down, an element whose content lies in
+one child is left for that child, down to an article, and one that shares most of it out among articles is
+left for all of these. What stands in a region makes the text, short lines too, but for the parts that
+a class or id tells against and in which less than half of the text is content.
 """
 
 from __future__ import annotations
@@ -27,13 +30,19 @@ from . import common
 
 PIECE = 1 << 16
 SIGMA = 1.0
+#: How much more the ratio of a line in an article or main element counts, and how much less one's where a class or id tells against it.
+VOUCHED, MARKED = 8.0, 0.05
+#: Share of an element's content that one child must hold to stand for it.
+MOST = 0.9
 RESULT = "text string, n_chars long, n_lines int, region string"
 
+REGION = frozenset("article main section div td body html form".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-REGION = frozenset("article main section div td body".split())
-SKIPPED = frozenset("script style noscript template head title nav footer aside form button select option textarea input label iframe object svg canvas math audio video map dialog menu menuitem noframes".split())
-ROLES = frozenset("navigation contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status".split())
+SKIPPED = frozenset("script style noscript template head title nav footer aside button select option textarea input iframe object svg canvas math audio video map dialog menu menuitem noframes".split())
+#: Fields of a form go; a form itself may be a page's wrapper and is only told against.
+AGAINST = frozenset(["form", "label"])
+ROLES = frozenset("navigation contentinfo complementary search dialog alertdialog alert menu menubar toolbar status".split())
 #: Words of a class or id that tell against an element.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle sponsor sponsored sponsors promo promos promotion promoted"
@@ -41,6 +50,8 @@ MARKS = frozenset(
     " cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login paywall disclaimer"
     " comment comments commentlist respond reply replies disqus discussion feedback share sharing social related recommended recommendations widget widgets skip search form".split()
 )
+#: Words that may stand beside these in a name, as in reader-comments; with any other word, as in has-sidebar, a name says nothing.
+HELPERS = frozenset("a all area bar banner block bottom box button buttons container content count foot global head header icon icons info inner item items left line link links list main module my outer page panel post primary reader row secondary section site top user users web wrap wrapper right slot text thread top unit zone".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 CLOSES_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table body article main section div td th blockquote".split())
@@ -48,49 +59,35 @@ _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags before it, set aside, region numbers, mark numbers) of each line of a page."""
+    """Collects the elements of a page, and (text, tags before it, elements it stands in) of each line.
+
+    An element is [tag, parent, set aside, told against, vouched for, closed by its own end tag, inside an article or main].
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[int, ...], tuple[int, ...]]] = []
-        self.open: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []
-        self.marks = 0
-        self.holding: set[int] = set()  # marks of elements that hold an article or main element
-        self.regions: list[str] = []
+        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.elements: list[list] = []
+        self.open: list[int] = []
         self.now: list[str] = []
         self.tags = 0
 
-    def state(self) -> tuple[bool, tuple[int, ...], tuple[int, ...]]:
-        return self.open[-1][1:] if self.open else (False, (), ())
-
     def line(self) -> None:
         if self.now:
             text = " ".join("".join(self.now).split())
             self.now = []
             if text:
-                self.lines.append((text, self.tags, *self.state()))
+                self.lines.append((text, self.tags, tuple(self.open)))
                 self.tags = 0
 
+    def tag(self, at: int) -> str:
+        return self.elements[self.open[at]][0]
+
     def pop(self, at: int) -> None:
-        if any(x[0] not in INLINE for x in self.open[at:]):
+        if any(self.tag(i) not in INLINE for i in range(at, len(self.open))):
             self.line()
         del self.open[at:]
 
-    def aside(self, tag: str, attrs: list, inside: bool) -> bool:
-        if tag in SKIPPED or tag == "header" and not inside:
-            return True
-        return any(name == "role" and value and (value.lower() in ROLES or value.lower() == "banner" and not inside) for name, value in attrs)
-
-    def marked(self, tag: str, attrs: list, inside: bool) -> bool:
-        for name, value in attrs:
-            if name in ("class", "id") and value and tag not in ("html", "body", "article", "main"):
-                found = {w.lower() for w in _WORDS.findall(value)}
-                if found & MARKS or not inside and "header" in found:
-                    return True
-            elif name == "class" and value and tag == "article" and {w.lower() for w in _WORDS.findall(value)} & {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo", "related"}:
-                return True
-        return False
-
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag == "br":
@@ -98,33 +95,29 @@ class Lines(HTMLParser):
             return
         if tag in CLOSES_P:
             for at in range(len(self.open) - 1, -1, -1):
-                if self.open[at][0] == "p":
+                if self.tag(at) == "p":
                     self.pop(at)
                     break
-                if self.open[at][0] in SCOPES:
+                if self.tag(at) in SCOPES:
                     break
         for at in range(len(self.open) - 1, -1, -1) if tag in CLOSES_OWN else ():
-            if self.open[at][0] in CLOSES_OWN[tag]:
+            if self.tag(at) in CLOSES_OWN[tag]:
                 self.pop(at)
                 break
-            if self.open[at][0] in ("ul", "ol", "dl", "table", "select"):
+            if self.tag(at) in ("ul", "ol", "dl", "table", "select"):
                 break
         if tag not in INLINE:
             self.line()
         if tag in VOID:
             return
-        dropped, within, marks = self.state()
-        inside = any(self.regions[r] in ("article", "main") for r in within)
-        dropped = dropped or self.aside(tag, attrs, inside)
-        if marked := not dropped and self.marked(tag, attrs, inside):
-            marks = (*marks, self.marks)
-            self.marks += 1
-        if tag in REGION and not dropped:
-            if tag in ("article", "main") and not marked:
-                self.holding.update(marks)
-            within = (*within, len(self.regions))
-            self.regions.append("section" if marked and tag == "article" else tag)
-        self.open.append((tag, dropped, within, marks))
+        parent = self.open[-1] if self.open else -1
+        inside = parent >= 0 and self.elements[parent][6]
+        role = next((v.lower() for n, v in attrs if n == "role" and v), "")
+        aside = tag in SKIPPED or role in ROLES or (tag == "header" or role == "banner") and not inside
+        against = not aside and (tag in AGAINST or tag not in ("html", "body", "main") and marked(tag, attrs))
+        vouched = tag in ("article", "main") and not against
+        self.open.append(len(self.elements))
+        self.elements.append([tag, parent, aside, against, vouched, False, inside or vouched])
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -132,15 +125,26 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         self.tags += 1
         for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
+            if self.tag(at) == tag:
+                self.elements[self.open[at]][5] = True
                 self.pop(at)
                 return
         if tag == "p":  # ends a line even if none is open
             self.line()
 
     def handle_data(self, data):
-        if not self.state()[0]:
-            self.now.append(data)
+        self.now.append(data)
+
+
+def marked(tag: str, attrs: list) -> bool:
+    """Whether a class or id tells against an element: a name of which every word is in MARKS or HELPERS, one at least in MARKS."""
+    for name, value in attrs:
+        if name in ("class", "id") and value:
+            for token in value.split():
+                words = {w.lower() for w in _WORDS.findall(token)}
+                if words & MARKS and words <= MARKS | HELPERS:
+                    return True
+    return False
 
 
 def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -164,64 +168,102 @@ def threshold(x: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def content(lines: list, elements: list) -> tuple[list, np.ndarray, set[int]]:
+    """The lines that are not set aside; their weighed lengths, 0 for those that are no content by their smoothed ratios; the elements told against that go.
+
+    An element told against that holds an article or main element, or most of the text, is not told
+    against; one that was set aside by its tag but never closed is only told against.
+    """
+    aside = {i for i, e in enumerate(elements) if e[2] and e[5]}
+    lines = [x for x in lines if not aside.intersection(x[2])]
+    doubted = {i for i, e in enumerate(elements) if e[3] or e[2] and not e[5]}
+    for i, e in enumerate(elements):
+        if e[4] and doubted:
+            while i >= 0:
+                doubted.discard(i)
+                i = elements[i][1]
+    held: dict[int, int] = dict.fromkeys(doubted, 0)
+    for x in lines:
+        for i in doubted.intersection(x[2]):
+            held[i] += len(x[0])
+    doubted = {i for i in doubted if 2 * held[i] <= sum(len(x[0]) for x in lines)}
+    if all(doubted.intersection(x[2]) for x in lines):  # nothing but what is told against, or nothing at all
+        return [], np.zeros(0), set()
+    vouched = np.array([any(elements[i][4] for i in x[2]) for x in lines])
+    mass = np.array([len(x[0]) * (MARKED if doubted.intersection(x[2]) else 1.0) for x in lines]) * np.where(vouched, VOUCHED, 1.0)
+    own = mass / np.array([1 + x[1] for x in lines])
+    ratio = smoothed(own)
+    least = threshold(ratio)
+    taken = (ratio >= least) | vouched & (own >= least)
+    found = dict.fromkeys(doubted, 0)
+    for x, t in zip(lines, taken):
+        for i in doubted.intersection(x[2]) if t else ():
+            found[i] += len(x[0])
+    return lines, mass * taken, {i for i in doubted if 2 * found[i] < held[i]}
+
+
+def regions(lines: list, weighed: np.ndarray, elements: list) -> list[int]:
+    """The elements that hold the content; [-1] is the whole page."""
+    mass: dict[int, float] = {-1: 0.0}
+    for x, m in zip(lines, weighed.tolist()):
+        if m:
+            mass[-1] += m
+            for i in x[2]:
+                mass[i] = mass.get(i, 0.0) + m
+    children: dict[int, list[int]] = {}
+    for i in sorted(i for i in mass if i >= 0):
+        children.setdefault(elements[i][1], []).append(i)
+    at = -1
+    while at < 0 or elements[at][0] != "article":
+        below = children.get(at, [])
+        heavy = next((i for i in below if mass[i] >= MOST * mass[at] and elements[i][0] in REGION), None)
+        if heavy is None:
+            break
+        at = heavy
+    if at >= 0 and elements[at][4]:
+        texts = [i for i in mass if i >= 0 and elements[i][0] == "article" and elements[i][4] and _under(i, at, elements)] if elements[at][0] == "main" else []
+    else:
+        texts = [i for i in mass if i >= 0 and elements[i][4] and _under(i, at, elements)]
+    outer = sorted(i for i in texts if not any(_under(i, j, elements) for j in texts))
+    return outer if outer and 2 * sum(mass[i] for i in outer) >= mass[at] else [at]
+
+
+def _under(i: int, at: int, elements: list) -> bool:
+    """Whether element ``i`` stands in element ``at``; all stand in -1."""
+    i = elements[i][1]
+    while i > at:
+        i = elements[i][1]
+    return i == at
+
+
 def extract(html: str | None, piece: int = PIECE) -> tuple[str, int, int, str]:
-    """Main text, its code points, its number of lines and the kind of its region; see :func:`extract_column`."""
+    """Main text, its code points, its number of lines and the kinds of its regions; see :func:`extract_column`."""
     parser = Lines()
     page = html or ""
     for a in range(0, len(page), piece):
         parser.feed(page[a : a + piece])
     parser.close()
     parser.line()
-    lines = [x for x in parser.lines if not x[2]]
-    kinds = parser.regions
-    for kind in ("article", "main"):  # where a page says what its text is, only that counts
-        if kind in kinds:
-            lines = [x for x in lines if any(kinds[r] == kind for r in x[3])]
-            break
-    if not lines:
-        return "", 0, 0, ""
-    held: dict[int, int] = {}  # code points in each element that a class or id tells against
-    for x in lines:
-        for m in x[4]:
-            held[m] = held.get(m, 0) + len(x[0])
-    most = sum(len(x[0]) for x in lines) / 2
-    against = {m for m, n in held.items() if m not in parser.holding and n <= most}
-    ratio = smoothed(np.array([len(x[0]) / (1 + x[1]) for x in lines]))
-    marked = ratio >= threshold(ratio)
-    taken = dict.fromkeys(against, 0)
-    for x, is_content in zip(lines, marked):
-        for m in against.intersection(x[4]):
-            taken[m] += is_content * len(x[0])
-    out = {m for m in against if 2 * taken[m] < held[m]}
-    stay = [not out.intersection(x[4]) for x in lines]
-    lines, marked = [x for x, s in zip(lines, stay) if s], marked[stay]
+    lines, weighed, out = content(parser.lines, parser.elements)
+    kept = np.array([not out.intersection(x[2]) for x in lines], bool)
+    lines, weighed = [x for x, k in zip(lines, kept) if k], weighed[kept]
     if not lines:
         return "", 0, 0, ""
-    mass: dict[int, int] = {}
-    for (text, _, _, within, _), is_content in zip(lines, marked):
-        for r in within:
-            mass[r] = mass.get(r, 0) + is_content * len(text)
-    articles = [r for r in mass if kinds[r] == "article"] or [r for r in mass if kinds[r] == "main"]
-    region, all_mass = None, int(sum(len(x[0]) for x, m in zip(lines, marked) if m))
-    if articles:
-        region = max(articles, key=lambda r: (mass[r], -r))
-    else:
-        holding = [r for r in mass if mass[r] >= 0.8 * all_mass]
-        region = max(holding, default=None)
-    if region is not None:
-        kept, kind = [x[0] for x in lines if region in x[3]], kinds[region]
-    else:  # no element holds it
-        kept, kind = [x[0] for x in lines], "page"
-    text = "\n\n".join(kept)
-    return text, len(text), len(kept), kind
+    where = regions(lines, weighed, parser.elements)
+    inside = lines if where == [-1] else [x for x in lines if not set(where).isdisjoint(x[2])]
+    text = "\n\n".join(x[0] for x in inside)
+    return text, len(text), len(inside), " ".join("page" if i < 0 else parser.elements[i][0] for i in where)
 
 
 def extract_column(html: Column) -> Column:
     """The main text of each whole page as a struct of :data:`RESULT`.
 
     Character references are decoded, white space in a line becomes one space, lines are joined by
-    two line feeds. Null is the empty page, whose text is empty, as is that of a page without any
-    line of content; broken and unclosed markup is read as far as the parser's events go.
+    two line feeds, in page order. Null is the empty page, whose text is empty, as is that of a page
+    without any line to read. Several articles that share the content are all taken; of regions that
+    hold as much, the first in the page. Broken and unclosed markup is read as far as the parser's
+    events go, and a menu or aside that is never closed does not swallow the page. A page of any length
+    is one row and read in pieces. Repeated pages repeat their results; other columns are not used.
     """
 
     @F.pandas_udf(RESULT)

@@ -1,5 +1,6 @@
 """License notices and page text."""
 
+import math
 import os
 import random
 
@@ -103,12 +104,100 @@ def test_smoothing_and_threshold():
     assert html_text.threshold(np.array([3.0])) == 3.0
 
 
+PROSE = "<p>" + "Plain prose about people and places, long enough to be read. " * 6 + "</p>"
+
+
 def test_words_of_a_class_alone_set_no_text_aside():
-    prose = "<p>" + "Plain prose about people and places, long enough to be read. " * 6 + "</p>"
-    for wrapper in ("<div class='layout has-sidebar'>", "<div id='no-ads'>"):
-        text, _, n, region = html_text.extract(f"<body>{wrapper}<article>{prose * 3}</article></div></body>")
+    for wrapper in ("<div class='layout has-sidebar'>", "<div id='no-ads'>", "<div id='sidebar'>", "<div class='page has-sidebar'>", "<div id='social-issues'>", "<form action='/'>"):
+        close = "</form>" if "form" in wrapper else "</div>"
+        text, _, n, region = html_text.extract(f"<body>{wrapper}<article>{PROSE * 3}</article>{close}</body>")
         assert n == 3 and region == "article"
-        assert html_text.extract(f"<body>{wrapper}{prose * 3}</div></body>")[2] == 3
-    page = f"<body><main>{prose * 3}<section id='social-history'>{prose.replace('Plain', 'Social')}</section><div class='share'><a>Like</a> <a>Post</a></div></main></body>"
+        assert html_text.extract(f"<body>{wrapper}{PROSE * 3}{close}</body>")[2] == 3
+    page = f"<body><main>{PROSE * 3}<section id='social-history'>{PROSE.replace('Plain', 'Social')}</section><div class='share'><a>Like</a> <a>Post</a></div></main></body>"
     text = html_text.extract(page)[0]
     assert "Social prose" in text and "Like" not in text
+    inside = html_text.extract(f"<article>{PROSE * 2}<section class='search-results-discussion'>{PROSE.replace('Plain', 'Found')}</section><div class='reader-comments'>{PROSE.replace('Plain', 'Comment')}</div></article>")[0]
+    assert "Found prose" in inside and "Comment" not in inside
+
+
+def test_several_articles_and_menus_that_never_close():
+    two = html_text.extract(f"<body><nav><a>x</a></nav><article><h1>A</h1>{PROSE}</article><div>between</div><article><h1>B</h1>{PROSE}</article></body>")
+    assert two[3] == "article article" and [x for x in two[0].split("\n\n") if len(x) < 9] == ["A", "B"]
+    assert html_text.extract(f"<body><nav><ul><li>Home<li>News</ul><article><h1>T</h1>{PROSE}</article></body>")[0].startswith("T\n\nPlain")
+    bare = html_text.extract(f"<body><div><a>Home</a></div><div><a>News</a></div><div><h2>T</h2>{PROSE * 3}<p>End.</p></div><div><a>One</a><a>Two</a></div></body>")
+    assert bare[0].startswith("T\n\nPlain") and bare[0].endswith("\n\nEnd.") and bare[3] == "div"
+    deep = "<div>" * 3000 + PROSE * 2 + "</div>" * 3000
+    assert html_text.extract(deep)[2] == 2
+    same = f"<body><section>{PROSE}</section><section>{PROSE}</section></body>"  # a tie: both
+    assert html_text.extract(same)[2] == 2
+
+
+def test_the_ratios_decide():
+    """Of two articles the one of dense text is the text; where the tags move, so does the choice."""
+    dense, links = "words of a text " * 12, " ".join(f"<p><a href=/{i}>l{i}</a></p>" for i in range(40))
+    page = "<main><article id=x>%s</article><article id=y>%s</article></main>"
+    assert html_text.extract(page % (f"<p>{dense}</p>" * 4, links))[0] == "\n\n".join([dense.strip()] * 4)
+    assert html_text.extract(page % (links, f"<p>{dense}</p>" * 4))[0] == "\n\n".join([dense.strip()] * 4)
+    outside = f"<body><article><p>{' '.join(f'<i>w{i}</i>' for i in range(30))}</p></article><div>{f'<p>{dense}</p>' * 4}</div></body>"
+    assert html_text.extract(outside)[3] == "div"  # a page's own word for its article is a weight and no more
+    assert html_text.extract(outside.replace("<i>", "").replace("</i>", ""))[3] == "article"
+
+
+def slow_extract(html):
+    """Smoothing, two clusters and choice of regions written out, over the parser's lines and elements."""
+    parser = html_text.Lines()
+    parser.feed(html)
+    parser.close()
+    parser.line()
+    el = parser.elements
+    lines = [x for x in parser.lines if not any(el[i][2] and el[i][5] for i in x[2])]
+    up = lambda i: [] if i < 0 else [i, *up(el[i][1])]
+    safe = {j for i, e in enumerate(el) if e[4] for j in up(i)}
+    total = sum(len(x[0]) for x in lines)
+    size = lambda i, rows: sum(len(x[0]) for x in rows if i in x[2])
+    doubt = {i for i, e in enumerate(el) if (e[3] or e[2] and not e[5]) and i not in safe and 2 * size(i, lines) <= total}
+    if all(doubt & set(x[2]) for x in lines):
+        return ""
+    weight = [len(x[0]) * (8.0 if any(el[i][4] for i in x[2]) else 1.0) * (0.05 if doubt & set(x[2]) else 1.0) for x in lines]
+    ratio = [w / (1 + x[1]) for w, x in zip(weight, lines)]
+    smooth = []
+    for a in range(len(ratio)):
+        near = [(ratio[b], math.exp(-((a - b) ** 2) / 2)) for b in range(max(0, a - 3), min(len(ratio), a + 4))]
+        smooth.append(sum(r * g for r, g in near) / sum(g for _, g in near))
+    low, high = min(smooth), max(smooth)
+    for _ in range(50):
+        mid = (low + high) / 2
+        parts = [r for r in smooth if r < mid], [r for r in smooth if r >= mid]
+        if not parts[0] or not parts[1]:
+            break
+        new = sum(parts[0]) / len(parts[0]), sum(parts[1]) / len(parts[1])
+        if max(abs(new[0] - low), abs(new[1] - high)) < 1e-12:
+            break
+        low, high = new
+    taken = [max(r, o if any(el[i][4] for i in x[2]) else 0) >= (low + high) / 2 for r, o, x in zip(smooth, ratio, lines)]
+    gone = {i for i in doubt if 2 * sum(len(x[0]) for x, t in zip(lines, taken) if t and i in x[2]) < size(i, lines)}
+    rows = [(x, w * t) for x, w, t in zip(lines, weight, taken) if not gone & set(x[2])]
+    mass = lambda i: sum(w for x, w in rows if i < 0 or i in x[2])
+    at = -1
+    while True:
+        heavy = [i for i, e in enumerate(el) if e[1] == at and e[0] in html_text.REGION and mass(i) >= 0.9 * mass(at) > 0]
+        if not heavy or at >= 0 and el[at][0] == "article":
+            break
+        at = heavy[0]
+    inner = [i for i, e in enumerate(el) if e[4] and mass(i) and i != at and (at < 0 or at in up(i)) and (e[0] == "article" or at < 0 or not el[at][4])]
+    if at >= 0 and el[at][4] and el[at][0] != "main":
+        inner = []
+    outer = [i for i in inner if not any(j in up(el[i][1]) for j in inner)]
+    where = outer if outer and 2 * sum(map(mass, outer)) >= mass(at) else [at]
+    return "\n\n".join(x[0] for x, _ in rows if any(i < 0 or i in x[2] for i in where))
+
+
+def test_extract_equals_the_slow_form(spark):
+    pages = [f"<body>{a}{b}{c}</body>" for a in ("<nav>m", "<div class=ad>b</div>", "<div><a>l</a></div>") for b in (f"<article>{PROSE}<p>s</p></article>", f"<div>{PROSE}</div>", "<main><p>t</p></main>") for c in (f"<article>{PROSE}</article>", f"<div class=comments>{PROSE}</div>", "")]
+    sf = "/root/testdata/sf0.001/pages.parquet"
+    if os.path.exists(sf):
+        got = {r.page_id: r for r in html_text.op8_html_text(spark, os.path.dirname(sf)).collect()}
+        rows = spark.read.parquet(sf).collect()
+        assert len(got) == len(rows) and all(got[r.page_id].text == slow_extract(r.html or "") and got[r.page_id].n_chars == len(got[r.page_id].text) for r in rows)
+    for page in pages:
+        assert html_text.extract(page)[0] == slow_extract(page)
