@@ -22,7 +22,7 @@ from . import common
 #: Documents of each language that the trees are learned from, on average.
 DOCS_EACH = 400
 UNKNOWN = "und"
-RESULT = "lang_pred string, score double, bits_per_byte double"
+RESULT = "lang_pred string, score double, bits_per_byte double, excess double, margin double"
 
 
 def sample(docs: DataFrame, each: int = DOCS_EACH) -> DataFrame:
@@ -30,7 +30,7 @@ def sample(docs: DataFrame, each: int = DOCS_EACH) -> DataFrame:
 
     Every language is in it; rows without language, text or id are left out.
     """
-    known = docs.where((common.remainder(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    known = docs.select("doc_id", "lang", "text").where((common.remainder(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     share = known.groupBy("lang").count().select(F.col("lang").alias("of"), (F.lit(float(each)) / F.col("count")).alias("share"))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     return known.join(F.broadcast(share), F.expr("lang = of")).where(chance < F.col("share")).select("lang", "text")
@@ -101,7 +101,11 @@ def build(rows: list[tuple[str, int, int]]) -> dict:
         short = every % width ** (3 - k)
         at = np.minimum(np.searchsorted(contexts[k], short), len(contexts[k]) - 1)
         node = np.where(contexts[k][at] == short, starts[k] + at, node).astype(np.int32)
-    return {"langs": langs, "symbol": symbol.astype(np.int32), "width": width, "node": node * width, "bits": bits.reshape(-1, len(langs))}
+    model = {"langs": langs, "symbol": symbol.astype(np.int32), "width": width, "node": node * width, "bits": bits.reshape(-1, len(langs))}
+    # what a byte of a language's own texts takes
+    own = model["bits"][model["node"][key] + part[:, 3], lang].astype(float) * n
+    model["typical"] = np.bincount(lang, own, len(langs)) / np.bincount(lang, n, len(langs))
+    return model
 
 
 def code_lengths(model: dict, text: str, block: int = 1 << 20) -> np.ndarray:
@@ -114,12 +118,13 @@ def code_lengths(model: dict, text: str, block: int = 1 << 20) -> np.ndarray:
     return out
 
 
-def predict(model: dict, text: str | None) -> tuple[str, float, float | None]:
+def predict(model: dict, text: str | None) -> tuple[str, float, float | None, float | None, float | None]:
     if not text or not model["langs"] or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0, None
-    bits = code_lengths(model, text)
+        return UNKNOWN, 0.0, None, None, None
+    bits, size = code_lengths(model, text), len(text.encode())
     best = int(bits.argmin())
-    return model["langs"][best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()), float(bits[best] / len(text.encode()))
+    margin = float((np.partition(bits, 1)[1] - bits[best]) / size) if len(bits) > 1 else None
+    return model["langs"][best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()), float(bits[best] / size), float(bits[best] / size / model["typical"][best]), margin
 
 
 def train(docs: DataFrame, each: int = DOCS_EACH) -> dict:
@@ -131,15 +136,18 @@ def predict_column(text: Column, model: dict, spark) -> Column:
     """The language of each whole text, as a struct of :data:`RESULT`.
 
     ``score`` is the posterior probability of the language if all are alike beforehand;
-    ``bits_per_byte`` its code length. A text that is null or has no letter is ``und`` with score 0,
-    as is any text if no language was learned. Ties go to the first language by name.
+    ``bits_per_byte`` its code length, ``excess`` how many times that is of what the language's own
+    texts take, ``margin`` how many bits a byte the next language takes more (null with one language
+    only). A text that is null or has no letter is ``und`` with score 0 and nulls, as is any text if no
+    language was learned. Ties go to the first language by name. Repeated rows repeat their results,
+    texts are coded whole in blocks, and other columns are not used.
     """
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([predict(shared.value, t) for t in texts], columns=["lang_pred", "score", "bits_per_byte"])
+            yield pd.DataFrame([predict(shared.value, t) for t in texts], columns=["lang_pred", "score", "bits_per_byte", "excess", "margin"])
 
     return udf(text)
 

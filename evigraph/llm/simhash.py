@@ -8,18 +8,21 @@ half, y lies within radius plus threshold, 2, of the home of x, or shares that h
 the bit that stands for itself. Each fingerprint is therefore filed once under its home and
 replicated to at most 17 anchors of each half, and only a home and a replica that meet at an anchor
 are compared. No link is lost, and the number of rows does not depend on how they are distributed.
+
+Near copies by the similarity of their shingles are found through the same anchors, of several SimHashes
+of 32 bits, and verified by their texts; see :func:`representatives`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_64_intdigest, xxh3_128_digest, xxh64_intdigest
 
 from . import common
 from .components import components
@@ -27,6 +30,8 @@ from .components import components
 SEED = 42
 #: Shingles hashed at a time, so that a text of any length needs little memory.
 BLOCK = 1 << 16
+#: SimHashes of 32 bits by which near copies are found, and pairs of one text that a task verifies.
+PARTS, DEALT = 6, 4096
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -60,72 +65,189 @@ def fingerprints(text: Column, words: int = 3) -> Column:
     return udf(text)
 
 
-def _home(half: Column) -> tuple[Column, Column]:
-    """The syndrome of the 31 low bits of a half, and their code word."""
+def _home(part: Column) -> tuple[Column, Column]:
+    """The syndrome of the 31 low bits of a part, and these bits."""
     masks = [sum(1 << (p - 1) for p in range(1, 32) if p >> j & 1) for j in range(5)]
-    syndrome = sum(((F.bit_count(half.bitwiseAND(F.lit(m).cast("long"))).cast("long") % 2) * (1 << j) for j, m in enumerate(masks)), F.lit(0).cast("long"))
-    low = half.bitwiseAND(F.lit((1 << 31) - 1).cast("long"))
-    return syndrome, low
+    syndrome = sum(((F.bit_count(part.bitwiseAND(F.lit(m).cast("long"))).cast("long") % 2) * (1 << j) for j, m in enumerate(masks)), F.lit(0).cast("long"))
+    return syndrome, part.bitwiseAND(F.lit((1 << 31) - 1).cast("long"))
 
 
-def _anchors(fps: DataFrame) -> DataFrame:
-    """(fp, home, anchors): for both halves the home and every anchor to be met, as longs that name half, free bit and code word."""
-    halves = F.array(F.expr("named_struct('side', 0L, 'half', fp & 4294967295L)"), F.expr("named_struct('side', 1L, 'half', shiftrightunsigned(fp, 32))"))
-    rows = fps.select("fp", F.inline(halves))
-    syndrome, low = _home(F.col("half"))
-    rows = rows.select("fp", ((F.col("side") * 2 + F.shiftrightunsigned("half", 31)) * (1 << 31)).alias("base"), syndrome.alias("s"), low.alias("low"))
+def _filed(points: DataFrame) -> DataFrame:
+    """(node, side, home, anchors) for each part of ``points`` (node, parts): its home and every anchor to be met, as longs that name side, free bit and code word."""
+    rows = points.select("node", F.posexplode("parts").alias("side", "part"))
+    syndrome, low = _home(F.col("part"))
+    rows = rows.select("node", "side", ((F.col("side").cast("long") * 2 + F.shiftrightunsigned("part", 31)) * (1 << 31)).alias("base"), syndrome.alias("s"), low.alias("low"))
     rows = rows.withColumn("home", F.expr("base + if(s = 0, low, low ^ shiftleft(1L, cast(s - 1 as int)))"))
     pairs = F.expr("transform(filter(sequence(1L, 31L), a -> s <> 0 and a <> s and a < (a ^ s)), a -> base + (low ^ shiftleft(1L, cast(a - 1 as int)) ^ shiftleft(1L, cast((a ^ s) - 1 as int))))")
-    return rows.select("fp", "home", F.concat(F.array("home", F.expr("home ^ 2147483648L")), pairs).alias("anchors"))
+    return rows.select("node", "side", "home", F.concat(F.array("home", F.expr("home ^ 2147483648L")), pairs).alias("anchors"))
 
 
-def links(fps: DataFrame, bits: int = 3) -> DataFrame:
-    """(a, b): each pair of different fingerprints a < b at ``bits`` or fewer differing bits; ``fps`` has them once each, as ``fp``.
+def families(points: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, root): for each node of ``points`` (node, parts) that is linked, the smallest node it can reach.
 
-    A pair may come twice, once from each half. ``bits`` is at most 3.
+    ``parts`` are 32-bit numbers as longs; nodes with a part within one bit of each other's meet, and
+    ``verify`` keeps of such pairs (a, b, n) those that are links; ``n`` is how often ``a`` may come.
+    Every node is first held against one other of its home, so that a group of very many like nodes
+    becomes one family by as many pairs as it has nodes. Then each node meets the homes within reach that
+    have nodes of other families, and only pairs of two families are looked at; those of one family
+    would change nothing. No link between two families is lost.
     """
+    filed = common.cut(_filed(points))
+    homes = filed.select(F.col("home").alias("anchor"), "node", "side")
+    found, grown = None, None
+    for sides in ("side < 2", "side >= 2"):
+        own = _in_families(homes.where(sides), grown)
+        leads = own.groupBy("anchor").agg(F.min(F.struct("node", "family")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        stars = own.join(leads.hint("shuffle_hash"), "anchor").where("family <> lead.family").select(F.col("lead.node").alias("a"), F.col("node").alias("b"), "n")
+        stars = common.cut(stars.groupBy("a", "b").agg(F.max("n").alias("n")))
+        if found is None or stars.limit(1).count():
+            links = common.cut(verify(stars))
+            found = links if found is None else found.unionByName(links)
+            grown = components(found)
+    own = common.cut(_in_families(homes, grown))
+    sizes = own.groupBy("anchor", "family").agg(F.count(F.lit(1)).alias("n")).groupBy("anchor").agg(F.max_by("family", F.struct("n", "family")).alias("most"), F.count(F.lit(1)).alias("kinds"))
+    met = _in_families(filed.select("node", "anchors"), grown).select(F.explode("anchors").alias("anchor"), "node", "family")
+    # homes, one row for each fingerprint and part, are hashed, so that replicas need no sort
+    near = common.cut(met.join(sizes.hint("shuffle_hash"), "anchor").where("kinds > 1 or family <> most"))
+    named = own.select("anchor", F.col("node").alias("b"), F.col("family").alias("other"))
+    few = named.join(sizes, "anchor").where("other <> most").select("anchor", "b", "other")
+    many = named.join(sizes, "anchor").where("other = most").select("anchor", "b", "other")
+    cross = near.join(few, "anchor").where("family <> other").unionByName(near.where("family <> most").join(many, "anchor"))
+    pairs = common.cut(cross.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+    if not pairs.limit(1).count():
+        return grown
+    more = common.cut(verify(pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "a")))
+    return components(found.unionByName(more)) if more.limit(1).count() else grown
+
+
+def _in_families(rows: DataFrame, grown: DataFrame | None) -> DataFrame:
+    """``rows`` with ``family``: the root of the node, itself as long as it is not linked."""
+    if grown is None:
+        return rows.withColumn("family", F.col("node"))
+    known = grown.select(F.col("node").alias("_node"), "root")
+    return rows.join(known, F.col("node") == F.col("_node"), "left").withColumn("family", F.coalesce("root", "node")).drop("_node", "root")
+
+
+def within(bits: int = 3) -> Callable[[DataFrame], DataFrame]:
+    """Keeps pairs of fingerprints at ``bits`` or fewer differing bits, at most 3: more are not covered."""
     if not 0 <= bits <= 3:
         raise ValueError("the anchors cover up to 3 differing bits")
-    filed = common.cut(_anchors(fps))
-    homes = filed.select(F.col("home").alias("anchor"), F.col("fp").alias("a"))
-    met = filed.select(F.explode("anchors").alias("anchor"), F.col("fp").alias("b"))
-    # a partition's homes, one row for each fingerprint and half, are small: hashed, so that replicas need no sort
-    return met.join(homes.hint("shuffle_hash"), "anchor").where(F.expr(f"a < b and bit_count(a ^ b) <= {bits}")).select("a", "b")
+    return lambda pairs: pairs.where(F.expr(f"bit_count(a ^ b) <= {bits}")).select("a", "b")
 
 
-def _named(docs: DataFrame, bits: int, words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
-    signed = common.stored(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), words).alias("fp")))
-    fps = common.cut(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(fps, bits))  # (node, root), of linked fingerprints only
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return signed, rooted.join(least, "root").select("fp", "root", "component_id")
+def halves(fps: DataFrame) -> DataFrame:
+    """(node, parts) of fingerprints ``fp``: of two that differ in three bits, a half of one is within a bit of the other's."""
+    return fps.select(F.col("fp").alias("node"), F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32))").alias("parts"))
 
 
 def classes(docs: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, fp, component_id), the smallest id reachable through links.
 
     Rows of equal fingerprint are linked, whatever their texts. Null ids take part but are never a
-    component's smallest id unless it has no other. Other columns of ``docs`` are not used, so
-    their names cannot clash. An empty table gives an empty one.
+    component's smallest id unless it has no other. Repeated rows repeat their results. Other columns
+    of ``docs`` are not used, so their names cannot clash. An empty table gives an empty one.
+    """
+    signed = common.stored(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), words).alias("fp")))
+    fps = common.cut(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    named = _named(fps.select(F.col("fp").alias("node"), "first"), families(halves(fps), within(bits)))
+    return signed.join(named.select(F.col("node").alias("fp"), "component_id").hint("shuffle_hash"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _named(nodes: DataFrame, grown: DataFrame) -> DataFrame:
+    """(node, root, component_id) of ``nodes`` (node, first): the root, and the smallest ``first`` of a family."""
+    rooted = _in_families(nodes, grown).withColumnRenamed("family", "root")
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.join(least, "root").select("node", "root", "component_id")
+
+
+def tokens(text: str | None) -> list[bytes]:
+    """Words as fingerprints take them: A-Z lower-cased, parted by the six ASCII white spaces."""
+    return (text or "").encode().lower().split()
+
+
+def node_and_parts(text: str | None) -> tuple[int, list[int]]:
+    """A number for the text's sequence of words, and ``PARTS`` SimHashes of 32 bits of its words and pairs of words, each once.
+
+    Short shingles, as an edited word changes one word and two pairs, but five shingles of five: texts
+    of similarity 0.8 differ in some 7 of 100 bits, so that some part mostly differs in one bit at most.
     """
-    signed, named = _named(docs, bits, words, id_col, text_col)
-    return signed.join(named.hint("shuffle_hash"), "fp").select("doc_id", "fp", "component_id")
+    found = tokens(text)
+    node = xxh3_64_intdigest(b" ".join(found))
+    kinds = list({*found, *map(b" ".join, zip(found, found[1:]))})
+    ones = np.zeros(32 * PARTS, np.int64)
+    for seed in range(0, PARTS, 4):
+        for start in range(0, len(kinds), BLOCK):
+            digests = b"".join(map(xxh3_128_digest, kinds[start : start + BLOCK], repeat(seed)))
+            bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 16), axis=1)
+            width = min(128, len(ones) - 32 * seed)
+            ones[32 * seed : 32 * seed + width] += bits[:, :width].sum(0, dtype=np.int32)
+    return node - (1 << 64) * (node >> 63), np.packbits(2 * ones > len(kinds)).view(">u4").tolist()
+
 
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
+    """The 64-bit hashes of a text's shingles, each once; a text of fewer words is one shingle."""
+    found = tokens(text)
+    runs = map(b" ".join, zip(*(found[i:] for i in range(words)))) if len(found) >= words else [b" ".join(found)]
+    return np.unique(np.fromiter(map(xxh3_64_intdigest, runs), np.uint64)).view(np.int64)
 
-def representatives(docs: DataFrame, bits: int = 3, words: int = 3) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, ...), with their columns, that are the first of their component: one for each.
 
-    Of repeated rows one stays, as of documents without an id in a component that has no other.
+def alike(docs: DataFrame, firsts: DataFrame, similarity: float, words: int) -> Callable[[DataFrame], DataFrame]:
+    """Keeps pairs of nodes whose texts have shingles alike by ``similarity`` or more (Jaccard); ``firsts`` (node, first) has a document of each.
+
+    Shingles are made of the texts of pairs only. A node that is in very many pairs is dealt to several tasks.
     """
-    signed, named = _named(docs, bits, words, "doc_id", "text")
-    named = common.cut(named)
+
+    @F.pandas_udf("node long, hashes array<long>")
+    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([(node_of(t), shingles(t, words)) for t in texts], columns=["node", "hashes"], dtype=object)
+
+    def keep(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = common.stored(firsts.join(asked, "node").select(F.col("first").alias("_first"), F.col("node").alias("_node")))
+        texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_first")).select("_node", hashed("text").alias("h"))
+        sets = common.stored(texts.where("h.node = _node").select(F.col("_node").alias("node"), "h.hashes")).dropDuplicates(["node"])
+        fat = pairs.withColumn("deal", F.expr(f"pmod(xxhash64(b), n div {DEALT} + 1)")).join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
+        often = pairs.groupBy("a").agg(F.max("n").alias("m"))
+        many = sets.join(often, F.col("node") == F.col("a")).select("a", F.col("hashes").alias("ha"), F.explode(F.expr(f"sequence(0L, m div {DEALT})")).alias("deal"))
+        both = F.size(F.array_intersect("ha", "hb"))
+        return fat.join(many, ["a", "deal"]).where(both >= similarity * (F.size("ha") + F.size("hb") - both)).select("a", "b")
+
+    return keep
+
+
+def node_of(text: str | None) -> int:
+    node = xxh3_64_intdigest(b" ".join(tokens(text)))
+    return node - (1 << 64) * (node >> 63)
+
+
+def representatives(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...), with their columns, that are the first of their group of near copies: one for each.
+
+    Texts are near copies if their sets of ``words``-word shingles have a Jaccard similarity of
+    ``similarity`` or more; groups are what such links connect. Candidates come from the anchors of
+    ``PARTS`` SimHashes of 32 bits, so a link is found with a probability (measured in the tests), and
+    every candidate is verified, so no two texts are linked that are not alike. Texts of equal words
+    are copies; empty and null texts are copies of each other. Of a group the smallest id stays. Of
+    repeated rows one stays, as of documents without an id in a group that has no other; documents
+    without an id are only compared by equal words. An empty table gives an empty one.
+    """
+
+    @F.pandas_udf("node long, parts array<long>")
+    def signed_by(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([node_and_parts(t) for t in texts], columns=["node", "parts"], dtype=object)
+
+    signed = common.stored(docs.select("doc_id", signed_by("text").alias("s")).select("doc_id", "s.node", "s.parts"))
+    firsts = common.cut(signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("parts").alias("parts")))
+    grown = families(firsts.select("node", "parts"), alike(docs, firsts.select("node", "first"), similarity, words))
+    named = common.cut(_named(firsts.select("node", "first"), grown))
     rows, ids = signed.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:
-        kept = named.select(F.col("component_id").alias("kept")).distinct()
+        kept = common.stored(named.select(F.col("component_id").alias("kept")).distinct())
         return docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == kept["kept"], "left_semi")  # ids only are hashed; texts are not sorted
-    marked = docs.select(F.struct("*").alias("row"), fingerprints(F.col("text"), words).alias("mark")).join(named, F.expr("mark = fp"))
+    number = F.pandas_udf(lambda texts: texts.map(node_of), "long")
+    marked = docs.select(F.struct("*").alias("row"), number("text").alias("mark")).join(named, F.expr("mark = node"))
     return marked.where("row.doc_id <=> component_id").dropDuplicates(["root"]).select("row.*")
 
 

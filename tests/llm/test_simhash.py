@@ -42,9 +42,49 @@ def test_links_lose_nothing(spark):
     signed = [f - 2**64 if f >= 2**63 else f for f in fps]
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
     for bits in (0, 1, 3):
-        found = {(r.a, r.b) for r in simhash.links(df, bits).collect()}
-        want = {(a, b) for a in signed for b in signed if a < b and bin((a ^ b) & (2**64 - 1)).count("1") <= bits}
-        assert found == want
+        grown = {r.node: r.root for r in simhash.families(simhash.halves(df), simhash.within(bits)).collect()}
+        root = {a: a for a in signed}
+        for _ in signed:
+            new = {a: min(root[b] for b in signed if bin((a ^ b) & (2**64 - 1)).count("1") <= bits) for a in signed}
+            if new == root:
+                break
+            root = new
+        assert {a: grown.get(a, a) for a in signed} == root
+
+
+def jaccard(a, b, k=5):
+    sets = [{tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in (a.lower().split(), b.lower().split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for _ in range(edits):
+        out[rng.randrange(len(out))] = f"new{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+def test_near_copies_by_similarity(spark):
+    """One text stays of each group; of links at 0.8 or more nine of ten at least are found, and none below."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("kalomitenru") for _ in range(rng.randrange(2, 9)))
+    docs, alike, apart, at = [], [], [], 0
+    for group in range(150):
+        words = [word() for _ in range(rng.randrange(60, 400))]
+        copy = edited(rng, words, rng.randrange(1, 2 + len(words) // 25))
+        docs += [(at, " ".join(words)), (at + 1, copy)]
+        (alike if jaccard(*(t for _, t in docs[-2:])) >= 0.8 else apart).append(at)
+        at += 2
+    hot = [word() for _ in range(200)]
+    docs += [(1000 + i, edited(rng, hot, 1)) for i in range(400)]  # a large group of different near copies
+    docs += [(5000, None), (5001, ""), (5002, " \t"), (5003, "two words"), (5004, "Two  WORDS"), (5005, "w " * 100_000), (5006, "w " * 100_001)]
+    d = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, node string")
+    kept = simhash.representatives(d)
+    assert kept.columns == d.columns
+    stay = {r.doc_id for r in kept.collect()}
+    assert all(i in stay and i + 1 in stay for i in apart) and all(i in stay for i in alike)
+    assert sum(i + 1 not in stay for i in alike) >= 0.9 * len(alike) and len(alike) > 60 and len(apart) > 20
+    assert [i for i in stay if 1000 <= i < 5000] == [1000] and [i for i in sorted(stay) if i >= 5000] == [5000, 5003, 5005]
 
 
 def test_classes(spark):
@@ -56,6 +96,7 @@ def test_classes(spark):
     some = docs.where("doc_id in (5, 9, 8, 7)")
     assert sorted(r.doc_id for r in simhash.representatives(some).collect()) == [5, 7, 8] and simhash.representatives(some).columns == docs.columns
     assert sorted(r.text for r in simhash.representatives(docs.where("doc_id is null")).collect()) == ["a b c d"]
+    assert simhash.representatives(docs.limit(0)).count() == 0
 
 
 def test_components_of_a_chain_a_star_and_a_cycle(spark):
@@ -69,4 +110,4 @@ def test_components_of_a_chain_a_star_and_a_cycle(spark):
 
 def test_bits_beyond_the_cover_are_refused(spark):
     with pytest.raises(ValueError):
-        simhash.links(spark.createDataFrame([], "fp long"), 4)
+        simhash.within(4)

@@ -195,6 +195,9 @@ def test_language_held_out_and_edges(spark):
     got = {r.doc_id: r.r for r in d.select("doc_id", language.predict_column(F.col("text"), language.train(d), spark).alias("r")).collect()}
     assert all(got[i].lang_pred == l for i, _, l in docs[:240])
     assert [got[i].lang_pred for i in (9001, 9002, 9003, 9004)] == ["und", "und", "und", "aa"] and got[9001].score == 0
+    assert got[9001].excess is None and got[0].margin > 0.25 and 0.5 < got[0].excess < 1.5
+    alone = language.train(d.where("lang = 'aa'"))
+    assert {r.r.margin for r in d.select(language.predict_column(F.col("text"), alone, spark).alias("r")).collect()} == {None}
     empty = language.train(d.limit(0))
     assert {r.r.lang_pred for r in d.select(language.predict_column(F.col("text"), empty, spark).alias("r")).collect()} == {"und"}
 
