@@ -21,6 +21,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest, xxh64_intdigest
 
@@ -30,8 +31,10 @@ from .components import components
 SEED = 42
 #: Shingles hashed at a time, so that a text of any length needs little memory.
 BLOCK = 1 << 16
-#: SimHashes of 32 bits by which near copies are found, and pairs of one text that a task verifies.
-PARTS, DEALT = 6, 4096
+#: SimHashes of 32 bits by which near copies are found, and bits of all of them in which they may differ.
+PARTS, APART = 6, 16
+#: Leads of a home, and pairs of one text that a task verifies.
+LEADS, DEALT = 8, 4096
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -73,51 +76,47 @@ def _home(part: Column) -> tuple[Column, Column]:
 
 
 def _filed(points: DataFrame) -> DataFrame:
-    """(node, side, home, anchors) for each part of ``points`` (node, parts): its home and every anchor to be met, as longs that name side, free bit and code word."""
-    rows = points.select("node", F.posexplode("parts").alias("side", "part"))
+    """(node, code, home, anchors) for each part of ``points`` (node, parts, code): its home and every anchor to be met, as longs that name side, free bit and code word."""
+    rows = points.select("node", "code", F.posexplode("parts").alias("side", "part"))
     syndrome, low = _home(F.col("part"))
-    rows = rows.select("node", "side", ((F.col("side").cast("long") * 2 + F.shiftrightunsigned("part", 31)) * (1 << 31)).alias("base"), syndrome.alias("s"), low.alias("low"))
+    rows = rows.select("node", "code", ((F.col("side").cast("long") * 2 + F.shiftrightunsigned("part", 31)) * (1 << 31)).alias("base"), syndrome.alias("s"), low.alias("low"))
     rows = rows.withColumn("home", F.expr("base + if(s = 0, low, low ^ shiftleft(1L, cast(s - 1 as int)))"))
     pairs = F.expr("transform(filter(sequence(1L, 31L), a -> s <> 0 and a <> s and a < (a ^ s)), a -> base + (low ^ shiftleft(1L, cast(a - 1 as int)) ^ shiftleft(1L, cast((a ^ s) - 1 as int))))")
-    return rows.select("node", "side", "home", F.concat(F.array("home", F.expr("home ^ 2147483648L")), pairs).alias("anchors"))
+    return rows.select("node", "code", "home", F.concat(F.array("home", F.expr("home ^ 2147483648L")), pairs).alias("anchors"))
 
 
-def families(points: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, root): for each node of ``points`` (node, parts) that is linked, the smallest node it can reach.
+def families(points: DataFrame, close: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(node, root): for each node of ``points`` (node, parts, code) that is linked, the smallest node it can reach.
 
-    ``parts`` are 32-bit numbers as longs; nodes with a part within one bit of each other's meet, and
-    ``verify`` keeps of such pairs (a, b, n) those that are links; ``n`` is how often ``a`` may come.
-    Every node is first held against one other of its home, so that a group of very many like nodes
-    becomes one family by as many pairs as it has nodes. Then each node meets the homes within reach that
-    have nodes of other families, and only pairs of two families are looked at; those of one family
-    would change nothing. No link between two families is lost.
+    ``parts`` are 32-bit numbers as longs; nodes with a part within one bit of each other's meet if their
+    codes are ``close``, and ``verify`` keeps of such pairs (a, b), a < b, those that are links, else all
+    are. Every node is first held against the ``LEADS`` leads of its homes, so that a group of very many
+    like nodes becomes few families by pairs in proportion to its nodes. Then each node meets the homes
+    within reach that have nodes of other families, and only pairs of two families are looked at; those
+    of one family would change nothing. No link between two families is lost.
     """
     filed = common.cut(_filed(points))
-    homes = filed.select(F.col("home").alias("anchor"), "node", "side")
-    found, grown = None, None
-    for sides in ("side < 2", "side >= 2"):
-        own = _in_families(homes.where(sides), grown)
-        leads = own.groupBy("anchor").agg(F.min(F.struct("node", "family")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        stars = own.join(leads.hint("shuffle_hash"), "anchor").where("family <> lead.family").select(F.col("lead.node").alias("a"), F.col("node").alias("b"), "n")
-        stars = common.cut(stars.groupBy("a", "b").agg(F.max("n").alias("n")))
-        if found is None or stars.limit(1).count():
-            links = common.cut(verify(stars))
-            found = links if found is None else found.unionByName(links)
-            grown = components(found)
+    homes = filed.select(F.col("home").alias("anchor"), "node", "code")
+    place = F.row_number().over(W.partitionBy("anchor").orderBy(F.xxhash64("node", "anchor"), "node"))
+    leads = homes.select("anchor", F.col("node").alias("lead"), F.col("code").alias("own"), place.alias("place")).where(F.col("place") <= LEADS).drop("place")
+    both = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    stars = homes.join(leads.hint("shuffle_hash"), "anchor").where((F.col("lead") != F.col("node")) & close(F.col("code"), F.col("own"))).select(*both("lead", "node")).distinct()
+    kept = verify or (lambda pairs: pairs)
+    found = common.cut(kept(common.cut(stars)))
+    grown = components(found)
     own = common.cut(_in_families(homes, grown))
     sizes = own.groupBy("anchor", "family").agg(F.count(F.lit(1)).alias("n")).groupBy("anchor").agg(F.max_by("family", F.struct("n", "family")).alias("most"), F.count(F.lit(1)).alias("kinds"))
-    met = _in_families(filed.select("node", "anchors"), grown).select(F.explode("anchors").alias("anchor"), "node", "family")
+    met = _in_families(filed.select("node", "code", "anchors"), grown).select(F.explode("anchors").alias("anchor"), "node", "code", "family")
     # homes, one row for each fingerprint and part, are hashed, so that replicas need no sort
     near = common.cut(met.join(sizes.hint("shuffle_hash"), "anchor").where("kinds > 1 or family <> most"))
-    named = own.select("anchor", F.col("node").alias("b"), F.col("family").alias("other"))
-    few = named.join(sizes, "anchor").where("other <> most").select("anchor", "b", "other")
-    many = named.join(sizes, "anchor").where("other = most").select("anchor", "b", "other")
-    cross = near.join(few, "anchor").where("family <> other").unionByName(near.where("family <> most").join(many, "anchor"))
-    pairs = common.cut(cross.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+    named = own.select("anchor", F.col("node").alias("other_node"), F.col("code").alias("other_code"), F.col("family").alias("other")).join(sizes, "anchor")
+    few, many = (named.where(test).select("anchor", "other_node", "other_code", "other") for test in ("other <> most", "other = most"))
+    reach = (F.col("family") != F.col("other")) & close(F.col("code"), F.col("other_code"))
+    cross = near.join(few, "anchor").where(reach).select(*both("node", "other_node")).unionByName(near.where("family <> most").join(many, "anchor").where(reach).select(*both("node", "other_node")))
+    pairs = common.cut(cross.distinct())
     if not pairs.limit(1).count():
         return grown
-    more = common.cut(verify(pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "a")))
-    return components(found.unionByName(more)) if more.limit(1).count() else grown
+    return components(found.unionByName(common.cut(kept(pairs))))
 
 
 def _in_families(rows: DataFrame, grown: DataFrame | None) -> DataFrame:
@@ -128,16 +127,21 @@ def _in_families(rows: DataFrame, grown: DataFrame | None) -> DataFrame:
     return rows.join(known, F.col("node") == F.col("_node"), "left").withColumn("family", F.coalesce("root", "node")).drop("_node", "root")
 
 
-def within(bits: int = 3) -> Callable[[DataFrame], DataFrame]:
-    """Keeps pairs of fingerprints at ``bits`` or fewer differing bits, at most 3: more are not covered."""
-    if not 0 <= bits <= 3:
-        raise ValueError("the anchors cover up to 3 differing bits")
-    return lambda pairs: pairs.where(F.expr(f"bit_count(a ^ b) <= {bits}")).select("a", "b")
+def within(bits: int, longs: int) -> Callable[[Column, Column], Column]:
+    """Whether two codes, arrays of ``longs`` numbers, differ in ``bits`` bits or fewer."""
+    return lambda a, b: sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, longs)), F.bit_count(a[0].bitwiseXOR(b[0]))) <= bits
 
 
 def halves(fps: DataFrame) -> DataFrame:
-    """(node, parts) of fingerprints ``fp``: of two that differ in three bits, a half of one is within a bit of the other's."""
-    return fps.select(F.col("fp").alias("node"), F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32))").alias("parts"))
+    """Points of fingerprints ``fp``: of two that differ in three bits, a half of one is within a bit of the other's."""
+    return fps.select(F.col("fp").alias("node"), F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32))").alias("parts"), F.array("fp").alias("code"))
+
+
+def linked(fps: DataFrame, bits: int = 3) -> DataFrame:
+    """(node, root) of the fingerprints ``fp`` that reach another by steps of ``bits`` or fewer differing bits, at most 3: more are not covered."""
+    if not 0 <= bits <= 3:
+        raise ValueError("the anchors cover up to 3 differing bits")
+    return families(halves(fps), within(bits, 1))
 
 
 def classes(docs: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,7 +153,7 @@ def classes(docs: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_i
     """
     signed = common.stored(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), words).alias("fp")))
     fps = common.cut(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    named = _named(fps.select(F.col("fp").alias("node"), "first"), families(halves(fps), within(bits)))
+    named = _named(fps.select(F.col("fp").alias("node"), "first"), linked(fps, bits))
     return signed.join(named.select(F.col("node").alias("fp"), "component_id").hint("shuffle_hash"), "fp").select("doc_id", "fp", "component_id")
 
 
@@ -207,9 +211,9 @@ def alike(docs: DataFrame, firsts: DataFrame, similarity: float, words: int) ->
         wanted = common.stored(firsts.join(asked, "node").select(F.col("first").alias("_first"), F.col("node").alias("_node")))
         texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_first")).select("_node", hashed("text").alias("h"))
         sets = common.stored(texts.where("h.node = _node").select(F.col("_node").alias("node"), "h.hashes")).dropDuplicates(["node"])
-        fat = pairs.withColumn("deal", F.expr(f"pmod(xxhash64(b), n div {DEALT} + 1)")).join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
-        often = pairs.groupBy("a").agg(F.max("n").alias("m"))
-        many = sets.join(often, F.col("node") == F.col("a")).select("a", F.col("hashes").alias("ha"), F.explode(F.expr(f"sequence(0L, m div {DEALT})")).alias("deal"))
+        often = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+        fat = pairs.join(often, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), n div {DEALT} + 1)").alias("deal")).join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
+        many = sets.join(often, F.col("node") == F.col("a")).select("a", F.col("hashes").alias("ha"), F.explode(F.expr(f"sequence(0L, n div {DEALT})")).alias("deal"))
         both = F.size(F.array_intersect("ha", "hb"))
         return fat.join(many, ["a", "deal"]).where(both >= similarity * (F.size("ha") + F.size("hb") - both)).select("a", "b")
 
@@ -226,8 +230,9 @@ def representatives(docs: DataFrame, similarity: float = 0.8, words: int = 5) ->
 
     Texts are near copies if their sets of ``words``-word shingles have a Jaccard similarity of
     ``similarity`` or more; groups are what such links connect. Candidates come from the anchors of
-    ``PARTS`` SimHashes of 32 bits, so a link is found with a probability (measured in the tests), and
-    every candidate is verified, so no two texts are linked that are not alike. Texts of equal words
+    ``PARTS`` SimHashes of 32 bits that differ in ``APART`` bits in all, so a link is found with a
+    probability (measured in the tests), and every candidate is verified, so no two texts are linked
+    that are not alike. Texts of equal words
     are copies; empty and null texts are copies of each other. Of a group the smallest id stays. Of
     repeated rows one stays, as of documents without an id in a group that has no other; documents
     without an id are only compared by equal words. An empty table gives an empty one.
@@ -240,7 +245,8 @@ def representatives(docs: DataFrame, similarity: float = 0.8, words: int = 5) ->
 
     signed = common.stored(docs.select("doc_id", signed_by("text").alias("s")).select("doc_id", "s.node", "s.parts"))
     firsts = common.cut(signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("parts").alias("parts")))
-    grown = families(firsts.select("node", "parts"), alike(docs, firsts.select("node", "first"), similarity, words))
+    code = F.array(*(F.shiftleft(F.get("parts", F.lit(2 * i)), 32).bitwiseOR(F.get("parts", F.lit(2 * i + 1))) for i in range(PARTS // 2)))
+    grown = families(firsts.select("node", "parts", code.alias("code")), within(APART, PARTS // 2), alike(docs, firsts.select("node", "first"), similarity, words))
     named = common.cut(_named(firsts.select("node", "first"), grown))
     rows, ids = signed.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:

@@ -42,7 +42,7 @@ def test_links_lose_nothing(spark):
     signed = [f - 2**64 if f >= 2**63 else f for f in fps]
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
     for bits in (0, 1, 3):
-        grown = {r.node: r.root for r in simhash.families(simhash.halves(df), simhash.within(bits)).collect()}
+        grown = {r.node: r.root for r in simhash.linked(df, bits).collect()}
         root = {a: a for a in signed}
         for _ in signed:
             new = {a: min(root[b] for b in signed if bin((a ^ b) & (2**64 - 1)).count("1") <= bits) for a in signed}
@@ -110,4 +110,4 @@ def test_components_of_a_chain_a_star_and_a_cycle(spark):
 
 def test_bits_beyond_the_cover_are_refused(spark):
     with pytest.raises(ValueError):
-        simhash.within(4)
+        simhash.linked(spark.createDataFrame([], "fp long"), 4)
