@@ -31,10 +31,11 @@ from .components import components
 SEED = 42
 #: Shingles hashed at a time, so that a text of any length needs little memory.
 BLOCK = 1 << 16
-#: SimHashes of 32 bits by which near copies are found, and bits of all of them in which they may differ.
-PARTS, APART = 6, 16
+#: SimHashes of 32 bits by which near copies meet, longs of the whole code, and bits of it in which they may differ.
+PARTS, LONGS, APART = 6, 12, 76
 #: Leads of a home, and pairs of one text that a task verifies.
 LEADS, DEALT = 8, 4096
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -76,40 +77,49 @@ def _home(part: Column) -> tuple[Column, Column]:
 
 
 def _filed(points: DataFrame) -> DataFrame:
-    """(node, code, home, anchors) for each part of ``points`` (node, parts, code): its home and every anchor to be met, as longs that name side, free bit and code word."""
-    rows = points.select("node", "code", F.posexplode("parts").alias("side", "part"))
+    """(node, home, anchors) for each part of ``points`` (node, parts): its home and every anchor to be met, as longs that name side, free bit and code word."""
+    rows = points.select("node", F.posexplode("parts").alias("side", "part"))
     syndrome, low = _home(F.col("part"))
-    rows = rows.select("node", "code", ((F.col("side").cast("long") * 2 + F.shiftrightunsigned("part", 31)) * (1 << 31)).alias("base"), syndrome.alias("s"), low.alias("low"))
+    rows = rows.select("node", ((F.col("side").cast("long") * 2 + F.shiftrightunsigned("part", 31)) * (1 << 31)).alias("base"), syndrome.alias("s"), low.alias("low"))
     rows = rows.withColumn("home", F.expr("base + if(s = 0, low, low ^ shiftleft(1L, cast(s - 1 as int)))"))
     pairs = F.expr("transform(filter(sequence(1L, 31L), a -> s <> 0 and a <> s and a < (a ^ s)), a -> base + (low ^ shiftleft(1L, cast(a - 1 as int)) ^ shiftleft(1L, cast((a ^ s) - 1 as int))))")
-    return rows.select("node", "code", "home", F.concat(F.array("home", F.expr("home ^ 2147483648L")), pairs).alias("anchors"))
+    return rows.select("node", "home", F.concat(F.array("home", F.expr("home ^ 2147483648L")), pairs).alias("anchors"))
 
 
-def families(points: DataFrame, close: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """(node, root): for each node of ``points`` (node, parts, code) that is linked, the smallest node it can reach.
+def families(points: DataFrame, close: Callable[[Column, Column], Column], codes: DataFrame | None = None, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(node, root): for each node of ``points`` (node, parts) that is linked, the smallest node it can reach.
 
-    ``parts`` are 32-bit numbers as longs; nodes with a part within one bit of each other's meet if their
-    codes are ``close``, and ``verify`` keeps of such pairs (a, b), a < b, those that are links, else all
-    are. Every node is first held against the ``LEADS`` leads of its homes, so that a group of very many
-    like nodes becomes few families by pairs in proportion to its nodes. Then each node meets the homes
-    within reach that have nodes of other families, and only pairs of two families are looked at; those
-    of one family would change nothing. No link between two families is lost.
+    ``parts`` are 32-bit numbers as longs. Nodes with a part within one bit of each other's meet if their
+    codes are ``close``; ``codes`` has (node, code), without it a node is its own code. ``verify`` keeps of
+    such pairs (a, b), a < b, those that are links; without it all are. Every node is first held against
+    the ``LEADS`` leads of its homes, so that a group of very many like nodes becomes few families by
+    pairs in proportion to its nodes. Then each node meets the homes within reach that have nodes of
+    other families, and only pairs of two families are looked at; those of one family would change
+    nothing. No link between two families is lost.
     """
+
+    def coded(rows: DataFrame, node: str, name: str) -> DataFrame:
+        if codes is None:
+            return rows.withColumn(name, F.array(node))
+        return rows.join(codes.select(F.col("node").alias("_of"), F.col("code").alias(name)), F.col(node) == F.col("_of")).drop("_of")
+
+    kept = verify or (lambda pairs: pairs)
+    both = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     filed = common.cut(_filed(points))
-    homes = filed.select(F.col("home").alias("anchor"), "node", "code")
+    homes = filed.select(F.col("home").alias("anchor"), "node")
     place = F.row_number().over(W.partitionBy("anchor").orderBy(F.xxhash64("node", "anchor"), "node"))
-    leads = homes.select("anchor", F.col("node").alias("lead"), F.col("code").alias("own"), place.alias("place")).where(F.col("place") <= LEADS).drop("place")
-    both = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    stars = homes.join(leads.hint("shuffle_hash"), "anchor").where((F.col("lead") != F.col("node")) & close(F.col("code"), F.col("own"))).select(*both("lead", "node")).distinct()
-    kept = verify or (lambda pairs: pairs)
+    leads = homes.select("anchor", F.col("node").alias("lead"), place.alias("place")).where(F.col("place") <= LEADS).drop("place")
+    stars = homes.join(leads.hint("shuffle_hash"), "anchor").where("lead <> node").select(*both("lead", "node")).distinct()
+    stars = coded(coded(stars, "a", "_x"), "b", "_y").where(close(F.col("_x"), F.col("_y"))).select("a", "b")
     found = common.cut(kept(common.cut(stars)))
     grown = components(found)
     own = common.cut(_in_families(homes, grown))
     sizes = own.groupBy("anchor", "family").agg(F.count(F.lit(1)).alias("n")).groupBy("anchor").agg(F.max_by("family", F.struct("n", "family")).alias("most"), F.count(F.lit(1)).alias("kinds"))
-    met = _in_families(filed.select("node", "code", "anchors"), grown).select(F.explode("anchors").alias("anchor"), "node", "code", "family")
+    met = _in_families(filed.select("node", "anchors"), grown).select(F.explode("anchors").alias("anchor"), "node", "family")
     # homes, one row for each fingerprint and part, are hashed, so that replicas need no sort
-    near = common.cut(met.join(sizes.hint("shuffle_hash"), "anchor").where("kinds > 1 or family <> most"))
-    named = own.select("anchor", F.col("node").alias("other_node"), F.col("code").alias("other_code"), F.col("family").alias("other")).join(sizes, "anchor")
+    near = common.cut(coded(met.join(sizes.hint("shuffle_hash"), "anchor").where("kinds > 1 or family <> most"), "node", "code"))
+    named = own.join(near.select("anchor").distinct(), "anchor", "left_semi").select("anchor", F.col("node").alias("other_node"), F.col("family").alias("other")).join(sizes, "anchor")
+    named = coded(named, "other_node", "other_code")
     few, many = (named.where(test).select("anchor", "other_node", "other_code", "other") for test in ("other <> most", "other = most"))
     reach = (F.col("family") != F.col("other")) & close(F.col("code"), F.col("other_code"))
     cross = near.join(few, "anchor").where(reach).select(*both("node", "other_node")).unionByName(near.where("family <> most").join(many, "anchor").where(reach).select(*both("node", "other_node")))
@@ -134,7 +144,7 @@ def within(bits: int, longs: int) -> Callable[[Column, Column], Column]:
 
 def halves(fps: DataFrame) -> DataFrame:
     """Points of fingerprints ``fp``: of two that differ in three bits, a half of one is within a bit of the other's."""
-    return fps.select(F.col("fp").alias("node"), F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32))").alias("parts"), F.array("fp").alias("code"))
+    return fps.select(F.col("fp").alias("node"), F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32))").alias("parts"))
 
 
 def linked(fps: DataFrame, bits: int = 3) -> DataFrame:
@@ -169,23 +179,25 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def node_and_parts(text: str | None) -> tuple[int, list[int]]:
-    """A number for the text's sequence of words, and ``PARTS`` SimHashes of 32 bits of its words and pairs of words, each once.
+def signed(text: str | None) -> tuple[int, list[int], list[int]]:
+    """A number for the text's sequence of words, and the SimHash of its words and pairs of words, each once: ``PARTS`` parts of 32 bits, and the whole code.
 
     Short shingles, as an edited word changes one word and two pairs, but five shingles of five: texts
-    of similarity 0.8 differ in some 7 of 100 bits, so that some part mostly differs in one bit at most.
+    of similarity 0.8 differ in some 8 of 100 bits, so that some part mostly differs in one bit at most.
     """
     found = tokens(text)
     node = xxh3_64_intdigest(b" ".join(found))
     kinds = list({*found, *map(b" ".join, zip(found, found[1:]))})
-    ones = np.zeros(32 * PARTS, np.int64)
-    for seed in range(0, PARTS, 4):
-        for start in range(0, len(kinds), BLOCK):
-            digests = b"".join(map(xxh3_128_digest, kinds[start : start + BLOCK], repeat(seed)))
-            bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 16), axis=1)
-            width = min(128, len(ones) - 32 * seed)
-            ones[32 * seed : 32 * seed + width] += bits[:, :width].sum(0, dtype=np.int32)
-    return node - (1 << 64) * (node >> 63), np.packbits(2 * ones > len(kinds)).view(">u4").tolist()
+    ones = np.zeros(64 * LONGS, np.int64)
+    for start in range(0, len(kinds), BLOCK >> 3):
+        h = np.frombuffer(b"".join(map(xxh3_128_digest, kinds[start : start + (BLOCK >> 3)])), "<u8").reshape(-1, 2)
+        more = [h]
+        while len(more) < LONGS // 2:  # further bits of the same hash, by multiplying and folding
+            x = more[-1] * _ODD
+            more.append(x ^ x >> np.uint64(32))
+        ones += np.unpackbits(np.concatenate(more, 1).view(np.uint8), axis=1).sum(0, dtype=np.int32)
+    bits = np.packbits(2 * ones > len(kinds))
+    return node - (1 << 64) * (node >> 63), bits[: 4 * PARTS].view(">u4").tolist(), bits.view(">i8").tolist()
 
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
@@ -230,7 +242,7 @@ def representatives(docs: DataFrame, similarity: float = 0.8, words: int = 5) ->
 
     Texts are near copies if their sets of ``words``-word shingles have a Jaccard similarity of
     ``similarity`` or more; groups are what such links connect. Candidates come from the anchors of
-    ``PARTS`` SimHashes of 32 bits that differ in ``APART`` bits in all, so a link is found with a
+    ``PARTS`` SimHashes of 32 bits whose whole codes differ in ``APART`` bits, so a link is found with a
     probability (measured in the tests), and every candidate is verified, so no two texts are linked
     that are not alike. Texts of equal words
     are copies; empty and null texts are copies of each other. Of a group the smallest id stays. Of
@@ -238,17 +250,16 @@ def representatives(docs: DataFrame, similarity: float = 0.8, words: int = 5) ->
     without an id are only compared by equal words. An empty table gives an empty one.
     """
 
-    @F.pandas_udf("node long, parts array<long>")
-    def signed_by(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("node long, parts array<long>, code array<long>")
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([node_and_parts(t) for t in texts], columns=["node", "parts"], dtype=object)
+            yield pd.DataFrame([signed(t) for t in texts], columns=["node", "parts", "code"], dtype=object)
 
-    signed = common.stored(docs.select("doc_id", signed_by("text").alias("s")).select("doc_id", "s.node", "s.parts"))
-    firsts = common.cut(signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("parts").alias("parts")))
-    code = F.array(*(F.shiftleft(F.get("parts", F.lit(2 * i)), 32).bitwiseOR(F.get("parts", F.lit(2 * i + 1))) for i in range(PARTS // 2)))
-    grown = families(firsts.select("node", "parts", code.alias("code")), within(APART, PARTS // 2), alike(docs, firsts.select("node", "first"), similarity, words))
+    rows_signed = common.stored(docs.select("doc_id", sign("text").alias("s")).select("doc_id", "s.*"))
+    firsts = common.stored(rows_signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("parts").alias("parts"), F.any_value("code").alias("code")))
+    grown = families(firsts.select("node", "parts"), within(APART, LONGS), firsts.select("node", "code"), alike(docs, firsts.select("node", "first"), similarity, words))
     named = common.cut(_named(firsts.select("node", "first"), grown))
-    rows, ids = signed.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    rows, ids = rows_signed.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:
         kept = common.stored(named.select(F.col("component_id").alias("kept")).distinct())
         return docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == kept["kept"], "left_semi")  # ids only are hashed; texts are not sorted
