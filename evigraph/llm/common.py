@@ -6,10 +6,18 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F#: Rows of an Arrow batch for Python workers; Spark bounds a batch's bytes too, at 64 MB, but a batch is
+#: held several times over in a worker.
+BATCH_ROWS = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables; ``sf_dir`` may be in any store that Spark reads."""
+    """One of the input tables; ``sf_dir`` may be in any store that Spark reads.
+
+    The session's Arrow batches are lowered to ``BATCH_ROWS`` rows, as plans take that setting when they run.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

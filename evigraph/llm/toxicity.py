@@ -172,9 +172,9 @@ class Index:
         rare = column < 0
         by_term = np.argsort(terms[rare], kind="stable")
         self.owners, self.given = place[owner[rare][by_term]], weights[rare][by_term]
-        self.start = np.concatenate([[0], np.cumsum(np.where(self.column < 0, df, 0))]).astype(np.int64)
+        self.start = np.concatenate([[0], np.cumsum(np.where(self.column < 0, df, 0))]).astype(np.int32)
         self.length = np.diff(self.start)
-        self.steps = np.arange(len(self.owners))
+        self.steps = np.arange(len(self.owners), dtype=np.int32)
         self.skipped = self.met = 0
         self.ready = True
 
@@ -203,7 +203,7 @@ class Index:
             rare = ids[~often]
             lo, length = self.start[rare], self.length[rare]
             if total := int(length.sum()):
-                at = np.repeat(lo - np.cumsum(length) + length, length) + self.steps[:total]
+                at = np.repeat(lo - np.cumsum(length, dtype=np.int32) + length, length) + self.steps[:total]
                 rest[row] = np.bincount(self.owners[at], self.given[at] * np.repeat(q[~often], length), minlength=n)
         bound = np.maximum.reduceat(rest, self.starts, axis=1) + asked @ self.most + MARGIN
         sums = np.full((len(part), n), -np.inf)
@@ -349,6 +349,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Inde
         t, by_term = counted["t"].to_numpy(), counted["n"].to_numpy()
         total = int(by_term[t < 0].sum())
         df[t[t >= 0]] = by_term[t >= 0]
+    shared.destroy()  # its one job is done
     index = Index([(d, pack(*v), y) for (d, _, y, _), v in zip(found, numbered)], vocabulary, (np.log((1 + total) / (1 + df)) + 1) * boost)
     own = spark.sparkContext.broadcast(cloudpickle.dumps(index))
 
@@ -359,6 +360,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Inde
             yield pd.Series([here.votes(near) for near in here.search(here.vectors(texts.tolist()), copies=False)], dtype=float)
 
     fitted = examples.select("doc_id", "y", others("text").alias("share")).toArrow().sort_by("doc_id")
+    own.destroy()
     index.curve = curve(fitted["share"].to_numpy(), fitted["y"].to_numpy().astype(float))
     return index
 
