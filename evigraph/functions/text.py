@@ -20,6 +20,11 @@ def collapsed(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), WHITE, " "))
 
 
+def trimmed(c: Column) -> Column:
+    """Without white space at the ends; null is empty."""
+    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def folded(c: Column) -> Column:
     """Collapsed and lower-cased."""
     return F.lower(collapsed(c))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evigraph.functions import text
+from evigraph.functions import ranks, text
+from evigraph.operators.contains import containing
 
 SCHEMA = "array<struct<document_id: string, source_file: string, page: string, chunk_id: string, quote: string>>"
 SHORTEST = 8
@@ -25,17 +26,20 @@ def in_own_chunk(quotes: DataFrame, chunks: DataFrame) -> DataFrame:
 def in_any_chunk(quotes: DataFrame, chunks: DataFrame) -> DataFrame:
     """The rows of ``quotes`` (quote, ...) whose quote stands in some chunk.
 
-    A chunk that holds a quote holds its first eight characters, so both are joined on these: only
-    the eight-character runs that are some quote's beginning leave a chunk. Quotes are taken once
-    each; no pair is lost and no nested loop is needed.
+    Where quotes name a document and chunk, that chunk is looked at first; only quotes that do not stand
+    there are looked for in all chunks, through their rarest words. Quotes are taken once each; no pair
+    is lost and no nested loop is needed.
     """
     wanted = quotes.withColumn("_quote", text.folded(F.col("quote"))).where(F.length("_quote") >= SHORTEST)
-    kinds = wanted.select("_quote").distinct().withColumn("_head", F.substring("_quote", 1, SHORTEST))
-    bodies = chunks.select(text.folded(F.col("text")).alias("_body")).where(F.length("_body") >= SHORTEST).withColumn("_chunk", F.xxhash64("_body"))
-    runs = bodies.select("_chunk", F.explode(F.array_distinct(F.expr(f"transform(sequence(1, length(_body) - {SHORTEST - 1}), i -> substring(_body, i, {SHORTEST}))"))).alias("_head"))
-    near = kinds.join(runs, "_head").select("_quote", "_chunk")
-    found = near.join(bodies.dropDuplicates(["_chunk", "_body"]), "_chunk").where(F.contains("_body", F.col("_quote"))).select("_quote").distinct()
-    return wanted.join(found, "_quote", "left_semi").drop("_quote")
+    kinds = wanted.select(F.col("_quote").alias("phrase")).distinct()
+    own = None
+    if {"document_id", "chunk_id"} <= set(quotes.columns):
+        own = in_own_chunk(quotes.select("document_id", "chunk_id", "quote"), chunks).select(text.folded(F.col("quote")).alias("phrase")).distinct()
+        kinds = kinds.join(own, "phrase", "left_anti")
+    bodies = chunks.select(text.folded(F.col("text")).alias("body")).where(F.length("body") >= SHORTEST).withColumn("text_id", F.xxhash64("body")).dropDuplicates(["text_id", "body"])
+    found = containing(kinds, bodies).select("phrase").distinct()
+    found = found if own is None else found.unionByName(own)
+    return wanted.join(found.select(F.col("phrase").alias("_quote")), "_quote", "left_semi").drop("_quote")
 
 
 def cleaned(evidence: Column, document_id: Column, source_file: Column, chunk_id: Column, page: Column) -> Column:
@@ -56,3 +60,14 @@ def united(order: str, evidence: str = "evidence") -> Column:
     """An aggregate: all items of a group in the order of ``order``, each once; nulls equal nulls."""
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(F.col(evidence), F.array().cast(SCHEMA)).alias("e"))))
     return F.array_distinct(F.flatten(F.transform(rows, lambda r: r["e"])))
+
+
+def numbered(items: DataFrame, group: str, order: str) -> DataFrame:
+    """(group, place, document_id, source_file, page, chunk_id, quote): the different items of each group, in the order they first appear.
+
+    ``items`` has one row an item. Repeats go before the shuffle that orders them, and items are numbered
+    within pieces of the order, so a group of very many is no single task and no single array.
+    """
+    fields = ["document_id", "source_file", "page", "chunk_id", "quote"]
+    once = items.groupBy(group, *fields).agg(F.min(order).alias("_first"))
+    return ranks.numbered(once, [group], ["_first", *fields], "place").select(group, "place", *fields)

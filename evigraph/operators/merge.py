@@ -127,6 +127,28 @@ def merge_relationships(relationships: DataFrame) -> DataFrame:
     return out.withColumn("relationship_id", text.minted("rel_", *(F.col(c) for c in ends)))
 
 
+def merge_relationships_by_id(relationships: DataFrame) -> DataFrame:
+    """One relationship for each id: the first occurrence's ends and type, the first non-empty value of each property, all evidence."""
+    heads = relationships.groupBy("relationship_id").agg(F.min("rel_ord").alias("rel_ord"), F.min_by(F.struct("relationship_type", "source_node_id", "target_node_id"), "rel_ord").alias("head"), E.united("rel_ord").alias("evidence"))
+    props = merged_properties(relationships, "relationship_id", "rel_ord")
+    return heads.join(props, "relationship_id", "left").select("rel_ord", "relationship_id", "head.*", F.coalesce("props", F.array().cast(P.SCHEMA)).alias("props"), "evidence")
+
+
+def merge_repaired_relationships(relationships: DataFrame, repair: DataFrame, nodes: DataFrame, redirects: DataFrame) -> DataFrame:
+    """``relationships`` and those of ``repair`` that are new: ends redirected, both of them nodes, an id that is not there yet.
+
+    Of repair relationships with one id the first counts. ``redirects`` is (old_node_id, node_id).
+    """
+    s, t = (redirects.select(F.col("old_node_id").alias(f"{x}_old"), F.col("node_id").alias(f"{x}_new")) for x in "st")
+    moved = repair.join(s, F.col("source_node_id") == F.col("s_old"), "left").join(t, F.col("target_node_id") == F.col("t_old"), "left")
+    moved = moved.withColumn("source_node_id", F.coalesce("s_new", "source_node_id")).withColumn("target_node_id", F.coalesce("t_new", "target_node_id")).drop("s_old", "s_new", "t_old", "t_new")
+    known = nodes.select(F.col("node_id").alias("_n")).distinct()
+    whole = moved.join(known, F.col("source_node_id") == F.col("_n"), "left_semi").join(known, F.col("target_node_id") == F.col("_n"), "left_semi").where("relationship_id <> ''")
+    first = whole.withColumn("_n", F.row_number().over(W.partitionBy("relationship_id").orderBy("rel_ord"))).where("_n = 1").drop("_n")
+    fresh = first.join(relationships.select("relationship_id").distinct(), "relationship_id", "left_anti")
+    return relationships.unionByName(fresh.select(*relationships.columns))
+
+
 def first_of_triples(relationships: DataFrame) -> DataFrame:
     """The first relationship of each (source, type, target), nothing merged."""
     order = W.partitionBy("source_node_id", "relationship_type", "target_node_id").orderBy("rel_ord")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from evigraph.functions.store import cut
+
 
 def judge(reviews: DataFrame, nodes: DataFrame) -> DataFrame:
     """Duplicate reviews with ``verdict``: accepted, or why not.
@@ -29,11 +31,11 @@ def roots(judged: DataFrame) -> DataFrame:
     are rows leads round a cycle; the smallest ordinal met on the way is that cycle's.
     """
     edge = judged.where("verdict = 'accepted'").select(F.col("node_id").alias("old_node_id"), F.struct(F.col("other_ord").alias("o"), F.col("duplicate_of").alias("id")).alias("up"))
-    step = edge.select("old_node_id", "up", F.col("up").alias("least"), F.lit(False).alias("done")).checkpoint()
+    step = cut(edge.select("old_node_id", "up", F.col("up").alias("least"), F.lit(False).alias("done")))
     n, length = step.count(), 1
     while length < 2 * n and step.where("not done").limit(1).count():
         on = step.select(F.col("old_node_id").alias("via"), F.col("up").alias("up2"), F.col("least").alias("least2"))
-        step = step.join(on, F.col("up.id") == F.col("via"), "left").select("old_node_id", F.coalesce("up2", "up").alias("up"), F.when(F.col("via").isNull(), F.col("least")).otherwise(F.least("least", "least2")).alias("least"), F.col("via").isNull().alias("done")).checkpoint()
+        step = cut(step.join(on, F.col("up.id") == F.col("via"), "left").select("old_node_id", F.coalesce("up2", "up").alias("up"), F.when(F.col("via").isNull(), F.col("least")).otherwise(F.least("least", "least2")).alias("least"), F.col("via").isNull().alias("done")))
         length *= 2
     # on a cycle every further round walks it whole, so ``least`` holds at least the cycle's members
     ends = step.where("done").select("old_node_id", F.col("up.id").alias("node_id"))

@@ -1,6 +1,6 @@
 """What an ontology allows, and what is wrong with a graph.
 
-Ontologies are small, bounded files, so their tables are broadcast.
+Ontologies are mostly small files; whether their tables are broadcast is left to Spark, which knows their size.
 """
 
 from __future__ import annotations
@@ -8,14 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evigraph.functions.store import cut
+
 
 def known_types(nodes: DataFrame, types: DataFrame) -> DataFrame:
     """The nodes whose type is in the ontology."""
-    return nodes.join(F.broadcast(types.select("node_type").distinct()), "node_type", "left_semi")
+    return nodes.join(types.select("node_type").distinct(), "node_type", "left_semi")
 
 
 def _lists(properties: DataFrame) -> DataFrame:
-    return F.broadcast(properties.groupBy(F.col("node_type").alias("_type")).agg(F.collect_set("property").alias("_allowed")))
+    return properties.groupBy(F.col("node_type").alias("_type")).agg(F.collect_set("property").alias("_allowed"))
 
 
 def allowed_properties(nodes: DataFrame, properties: DataFrame) -> DataFrame:
@@ -28,7 +30,7 @@ def allowed_properties(nodes: DataFrame, properties: DataFrame) -> DataFrame:
 def removed_properties(nodes: DataFrame, properties: DataFrame) -> DataFrame:
     """(node_id, node_type, property): what :func:`allowed_properties` takes away."""
     long = nodes.select("node_id", "node_type", F.explode("props").alias("p")).select("node_id", "node_type", F.col("p.key").alias("property"))
-    return long.join(F.broadcast(properties), ["node_type", "property"], "left_anti").select("node_id", "node_type", "property")
+    return long.join(properties, ["node_type", "property"], "left_anti").select("node_id", "node_type", "property")
 
 
 def ends(relationships: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -47,12 +49,12 @@ def orphans(relationships: DataFrame, nodes: DataFrame) -> DataFrame:
 def violations(relationships: DataFrame, nodes: DataFrame, signatures: DataFrame) -> DataFrame:
     """Relationships with both ends whose types do not allow them."""
     found = ends(relationships, nodes).where("source_type is not null and target_type is not null")
-    return found.join(F.broadcast(signatures.distinct()), ["source_type", "relationship_type", "target_type"], "left_anti")
+    return found.join(signatures.distinct(), ["source_type", "relationship_type", "target_type"], "left_anti")
 
 
 def valid(relationships: DataFrame, nodes: DataFrame, signatures: DataFrame) -> DataFrame:
     """Relationships with both ends and an allowed signature."""
-    return ends(relationships, nodes).join(F.broadcast(signatures.distinct()), ["source_type", "relationship_type", "target_type"], "left_semi").select(*relationships.columns)
+    return ends(relationships, nodes).join(signatures.distinct(), ["source_type", "relationship_type", "target_type"], "left_semi").select(*relationships.columns)
 
 
 def degrees(relationships: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -73,32 +75,65 @@ def relationship_coverage(relationships: DataFrame, signatures: DataFrame) -> Da
     return signatures.select("relationship_type").distinct().join(counts, F.col("relationship_type") == F.col("t"), "left").select("relationship_type", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def errors(nodes: DataFrame, relationships: DataFrame, types: DataFrame, properties: DataFrame, signatures: DataFrame) -> DataFrame:
+def _thin(nodes: DataFrame, relationships: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and relationships with only what validation looks at, computed once."""
+    bare = F.coalesce(F.size("evidence"), F.lit(0)) <= 0
+    n = cut(nodes.select("node_id", "node_type", "occ_ord", F.transform("props", lambda p: p["key"]).alias("keys"), bare.alias("bare")))
+    r = cut(ends(relationships.select("relationship_id", "relationship_type", "source_node_id", "target_node_id", bare.alias("bare")), n))
+    return n, r
+
+
+def findings(nodes: DataFrame, relationships: DataFrame, types: DataFrame, properties: DataFrame, signatures: DataFrame) -> DataFrame:
     """(kind, subject): a row for each error. Relationships without an end or an allowed signature are not looked at further."""
-    row = lambda df, kind, subject: df.select(F.lit(kind).alias("kind"), subject.alias("subject"))
-    repeated = nodes.groupBy("node_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node_id", F.explode(F.expr("sequence(2, n)")))
-    unknown = nodes.join(F.broadcast(types.select("node_type").distinct()), "node_type", "left_anti")
-    bad = removed_properties(nodes, properties).groupBy("node_id", "node_type").agg(F.array_join(F.array_sort(F.collect_set("property")), ",").alias("keys"))
-    sound = valid(relationships, nodes, signatures)
-    twice = sound.groupBy("source_node_id", "relationship_type", "target_node_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("*", F.explode(F.expr("sequence(2, n)")))
-    wrong = violations(relationships, nodes, signatures)
-    parts = [
-        row(repeated, "duplicate node", F.col("node_id")), row(unknown, "unknown type", F.col("node_id")), row(bad, "unsupported properties", F.concat_ws(":", "node_id", "keys")),
-        row(nodes.where("coalesce(size(evidence), 0) <= 0"), "node without evidence", F.col("node_id")), row(orphans(relationships, nodes), "orphan relationship", F.col("relationship_id")),
-        row(wrong, "invalid relationship", F.concat_ws("|", "source_type", "relationship_type", "target_type")), row(twice, "duplicate relationship", F.concat_ws("|", "source_node_id", "relationship_type", "target_node_id")),
-        row(sound.where("coalesce(size(evidence), 0) <= 0"), "relationship without evidence", F.col("relationship_id")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _findings(*_thin(nodes, relationships), types, properties, signatures)
+
+
+errors = findings
+
+
+def _findings(n: DataFrame, r: DataFrame, types: DataFrame, properties: DataFrame, signatures: DataFrame) -> DataFrame:
+    row = lambda test, kind, subject: F.when(test, F.struct(F.lit(kind).alias("kind"), subject.alias("subject")))
+    rows = lambda df, *found: df.select(F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+    own = types.select(F.col("node_type").alias("_known")).distinct()
+    bad = F.array_sort(F.array_distinct(F.expr("filter(keys, k -> not array_contains(coalesce(_allowed, cast(array() as array<string>)), k))")))
+    seen = n.join(own, F.col("node_type") == F.col("_known"), "left").join(_lists(properties), F.col("node_type") == F.col("_type"), "left").withColumn("bad", bad)
+    # the same key of one id counts once, as do keys of a repeated node
+    by_node = rows(seen, row(F.col("_known").isNull(), "unknown type", F.col("node_id")), row(F.col("bare"), "node without evidence", F.col("node_id")))
+    keys = seen.where(F.size("bad") > 0).groupBy("node_id", "node_type").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("bad")))), ",").alias("keys"))
+    keys = keys.select(F.lit("unsupported properties").alias("kind"), F.concat_ws(":", "node_id", "keys").alias("subject"))
+    again = lambda df, by, kind, subject: df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit(kind).alias("kind"), subject.alias("subject"), F.explode(F.expr("sequence(2, n)"))).select("kind", "subject")
+    judged = r.join(signatures.distinct().withColumn("_ok", F.lit(True)), ["source_type", "relationship_type", "target_type"], "left")
+    lost, ok = F.col("source_type").isNull() | F.col("target_type").isNull(), F.col("_ok").isNotNull()
+    by_relationship = rows(judged, row(lost, "orphan relationship", F.col("relationship_id")), row(~lost & ~ok, "invalid relationship", F.concat_ws("|", "source_type", "relationship_type", "target_type")), row(ok & F.col("bare"), "relationship without evidence", F.col("relationship_id")))
+    triple = ["source_node_id", "relationship_type", "target_node_id"]
+    return (
+        by_node.unionByName(keys).unionByName(by_relationship)
+        .unionByName(again(n, ["node_id"], "duplicate node", F.col("node_id"))).unionByName(again(judged.where(ok), triple, "duplicate relationship", F.concat_ws("|", *triple)))
+    )
+
+
+#: Errors that an earlier form of the validator only warns of.
+WARNINGS = ("unsupported properties", "node without evidence", "relationship without evidence")
+
+
+def graded(found: DataFrame, missing: DataFrame) -> DataFrame:
+    """(level, kind, subject): findings as errors or warnings; missing types (node_type) are warnings and never make a graph invalid."""
+    level = F.when(F.col("kind").isin(*WARNINGS), "warning").otherwise("error")
+    return found.select(level.alias("level"), "kind", "subject").unionByName(missing.select(F.lit("warning").alias("level"), F.lit("missing type").alias("kind"), F.col("node_type").alias("subject")))
+
+
+def without_orphans(found: DataFrame) -> DataFrame:
+    """Findings of a validator that lists relationships without an end, but counts no error for them."""
+    return found.where("kind <> 'orphan relationship'")
 
 
 def summary(nodes: DataFrame, relationships: DataFrame, types: DataFrame, properties: DataFrame, signatures: DataFrame) -> DataFrame:
     """One row: counts of nodes, relationships, disconnected nodes, missing types and errors, and whether all is valid."""
-    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    parts = [one(nodes, "node_count"), one(relationships, "relationship_count"), one(degrees(relationships, nodes).where("degree = 0"), "disconnected_count"), one(coverage(nodes, types).where("not found"), "missing_type_count"), one(errors(nodes, relationships, types, properties, signatures), "error_count")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # rows of one each
-    return out.withColumn("valid", F.col("error_count") == 0)
+    n, r = _thin(nodes, relationships)
+    names = ["node_count", "relationship_count", "disconnected_count", "missing_type_count", "error_count"]
+    counts = [n, r, degrees(r, n).where("degree = 0"), coverage(n, types).where("not found"), _findings(n, r, types, properties, signatures)]
+    out = None
+    for name, df in zip(names, counts):
+        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out.agg(*(F.max(F.when(F.col("name") == x, F.col("n"))).alias(x) for x in names)).withColumn("valid", F.col("error_count") == 0)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from evigraph.functions import props as P
 from evigraph.functions import text
+from evigraph.functions.store import cut
 from evigraph.operators import evidence as E
 from evigraph.operators import merge as M
 from evigraph.operators import replies as R
+from evigraph.operators import normalize as N
 from evigraph.operators import resolve, retrieve
 from evigraph.operators import validate as V
 from evigraph.plans import star
@@ -133,12 +135,12 @@ def quote_grounding_global(spark, sf_dir):
     return E.in_any_chunk(_quotes(chunks), chunks).select("chunk_ord", "quote")
 
 
-@query("evidence_dedup", f"WITH {CHUNKS_SQL}, e AS (SELECT source_file, document_id, substring(text, 1, 12) AS quote, min(chunk_ord) AS o FROM chk GROUP BY ALL) SELECT source_file, (row_number() OVER (PARTITION BY source_file ORDER BY o) - 1)::BIGINT AS place, document_id, quote FROM e")
+@query("evidence_dedup", f"WITH {CHUNKS_SQL}, e AS (SELECT source_file, document_id, md5(text) AS quote, min(chunk_ord) AS o FROM chk GROUP BY ALL) SELECT source_file, (row_number() OVER (PARTITION BY source_file ORDER BY o) - 1)::BIGINT AS place, document_id, quote FROM e")
 def evidence_dedup(spark, sf_dir):
-    one = F.array(F.struct(F.col("document_id"), F.col("source_file"), F.lit(None).cast("string").alias("page"), F.lit(None).cast("string").alias("chunk_id"), F.substring("text", 1, 12).alias("quote")))
-    chunks = C.cut(_docs(spark, sf_dir))
-    joined = chunks.select("source_file", "chunk_ord", one.alias("evidence")).groupBy("source_file").agg(E.united("chunk_ord").alias("e"))
-    return joined.select("source_file", F.posexplode("e").alias("place", "x")).select("source_file", F.col("place").cast("long").alias("place"), "x.document_id", "x.quote")
+    """Each source's different evidence items in corpus order; a quote is a chunk's whole text, by its digest."""
+    none = F.lit(None).cast("string")
+    items = C.cut(_docs(spark, sf_dir)).select("source_file", "chunk_ord", "document_id", none.alias("page"), none.alias("chunk_id"), F.md5("text").alias("quote"))
+    return E.numbered(items, "source_file", "chunk_ord").select("source_file", "place", "document_id", "quote")
 
 
 # --- merging ---------------------------------------------------------------------------------------
@@ -206,13 +208,73 @@ def alias_chain_resolve(spark, sf_dir):
     return resolve.roots(resolve.judge(star.reviews(spark, sf_dir), star.nodes(spark, sf_dir)))
 
 
-@query("repair_merge", f"WITH {star.NODES_SQL}, {star.ONTOLOGY_SQL} SELECT 'fix_' || c_custkey AS old_node_id, 'customer_' || c_custkey AS node_id FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 2 = 0")
+_REPAIRED = """
+ids AS (SELECT c_custkey AS k, 'customer_' || c_custkey AS node_id, 3000000000000 + c_custkey AS o FROM customer),
+fix AS (SELECT k, 'fix_' || k AS old_id, CASE WHEN k % 2 = 1 THEN 'somebody else ' || k ELSE c_name END AS name, 13000000000000 + k AS o FROM ids JOIN customer ON c_custkey = k WHERE k % 5 = 0),
+named AS (SELECT lower(trim(c_name)) AS name, max('customer_' || c_custkey) AS node_id, count(*) AS n FROM customer GROUP BY 1),
+tgt AS (SELECT f.*, coalesce(n.node_id, f.old_id) AS node_id FROM fix f LEFT JOIN named n ON n.name = lower(trim(f.name))),
+allv AS (SELECT node_id, o, 0 AS pos, 'name' AS key, '"' || c_name || '"' AS v FROM ids JOIN customer ON c_custkey = k
+         UNION ALL SELECT node_id, o, 1, 'segment', '"' || c_mktsegment || '"' FROM ids JOIN customer ON c_custkey = k
+         UNION ALL SELECT node_id, o, 2, 'balance', CASE WHEN k % 30 = 0 THEN '""' ELSE round(c_acctbal * 100)::BIGINT::VARCHAR END FROM ids JOIN customer ON c_custkey = k
+         UNION ALL SELECT node_id, o, 0, 'name', '"' || name || '"' FROM tgt
+         UNION ALL SELECT node_id, o, 1, 'balance', '7' FROM tgt
+         UNION ALL SELECT node_id, o, 2, 'extra', k::VARCHAR FROM tgt)
+SELECT node_id, key, coalesce(arg_min(v, o) FILTER (WHERE v <> '""'), arg_max(v, o)) AS value_json FROM allv GROUP BY node_id, key"""
+
+
+@query("repair_merge", f"WITH {_REPAIRED.strip()}")
 def repair_merge(spark, sf_dir):
+    """Customers after a repair: nodes of the same name take in its values, the others are added."""
     nodes = star.nodes(spark, sf_dir).where("node_type = 'Customer' and occ_ord < 8000000000000")
-    again = F.expr("cast(substring(node_id, 10) as long)")
-    fresh = F.transform("props", lambda p: F.struct(p["pos"], p["key"], F.when((p["key"] == "name") & (again % 2 == 1), F.lit('"somebody else"')).otherwise(p["value_json"]).alias("value_json")))
-    repair = nodes.where(again % 5 == 0).withColumn("props", fresh.cast(P.SCHEMA)).withColumn("node_id", F.concat(F.lit("fix_"), again)).withColumn("occ_ord", F.col("occ_ord") + 10**13)
-    return M.merge_repair(nodes, repair)[1]
+    key = F.expr("cast(substring(node_id, 10) as long)")
+    name = F.when(key % 2 == 1, P.quoted(F.concat(F.lit("somebody else "), key))).otherwise(P.value(F.col("props"), "name"))
+    repair = nodes.where(key % 5 == 0).withColumn("props", P.of(name=name, balance=F.lit("7"), extra=key.cast("string")).cast(P.SCHEMA)).withColumn("node_id", F.concat(F.lit("fix_"), key)).withColumn("occ_ord", F.col("occ_ord") + 10**13)
+    merged, _ = M.merge_repair(nodes, repair)
+    return merged.select("node_id", F.explode("props").alias("p")).select("node_id", "p.key", "p.value_json")
+
+
+@query("repair_relationships", f"""WITH fixed AS (SELECT 'fix_' || c_custkey AS old_id, 'customer_' || c_custkey AS node_id FROM customer WHERE c_custkey % 5 = 0),
+old AS (SELECT 'r_' || o_orderkey AS relationship_id, 'PLACED' AS relationship_type, 'customer_' || o_custkey AS source_node_id, 'order_' || o_orderkey AS target_node_id FROM orders WHERE o_orderkey % 3 = 0),
+new AS (SELECT 'r_' || o_orderkey AS relationship_id, 'PLACED', coalesce(f.node_id, 'fix_' || o_custkey) AS source_node_id, 'order_' || o_orderkey FROM orders LEFT JOIN fixed f ON f.old_id = 'fix_' || o_custkey)
+SELECT * FROM old UNION ALL SELECT * FROM new WHERE source_node_id IN (SELECT 'customer_' || c_custkey FROM customer) AND relationship_id NOT IN (SELECT relationship_id FROM old)""")
+def repair_relationships(spark, sf_dir):
+    """Relationships after a repair: ends redirected, those without a node left out, ids that are there already kept as they are."""
+    nodes = star.nodes(spark, sf_dir).where("node_type in ('Customer', 'Order') and occ_ord < 8000000000000")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    none = (P.of().cast(P.SCHEMA).alias("props"), F.array().cast(E.SCHEMA).alias("evidence"))
+    row = lambda df, source: df.select(F.col("o_orderkey").alias("rel_ord"), F.concat(F.lit("r_"), F.col("o_orderkey")).alias("relationship_id"), F.lit("PLACED").alias("relationship_type"), F.concat(F.lit(source), F.col("o_custkey")).alias("source_node_id"), F.concat(F.lit("order_"), F.col("o_orderkey")).alias("target_node_id"), *none)
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 5 = 0")
+    redirects = customers.select(F.concat(F.lit("fix_"), F.col("c_custkey")).alias("old_node_id"), F.concat(F.lit("customer_"), F.col("c_custkey")).alias("node_id"))
+    out = M.merge_repaired_relationships(row(orders.where("o_orderkey % 3 = 0"), "customer_"), row(orders, "fix_"), nodes, redirects)
+    return out.select("relationship_id", "relationship_type", "source_node_id", "target_node_id")
+
+
+@query("relationship_merge_by_id", "SELECT 'l_' || l_orderkey AS relationship_id, min(((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber) AS rel_ord, 'part_' || arg_min(l_partkey, ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber) AS target_node_id, arg_min(round(l_quantity)::BIGINT, ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber)::VARCHAR AS quantity, count(DISTINCT l_suppkey)::BIGINT AS n_evidence FROM lineitem GROUP BY l_orderkey")
+def relationship_merge_by_id(spark, sf_dir):
+    """Line items of an order as occurrences of one relationship id: first ends and values, all evidence once."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    quote = F.array(F.struct(F.lit("star").alias("document_id"), F.lit("tables").alias("source_file"), F.lit(None).cast("string").alias("page"), F.lit(None).cast("string").alias("chunk_id"), F.col("l_suppkey").cast("string").alias("quote"))).cast(E.SCHEMA)
+    rows = line.select((((F.col("l_orderkey") * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")).alias("rel_ord"), F.concat(F.lit("l_"), F.col("l_orderkey")).alias("relationship_id"), F.lit("CONTAINS").alias("relationship_type"), F.concat(F.lit("order_"), F.col("l_orderkey")).alias("source_node_id"), F.concat(F.lit("part_"), F.col("l_partkey")).alias("target_node_id"), P.of(quantity=F.round("l_quantity").cast("long").cast("string")).alias("props"), quote.alias("evidence"))
+    out = M.merge_relationships_by_id(rows)
+    return out.select("relationship_id", "rel_ord", "target_node_id", P.value(F.col("props"), "quantity").alias("quantity"), F.size("evidence").cast("long").alias("n_evidence"))
+
+
+@query("node_merge_by_id", "SELECT 'c_' || o_custkey AS node_id, min(o_orderkey) AS occ_ord, count(DISTINCT o_orderpriority)::BIGINT AS n_evidence, '\"' || arg_min(o_orderstatus, o_orderkey) || '\"' AS status FROM orders GROUP BY o_custkey")
+def node_merge_by_id(spark, sf_dir):
+    """Orders as occurrences of their customer by id alone."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    none = F.lit(None).cast("string")
+    quote = F.array(F.struct(F.lit("star").alias("document_id"), F.lit("tables").alias("source_file"), none.alias("page"), none.alias("chunk_id"), F.col("o_orderpriority").alias("quote"))).cast(E.SCHEMA)
+    rows = orders.select(F.col("o_orderkey").alias("occ_ord"), F.concat(F.lit("c_"), F.col("o_custkey")).alias("node_id"), F.lit("Customer").alias("node_type"), none.alias("canonical_key"), none.alias("source_instance_id"), P.of(status=P.quoted(F.col("o_orderstatus"))).alias("props"), quote.alias("evidence"))
+    return M.merge_nodes(rows, "id")[0].select("node_id", "occ_ord", F.size("evidence").cast("long").alias("n_evidence"), P.value(F.col("props"), "status").alias("status"))
+
+
+@query("property_list_union", "SELECT 'c_' || o_custkey AS node_id, to_json(list(s ORDER BY o)) AS statuses FROM (SELECT o_custkey, o_orderpriority AS s, min(o_orderkey) AS o FROM orders GROUP BY ALL) GROUP BY o_custkey")
+def property_list_union(spark, sf_dir):
+    """A list property of each customer's orders, united in order without repeats."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = orders.select(F.concat(F.lit("c_"), F.col("o_custkey")).alias("merge_key"), F.col("o_orderkey").alias("occ_ord"), P.of(statuses=F.to_json(F.array("o_orderpriority"))).alias("props"))
+    return M.merged_properties(rows, "merge_key", "occ_ord", union_lists=True).select(F.col("merge_key").alias("node_id"), P.value(F.col("props"), "statuses").alias("statuses"))
 
 
 # --- validation ------------------------------------------------------------------------------------
@@ -221,8 +283,9 @@ _GRAPH = f"WITH {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.ONTOLOGY_SQL},
 
 
 def _merged(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Merged nodes and remapped relationships, each computed once."""
     nodes, aliases = M.merge_nodes(star.nodes(spark, sf_dir))
-    return nodes, M.remap(star.relationships(spark, sf_dir), aliases)
+    return cut(nodes), cut(M.remap(star.relationships(spark, sf_dir), aliases))
 
 
 @query("orphan_relationships", f"{_GRAPH} SELECT rel_ord, source_node_id, relationship_type, target_node_id, CASE WHEN source_type IS NOT NULL THEN 'target' WHEN target_type IS NOT NULL THEN 'source' ELSE 'both' END AS reason FROM typed WHERE source_type IS NULL OR target_type IS NULL")
@@ -231,7 +294,7 @@ def orphan_relationships(spark, sf_dir):
     return V.orphans(rels, nodes).select("rel_ord", "source_node_id", "relationship_type", "target_node_id", "reason")
 
 
-@query("signature_violations", f"{_GRAPH} SELECT rel_ord, source_type, relationship_type, target_type FROM typed WHERE source_type IS NOT NULL AND target_type IS NOT NULL AND rel_ord NOT IN (SELECT rel_ord FROM good WHERE relationship_type = typed.relationship_type)")
+@query("signature_violations", f"{_GRAPH} SELECT rel_ord, source_type, relationship_type, target_type FROM typed WHERE source_type IS NOT NULL AND target_type IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sig WHERE sig.source_type = typed.source_type AND sig.relationship_type = typed.relationship_type AND sig.target_type = typed.target_type)")
 def signature_violations(spark, sf_dir):
     nodes, rels = _merged(spark, sf_dir)
     return V.violations(rels, nodes, _onto(spark)[2]).select("rel_ord", "source_type", "relationship_type", "target_type")
@@ -293,28 +356,51 @@ def raw_duplicate_relationships(spark, sf_dir):
 
 
 # --- retrieval and requests ------------------------------------------------------------------------
-# Search terms: the first three words of a document, in groups of its source.
+# Search terms: the title line of every document, in groups of its source, up to 150 characters as terms are.
 
-_TERMS = """node_q AS (SELECT doc_id, source, lower(substring(trim(regexp_replace(substring(text, 1, 14), '[^A-Za-z ]+', ' ', 'g')), 1, 150)) AS whole FROM documents WHERE doc_id % 10 = 0),
-trm AS (SELECT source AS grp, regexp_replace(trim(whole), ' +', ' ', 'g') AS term, count(*)::BIGINT AS n FROM node_q WHERE length(regexp_replace(trim(whole), ' +', ' ', 'g')) >= 4 GROUP BY ALL)"""
+_TERMS = f"""node_q AS (SELECT doc_id, source, trim(regexp_replace(split_part(text, chr(10), 1), '{SPACE}', ' ', 'g')) AS whole FROM documents),
+trm AS (SELECT source AS grp, lower(substring(whole, 1, 150)) AS term, count(*)::BIGINT AS n FROM node_q WHERE length(whole) >= 4 GROUP BY ALL)"""
 
 
 def _term_nodes(spark, sf_dir) -> DataFrame:
-    head = F.trim(F.regexp_replace(F.substring("text", 1, 14), "[^A-Za-z ]+", " "))
-    d = _docs(spark, sf_dir).where("doc_id % 10 = 0")
-    quote = F.array(F.struct(F.concat(F.lit("doc_"), F.col("doc_id")).alias("document_id"), F.col("source").alias("source_file"), F.lit(None).cast("string").alias("page"), F.lit("c0").alias("chunk_id"), F.substring("text", 1, 14).alias("quote")))
-    return d.select(F.col("source").alias("grp"), F.col("doc_id").alias("occ_ord"), P.of(title=P.quoted(head)).alias("props"), quote.alias("evidence"))
+    """A node for each document: its title line, and evidence in its first chunk."""
+    title = F.substring_index("text", "\n", 1)
+    d = _docs(spark, sf_dir)
+    quote = F.array(F.struct(F.concat(F.lit("doc_"), F.col("doc_id")).alias("document_id"), F.col("source").alias("source_file"), F.lit(None).cast("string").alias("page"), F.lit("c0").alias("chunk_id"), title.alias("quote")))
+    return d.select(F.col("source").alias("grp"), F.col("doc_id").alias("occ_ord"), P.of(title=P.quoted(title)).alias("props"), quote.alias("evidence"))
 
 
 _SCORED = f"{CHUNKS_SQL}, {_TERMS}, fol AS (SELECT chunk_ord, {_fold('text')} AS body FROM chk), sco AS (SELECT grp, chunk_ord, sum(n)::BIGINT AS score, min(length(body))::BIGINT AS size FROM fol JOIN trm ON contains(body, term) GROUP BY grp, chunk_ord)"
+_DIRECT = "dir AS (SELECT DISTINCT source AS grp, doc_id * 1000000 AS chunk_ord FROM documents WHERE length(text) > 0)"
+_RANKED = "al AS (SELECT grp, chunk_ord, 0 AS tier, 0 AS score, 0 AS size FROM dir UNION ALL SELECT grp, chunk_ord, 1, score, size FROM sco WHERE (grp, chunk_ord) NOT IN (SELECT (grp, chunk_ord) FROM dir)), r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY tier, score DESC, size, chunk_ord)::INTEGER AS rank FROM al) SELECT grp, chunk_ord, rank FROM r"
 
 
-@query("retrieve_topk_nodes", f"WITH {_SCORED}, dir AS (SELECT DISTINCT source AS grp, doc_id * 1000000 AS chunk_ord FROM documents WHERE doc_id % 10 = 0 AND length(text) > 0), al AS (SELECT grp, chunk_ord, 0 AS tier, 0 AS score, 0 AS size FROM dir UNION ALL SELECT grp, chunk_ord, 1, score, size FROM sco WHERE (grp, chunk_ord) NOT IN (SELECT (grp, chunk_ord) FROM dir)), r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY tier, score DESC, size, chunk_ord)::INTEGER AS rank FROM al) SELECT grp, chunk_ord, rank FROM r WHERE rank <= 10")
+@query("retrieve_topk_nodes", f"WITH {_SCORED}, {_DIRECT}, {_RANKED} WHERE rank <= 10")
 def retrieve_topk_nodes(spark, sf_dir):
     chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
     return retrieve.top(retrieve.direct(nodes, chunks, "grp"), retrieve.scored(retrieve.node_terms(nodes, "grp"), chunks, "grp"), "grp", 10)
 
 
+@query("retrieve_topk_best", f"WITH {_SCORED}, b AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, size, chunk_ord) AS best FROM sco), {_DIRECT.replace('length(text) > 0', 'length(text) > 0 AND doc_id < 0')}, {_RANKED.replace('FROM sco', 'FROM b').replace('WHERE (grp', 'WHERE best <= 10 AND (grp')} WHERE rank <= 10")
+def retrieve_topk_best(spark, sf_dir):
+    """The ten best scored chunks of each group, with no chunk quoted by any node in front."""
+    chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
+    scored = retrieve.scored(retrieve.node_terms(nodes, "grp"), chunks, "grp")
+    none = nodes.withColumn("evidence", F.filter("evidence", lambda e: F.lit(False)))
+    return retrieve.top_of_best(retrieve.direct(none, chunks, "grp"), scored, "grp", 10)
+
+
+@query("retrieve_topk_endpoints", f"WITH {_SCORED.replace('SELECT source AS grp, lower', 'SELECT grp, lower').replace('FROM node_q WHERE', 'FROM node_q JOIN pair USING (source) WHERE').replace('node_q AS', 'pair AS (SELECT grp, source FROM (SELECT a.source || chr(124) || b.source AS grp, a.source AS x, b.source AS y FROM (SELECT DISTINCT source FROM documents) a JOIN (SELECT DISTINCT source FROM documents) b ON b.source = (SELECT min(source) FROM documents)) p JOIN (SELECT DISTINCT source FROM documents) s ON s.source IN (x, y)), node_q AS')}, dir AS (SELECT DISTINCT grp, doc_id * 1000000 AS chunk_ord FROM documents JOIN pair USING (source) WHERE length(text) > 0), {_RANKED} WHERE rank <= 12")
+def retrieve_topk_endpoints(spark, sf_dir):
+    """Chunks for relationships between the nodes of each source and those of the first: both ends' nodes give terms and quoted chunks."""
+    chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
+    sources = nodes.select(F.col("grp").alias("x")).distinct()
+    pairs = sources.withColumn("y", sources.agg(F.min("x")).scalar())
+    ends = pairs.select(F.concat_ws("|", "x", "y").alias("pair"), F.explode(F.array_distinct(F.array("x", "y"))).alias("end"))
+    members = nodes.join(ends, F.col("grp") == F.col("end")).select(F.col("pair").alias("grp"), "occ_ord", "props", "evidence")
+    return retrieve.top(retrieve.direct(members, chunks, "grp"), retrieve.scored(retrieve.node_terms(members, "grp"), chunks, "grp"), "grp", 12)
+
+
 @query("retrieve_topk_scored", f"WITH {_SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, size, chunk_ord)::INTEGER AS rank FROM sco) SELECT grp, chunk_ord, score, rank FROM r WHERE rank <= 12")
 def retrieve_topk_scored(spark, sf_dir):
     chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
@@ -363,15 +449,15 @@ def node_batches(spark, sf_dir):
     return retrieve.batches(M.merge_nodes(star.nodes(spark, sf_dir))[0]).select("node_id", "node_type", "batch")
 
 
-@query("signature_batches", f"{_BATCHED}, k AS (SELECT DISTINCT node_type, batch FROM bat), p AS (SELECT DISTINCT source_type, target_type FROM sig WHERE source_type NOT IN ('Order')), j AS (SELECT p.*, s.batch AS sb, t.batch AS tb FROM p LEFT JOIN k s ON s.node_type = source_type LEFT JOIN k t ON t.node_type = target_type) SELECT DISTINCT source_type, target_type, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN sb END::BIGINT AS source_batch, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN tb END::BIGINT AS target_batch, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN 'reviewed' ELSE 'not_applicable' END AS status FROM j WHERE target_type <> 'Order'")
+@query("signature_batches", f"{_BATCHED}, k AS (SELECT DISTINCT node_type, batch FROM bat), p AS (SELECT DISTINCT source_type, target_type FROM sig), j AS (SELECT p.*, s.batch AS sb, t.batch AS tb FROM p LEFT JOIN k s ON s.node_type = source_type LEFT JOIN k t ON t.node_type = target_type) SELECT DISTINCT source_type, target_type, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN sb END::BIGINT AS source_batch, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN tb END::BIGINT AS target_batch, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN 'reviewed' ELSE 'not_applicable' END AS status FROM j")
 def signature_batches(spark, sf_dir):
     batched = retrieve.batches(M.merge_nodes(star.nodes(spark, sf_dir))[0])
-    return retrieve.signature_batches(batched, _onto(spark)[2].where("source_type <> 'Order' and target_type <> 'Order'"))
+    return retrieve.signature_batches(batched, _onto(spark)[2])
 
 
 @query("signature_batches_all", None)
 def signature_batches_all(spark, sf_dir):
-    """As signature_batches, of every signature, those with Order too; held against counts of batches by a test."""
+    """The same rows as signature_batches; a test holds them against counts of batches."""
     batched = retrieve.batches(M.merge_nodes(star.nodes(spark, sf_dir))[0])
     return retrieve.signature_batches(batched, _onto(spark)[2])
 
@@ -381,7 +467,8 @@ def coverage_requests(spark, sf_dir):
     chunks = C.cut(_docs(spark, sf_dir)).select("chunk_ord", F.lit("chunk").alias("node_type"))
     six = retrieve.batches(chunks, 6, "chunk_ord").groupBy("batch").agg(F.count(F.lit(1)).alias("n_chunks"))
     missing = V.coverage(M.merge_nodes(star.nodes(spark, sf_dir))[0], _onto(spark)[0]).where("not found").select("node_type")
-    return six.crossJoin(F.broadcast(missing)).select("node_type", "batch", "n_chunks")  # types are few
+    asked = missing.agg(F.array_sort(F.collect_set("node_type"))).scalar()  # at most the ontology's types
+    return six.select(F.explode(asked).alias("node_type"), "batch", "n_chunks")
 
 
 @query("reply_parse", None)
@@ -395,6 +482,110 @@ def reply_parse(spark, sf_dir):
 SQL["reply_parse"] = """SELECT doc_id, doc_id::VARCHAR AS node_id, pos::INTEGER AS pos, key, CASE key WHEN 'source' THEN '"' || source || '"' ELSE n_chars::VARCHAR END AS value_json FROM documents, (VALUES (0, 'source'), (1, 'n_chars')) v(pos, key)"""
 
 
+# --- normalizing replies: each document's first chunk gets a reply made by a rule ------------------
+
+
+def _replies(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(replies, chunks): two nodes, one of an unknown type, and a relationship, quoting the chunk or not by the parity of the document; one reply in seven is broken."""
+    chunks = C.cut(_docs(spark, sf_dir)).where("chunk_id = 'c0'")
+    k = F.floor(F.col("chunk_ord") / 1_000_000)
+    quote = F.when(k % 2 == 0, F.col("text")).otherwise(F.lit("words that stand nowhere in it"))
+    node = lambda i, kind: F.struct(F.concat(F.lit(i), k.cast("string")).alias("node_id"), F.lit(kind).alias("node_type"), F.struct(F.col("source_file").alias("name"), F.lit("").alias("brand"), F.lit(1).alias("odd")).alias("properties"), F.array(F.struct(quote.alias("quote"))).alias("evidence"))
+    link = F.struct(F.concat(F.lit("q"), k.cast("string")).alias("relationship_id"), F.lit("SUPPLIES").alias("relationship_type"), F.concat(F.lit("s"), k.cast("string")).alias("source_node_id"), F.concat(F.lit("p"), k.cast("string")).alias("target_node_id"), F.struct().alias("properties"), F.array(F.struct(quote.alias("quote"))).alias("evidence"))
+    body = F.to_json(F.struct(F.array(node("s", "Supplier"), node("p", "Part"), node("x", "Planet")).alias("nodes"), F.array(link).alias("relationships"), F.array(F.concat(F.lit("seen "), F.col("source_file"))).alias("warnings")))
+    raw = F.when(k % 7 == 0, F.concat(F.lit("no {"), F.substring(body, 1, 20))).when(k % 7 == 1, F.concat(F.lit("Sure:\n```json\n"), body, F.lit("\n```"))).otherwise(body)
+    return chunks.select(F.lit("primary").alias("pass"), "chunk_ord", raw.alias("raw"), F.when(k % 7 == 0, "error").otherwise("ok").alias("status")), chunks
+
+
+_SAID = f"""WITH {CHUNKS_SQL}, c0 AS (SELECT *, chunk_ord // 1000000 AS k FROM chk WHERE chunk_id = 'c0'), good AS (SELECT * FROM c0 WHERE k % 7 <> 0),
+gr AS (SELECT * FROM good WHERE k % 2 = 0 AND length({_fold('text')}) >= 8)"""
+
+
+@query("normalize_nodes", f"{_SAID}, n AS (SELECT *, unnest(['Supplier', 'Part']) AS node_type FROM gr) SELECT chunk_ord * 100000 + CASE node_type WHEN 'Part' THEN 1 ELSE 0 END AS occ_ord, node_type, 'node_' || substring(sha1(node_type || '|' || document_id || '|' || chunk_id || '|primary|' || CASE node_type WHEN 'Part' THEN '1|p' ELSE '0|s' END || k), 1, 20) AS node_id, 'name' AS keys, 1::BIGINT AS n_evidence FROM n")
+def normalize_nodes(spark, sf_dir):
+    types, properties, _ = _onto(spark)
+    out = N.nodes(*_replies(spark, sf_dir), types, properties)
+    return out.select("occ_ord", "node_type", "node_id", F.array_join("props.key", ",").alias("keys"), F.size("evidence").cast("long").alias("n_evidence"))
+
+
+@query("normalize_nodes_kept", f"{_SAID}, n AS (SELECT *, unnest(['Supplier', 'Part']) AS node_type FROM gr) SELECT node_type, CASE node_type WHEN 'Part' THEN 'p' ELSE 's' END || k AS node_id, CASE node_type WHEN 'Part' THEN 'name,brand' ELSE 'name' END AS keys, page::VARCHAR AS page FROM n")
+def normalize_nodes_kept(spark, sf_dir):
+    types, properties, _ = _onto(spark)
+    out = N.nodes(*_replies(spark, sf_dir), types, properties, "kept")
+    return out.select("node_type", "node_id", F.array_join("props.key", ",").alias("keys"), F.get("evidence", F.lit(0))["page"].alias("page"))
+
+
+@query("normalize_nodes_permissive", f"{_SAID}, n AS (SELECT *, unnest(['Supplier', 'Part', 'Planet']) AS node_type FROM good) SELECT node_type, CASE node_type WHEN 'Part' THEN 'p' WHEN 'Planet' THEN 'x' ELSE 's' END || k AS node_id, 'name,brand,odd' AS keys, trim(CASE WHEN k % 2 = 0 THEN regexp_replace(text, '{SPACE}', '', 'g') ELSE 'w' END) <> '' AS quoted FROM n")
+def normalize_nodes_permissive(spark, sf_dir):
+    types, properties, _ = _onto(spark)
+    out = N.nodes(*_replies(spark, sf_dir), types, properties, "permissive")
+    return out.select("node_type", "node_id", F.array_join("props.key", ",").alias("keys"), F.get("evidence", F.lit(0))["quote"].isNotNull().alias("quoted"))
+
+
+@query("normalize_relationships", f"{_SAID}, i AS (SELECT *, 'node_' || substring(sha1('Supplier|' || document_id || '|' || chunk_id || '|primary|0|s' || k), 1, 20) AS s, 'node_' || substring(sha1('Part|' || document_id || '|' || chunk_id || '|primary|1|p' || k), 1, 20) AS t FROM gr) SELECT chunk_ord * 100000 AS rel_ord, s AS source_node_id, 'SUPPLIES' AS relationship_type, t AS target_node_id, 'rel_' || substring(sha1(s || '|SUPPLIES|' || t), 1, 20) AS relationship_id FROM i")
+def normalize_relationships(spark, sf_dir):
+    types, properties, signatures = _onto(spark)
+    replies, chunks = _replies(spark, sf_dir)
+    out = N.relationships(replies, N.nodes(replies, chunks, types, properties), chunks, signatures)
+    return out.select("rel_ord", "source_node_id", "relationship_type", "target_node_id", "relationship_id")
+
+
+@query("normalize_relationships_kept", f"{_SAID} SELECT 'q' || k AS relationship_id, 's' || k AS source_node_id, 'SUPPLIES' AS relationship_type, 'p' || k AS target_node_id FROM gr")
+def normalize_relationships_kept(spark, sf_dir):
+    types, properties, signatures = _onto(spark)
+    replies, chunks = _replies(spark, sf_dir)
+    return N.relationships(replies, N.nodes(replies, chunks, types, properties, "kept"), chunks, signatures, "kept").select("relationship_id", "source_node_id", "relationship_type", "target_node_id")
+
+
+@query("normalize_relationships_permissive", f"{_SAID} SELECT 'q' || k AS relationship_id, 's' || k AS source_node_id, 'SUPPLIES' AS relationship_type, 'p' || k AS target_node_id FROM good")
+def normalize_relationships_permissive(spark, sf_dir):
+    replies, chunks = _replies(spark, sf_dir)
+    none = replies.limit(0)
+    return N.relationships(replies, none, chunks, _onto(spark)[2], "permissive").select("relationship_id", "source_node_id", "relationship_type", "target_node_id")
+
+
+@query("reply_warnings", f"{_SAID} SELECT DISTINCT 'seen ' || source_file AS warning FROM good")
+def reply_warnings(spark, sf_dir):
+    return N.warnings(_replies(spark, sf_dir)[0])
+
+
+@query("source_document_set", f"{_SAID} SELECT DISTINCT document_id FROM good")
+def source_document_set(spark, sf_dir):
+    replies, chunks = _replies(spark, sf_dir)
+    return N.source_documents(replies.where("status = 'ok'"), chunks)
+
+
+@query("chunk_counters", f"{_SAID} SELECT count(*)::BIGINT AS chunks, count(*) FILTER (WHERE k % 7 <> 0)::BIGINT AS chunks_ok, count(*) FILTER (WHERE k % 7 = 0)::BIGINT AS chunks_failed FROM c0")
+def chunk_counters(spark, sf_dir):
+    replies, chunks = _replies(spark, sf_dir)
+    return N.counters(chunks, replies)
+
+
+@query("validation_graded", f"{_ERRORS} SELECT CASE WHEN kind IN ('unsupported properties', 'node without evidence', 'relationship without evidence') THEN 'warning' ELSE 'error' END AS level, kind, count(*)::BIGINT AS n FROM err GROUP BY ALL UNION ALL SELECT 'warning', 'missing type', count(*)::BIGINT FROM typ WHERE node_type NOT IN (SELECT node_type FROM node)")
+def validation_graded(spark, sf_dir):
+    """Findings as errors and warnings, as an earlier validator grades them, by kind."""
+    types, properties, signatures = _onto(spark)
+    nodes, rels = _merged(spark, sf_dir)
+    missing = V.coverage(nodes, types).where("not found")
+    return V.graded(V.findings(nodes, rels, types, properties, signatures), missing).groupBy("level", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("validation_without_orphans", f"{_ERRORS} SELECT kind, count(*)::BIGINT AS n FROM err WHERE kind <> 'orphan relationship' GROUP BY ALL")
+def validation_without_orphans(spark, sf_dir):
+    nodes, rels = _merged(spark, sf_dir)
+    return V.without_orphans(V.findings(nodes, rels, *_onto(spark))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("final_clean", f"{_GRAPH} SELECT source_node_id, relationship_type, target_node_id, min(rel_ord) AS rel_ord, 'rel_' || substring(sha1(source_node_id || '|' || relationship_type || '|' || target_node_id), 1, 20) AS relationship_id FROM rel WHERE source_node_id IN (SELECT node_id FROM node) AND target_node_id IN (SELECT node_id FROM node) GROUP BY 1, 2, 3")
+def final_clean(spark, sf_dir):
+    """Raw relationships without those that lack an end, the first of each triple, under a minted id."""
+    nodes, _ = M.merge_nodes(star.nodes(spark, sf_dir))
+    ids = nodes.select("node_id").distinct()
+    rels = star.relationships(spark, sf_dir)
+    whole = rels.join(ids.withColumnRenamed("node_id", "source_node_id"), "source_node_id", "left_semi").join(ids.withColumnRenamed("node_id", "target_node_id"), "target_node_id", "left_semi")
+    return M.first_of_triples(whole).select("source_node_id", "relationship_type", "target_node_id", "rel_ord", text.minted("rel_", F.col("source_node_id"), F.col("relationship_type"), F.col("target_node_id")).alias("relationship_id"))
+
+
 # --- end to end ------------------------------------------------------------------------------------
 
 

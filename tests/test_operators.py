@@ -55,7 +55,11 @@ def test_ontology_dialects():
     for f in (lambda: O.parse_nodes("x"), lambda: O.parse_relationships("x", [])):
         with pytest.raises(ValueError):
             f()
-    assert O.base_types("FINAL GRAPH SCHEMA — BASE NODES\n1. A\n- **B**\n# Next\n- C") == ["A", "B"]
+    assert O.base_types("FINAL GRAPH SCHEMA — BASE NODES\n1. A\n- **B**\n# Next\n- C\nFinal Graph Schema - other\n- D") == ["A", "B", "C"]
+    assert O.base_types("Final graph schema - base nodes\n- A\n- A\nALLOWED RELATIONSHIPS\n- B") == ["A"]
+    assert O.allowed_types("1. A\nProperties:\n- name\n- two words\n* **B**") == {"A", "name", "B"} and O.allowed_relationships("A -> B\n- R_1\n* S\n- lower") == {"R_1", "S"}
+    with pytest.raises(ValueError):
+        O.base_types("FINAL GRAPH SCHEMA - BASE NODES\nnothing")
     assert O.schema_terms("RiskFactor", "1. RiskFactor\nProperties:\nexposure_level is a required string\n2. Other\nno") == ["exposure level", "factor", "risk"]
     onto = O.parse("1. A\nProperties:\n- z\n- b\n2. B\n", "A -> B\n- R\nB -> A\n")
     assert onto.render() == "NODE TYPES\nA: b, z\nB: \n\nRELATIONSHIP SIGNATURES\nA -> B: R\nB -> A: "
@@ -77,6 +81,32 @@ def test_grounding(spark):
     assert [r.quote for r in E.in_own_chunk(quotes, chunks).collect()] == ["ANNUAL revenue"]
     assert sorted(r.quote for r in E.in_any_chunk(quotes, chunks).collect()) == ["ANNUAL revenue", "annual revenue", "here  at all"]
     assert E.in_any_chunk(quotes.limit(0), chunks).count() == 0
+    named = sorted(r.quote for r in E.in_any_chunk(quotes, chunks).collect())
+    assert sorted(r.quote for r in E.in_any_chunk(quotes.select("quote"), chunks).collect()) == named
+
+
+def test_phrases_are_found_wherever_they_stand(spark):
+    import random
+
+    from evigraph.operators.contains import containing
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 12)))
+    texts = [" ".join(word() for _ in range(rng.randrange(1, 12))) for _ in range(150)] + ["", "abcd"]
+    phrases = {t[a : a + n] for t in texts if t for a, n in ((rng.randrange(len(t)), rng.randrange(2, 30)) for _ in range(6))}
+    phrases = {p.strip() for p in phrases} | {"zzzz", "ab cd", "a b c", "abcdabcd"} | {t[:12] for t in texts}
+    got = {(r.phrase, r.text_id) for r in containing(spark.createDataFrame([(p,) for p in [*phrases, None, *phrases]], "phrase string"), spark.createDataFrame(list(enumerate(texts)), "text_id long, body string")).collect()}
+    assert got == {(p, i) for p in phrases if len(p) >= 4 for i, t in enumerate(texts) if p in t} and len(got) > 300
+    assert containing(spark.createDataFrame([], "phrase string"), spark.createDataFrame([(1, "x")], "text_id long, body string")).count() == 0
+
+
+def test_places_in_an_order_without_one_task(spark):
+    from evigraph.functions import ranks
+
+    rows = [(g, i * 7 % 1000, i) for g in ("a", None, "b") for i in range({"a": 900, None: 50, "b": 1}[g])]
+    got = ranks.numbered(spark.createDataFrame(rows, "g string, o long, _at long"), ["g"], ["o", "_at"], "place").collect()
+    want = {(g, o, i): n for g in ("a", None, "b") for n, (_, o, i) in enumerate(sorted((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2])))}
+    assert {(r.g, r.o, r._at): r.place for r in got} == want
 
 
 def test_merge_keeps_the_first_non_empty_value_in_order(spark):
@@ -117,6 +147,23 @@ def test_repair_redirects(spark):
     assert {r.node_id: {p.key for p in r.props} for r in merged.collect()} == {"a": {"name", "extra"}, "b": {"name"}, "y": {"name"}}
 
 
+def test_repaired_relationships_and_merge_by_id(spark):
+    n = nodes(spark, occ(1, "a"), occ(2, "b"))
+    old = rels(spark, ("a", "T", "b"))
+    fix = spark.createDataFrame([(10, "r0", "T", "z", "b", [], []), (11, "n1", "T", "z", "b", [], []), (12, "n1", "U", "b", "a", [], []), (13, "n2", "T", "ghost", "b", [], []), (14, "", "T", "a", "b", [], [])], REL)
+    out = M.merge_repaired_relationships(old, fix, n, spark.createDataFrame([("z", "a")], "old_node_id string, node_id string"))
+    assert sorted((r.relationship_id, r.relationship_type, r.source_node_id) for r in out.collect()) == [("n1", "T", "a"), ("r0", "T", "a")]
+    same = spark.createDataFrame([(2, "x", "U", "c", "d", [(0, "k", '"2"'), (1, "m", "1")], []), (1, "x", "T", "a", "b", [(0, "k", '""')], [])], REL)
+    one = M.merge_relationships_by_id(same).first()
+    assert (one.relationship_type, one.source_node_id, [(p.key, p.value_json) for p in one.props]) == ("T", "a", [("k", '"2"'), ("m", "1")])
+
+
+def test_best_scored_chunks_first_then_quoted_ones(spark):
+    scored = spark.createDataFrame([("g", i, 10 - i, 5) for i in range(5)], "g string, chunk_ord long, score long, size long")
+    direct = spark.createDataFrame([("g", 4), ("g", 9)], "g string, chunk_ord long")
+    assert [r.chunk_ord for r in retrieve.top_of_best(direct, scored, "g", 3).orderBy("rank").collect()] == [4, 9, 0]
+
+
 def test_reviews_chains_cycles_and_rejections(spark):
     n = nodes(spark, *[occ(i, x) for i, x in enumerate("abcdxyzt")], occ(50, "p", "Person"))
     r = spark.createDataFrame([(1, "a", "b"), (2, "b", "c"), (3, "c", "d"), (4, "x", "y"), (5, "y", "z"), (6, "z", "x"), (7, "t", "x"), (8, "p", "a"), (9, "d", "d"), (10, "q", "a"), (11, "a", "nope"), (12, "a", "c")], "review_ord long, node_id string, duplicate_of string")
