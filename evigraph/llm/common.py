@@ -6,7 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F#: Rows of an Arrow batch for Python workers; Spark bounds a batch's bytes too, at 64 MB, but a batch is
+from pyspark.sql import functions as F
+
+#: Rows of an Arrow batch for Python workers; Spark bounds a batch's bytes too, at 64 MB, but a batch is
 #: held several times over in a worker.
 BATCH_ROWS = 1000
 
