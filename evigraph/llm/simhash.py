@@ -105,8 +105,8 @@ def families(points: DataFrame, close: Callable[[Column, Column], Column], codes
 
     kept = verify or (lambda pairs: pairs)
     both = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    filed = common.cut(_filed(points))
-    homes = filed.select(F.col("home").alias("anchor"), "node")
+    filed = _filed(points)  # replicas are made where they are sent from, and not kept
+    homes = common.cut(filed.select(F.col("home").alias("anchor"), "node"))
     place = F.row_number().over(W.partitionBy("anchor").orderBy(F.xxhash64("node", "anchor"), "node"))
     leads = homes.select("anchor", F.col("node").alias("lead"), place.alias("place")).where(F.col("place") <= LEADS).drop("place")
     stars = homes.join(leads.hint("shuffle_hash"), "anchor").where("lead <> node").select(*both("lead", "node")).distinct()

@@ -34,7 +34,7 @@ from xxhash import xxh3_64_intdigest
 from . import common
 
 #: Labelled documents that examples come from at most.
-MOST_LABELLED = 4_000
+MOST_LABELLED = 3_000
 #: Likelihood ratio (chi-square, one degree of freedom) that a term needs to weigh more, documents it
 #: must be in, and how many times as frequent it must be in toxic documents as in others.
 LEAST_RATIO, LEAST_DOCS, LEAST_LIFT = 24.0, 3, 3.0
