@@ -32,7 +32,9 @@ def query(name: str, sql: str | None):
 
 
 def _docs(spark, sf_dir) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents; a table of fewer splits than there are cores, as a single small file, is dealt out over them."""
+    docs, cores = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
 
 
 def _onto(spark):
