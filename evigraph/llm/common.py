@@ -8,18 +8,22 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch for Python workers; Spark bounds a batch's bytes too, at 64 MB, but a batch is
-#: held several times over in a worker.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch for Python workers at most; a batch is held several times over in a
+#: worker and in the JVM's buffers, so Spark's 64 MB are too many. A text of more bytes is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; ``sf_dir`` may be in any store that Spark reads.
 
-    The session's Arrow batches are lowered to ``BATCH_ROWS`` rows, as plans take that setting when they run.
+    The session's Arrow batches are lowered to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes, as plans take
+    these settings when they run.
     """
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for name_of, most in ("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES):
+        setting = f"spark.sql.execution.arrow.{name_of}"
+        given = spark.conf.get(setting).rstrip("b")
+        if given.isdigit() and int(given) > most:  # a number with another unit is somebody's own choice
+            spark.conf.set(setting, str(most))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

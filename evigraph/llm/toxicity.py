@@ -152,15 +152,18 @@ class Index:
     def prepare(self) -> None:
         """Blocks and postings; made where the index is used, so that less is sent."""
         n, size = len(self.packed), len(self.idf)
-        vectors = [unpack(x) for x in self.packed]
-        terms = np.concatenate([i for i, _ in vectors]).astype(np.int32) if n else np.zeros(0, np.int32)
-        weights = np.concatenate([self.unit(i, c) for i, c in vectors]) if n else np.zeros(0)
+        lengths = [len(unpack(x)[0]) for x in self.packed]
+        starts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        terms, weights = np.empty(starts[-1], np.int32), np.empty(starts[-1])
+        for x, at in zip(self.packed, starts.tolist()):  # one at a time: workers keep what they once held
+            ids, counts = unpack(x)
+            terms[at : at + len(ids)], weights[at : at + len(ids)] = ids, self.unit(ids, counts)
         df = np.bincount(terms, minlength=size)
         often = np.argsort(-df, kind="stable")[:COMMON]
         often = often[df[often] > n * COMMON_SHARE]
         self.column = np.full(size, -1, np.int32)
         self.column[often] = np.arange(len(often))
-        owner, column = np.repeat(np.arange(n), [len(i) for i, _ in vectors]), self.column[terms]
+        owner, column = np.repeat(np.arange(n, dtype=np.int32), lengths), self.column[terms]
         matrix = np.zeros((n, len(often)))
         matrix[owner[column >= 0], column[column >= 0]] = weights[column >= 0]
         self.order = like_together(matrix)  # row of the index -> example
