@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, html_text, language, mixing, notices, quality, simhash, tiling, topk, toxicity
+from . import chat, html_text, language, mixing, notices, quality, simhash, tiling, tokens, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_benchmark_tiling": tiling.op9_benchmark_tiling,
     "op10_license_notices": notices.op10_license_notices,
+    "op13_token_counts": tokens.op13_token_counts,
 }
 
 ORACLE_SQL = {
