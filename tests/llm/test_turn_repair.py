@@ -1,0 +1,152 @@
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from evigraph.llm import turn_repair as T
+
+SPACES = " \t\n\x0b\x0c\r"
+ROWS = "conv_id long, turn long, role string, text string"
+
+
+def faults(rows):
+    """First fault of each row (role, text), by the words of the task."""
+    out, seen = [], set()
+    for role, text in rows:
+        solid = text.strip(SPACES)
+        out.append("blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def fits(initials):
+    rest = initials[1:] if initials[:1] == "s" else initials
+    return not initials or bool(rest) and rest == "ua" * (len(rest) // 2)
+
+
+def brute(rows):
+    """(cost, audit, repaired rows) by trying every sequence of edits up to the least cost that fits."""
+    bad = faults(rows)
+
+    def tries(i, left):
+        if i == len(rows):
+            yield left, "", []
+        elif left >= 3:
+            yield from (("D" + a) and (c, "D" + a, r) for c, a, r in tries(i + 1, left - 3))
+        if i < len(rows) and bad[i] not in ("blank", "duplicate"):
+            role, text = rows[i]
+            more = bad[i] == "truncated"
+            for cost, edit, new in ((more, "K", role), (2 + more, "R", "user"), (2 + more, "R", "assistant")):
+                if left >= cost:
+                    yield from ((c, edit + a, [(new, text), *r]) for c, a, r in tries(i + 1, left - cost))
+        if left >= 2:
+            for new in ("user", "assistant"):
+                yield from ((c, "I" + a, [(new, ""), *r]) for c, a, r in tries(i, left - 2))
+
+    for most in itertools.count():
+        found = [(a, r) for c, a, r in tries(0, most) if c == 0 and fits("".join(role[:1] or "-" for role, _ in r))]
+        if found:
+            return most, *min(found)
+
+
+def expected(rows):
+    """The whole result for rows (turn, role, text) of one conversation, but cost and audit of a given repair."""
+    rows = sorted(((t, r if r is not None else " ", x if x is not None else " ") for t, r, x in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+    said, bad = [(r, x) for _, r, x in rows], faults([(r, x) for _, r, x in rows])
+    known = [t for t, _, _ in rows if t is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    order = "".join(r[:1] or "-" for r, _ in said)
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(order, order[1:]))
+    return said, (gaps, bad.count("blank"), bad.count("duplicate"), bad.count("truncated"), illegal)
+
+
+def sha(rows):
+    return hashlib.sha256("\n".join(f"{r}:{x}" for r, x in rows).encode()).hexdigest()
+
+
+def result(spark, rows):
+    summaries, parts = T.repair(rows)
+    digest = {r.conv_id: r.repaired_sha256 for r in T.digests(parts).collect()}
+    return {r.conv_id: ((r.gaps, r.blank, r.duplicate, r.truncated, r.illegal), r.cost, r.audit, digest[r.conv_id]) for r in summaries.collect()}
+
+
+ROLES, TEXTS = ["user", "assistant", "system", "tool", "", None, "user", "assistant"], ["Yes.", "no", "So? ", " ", "", None, "Ok!", "a.\t", "b", "\xa0"]
+
+
+def conversation(rng, n):
+    return [(rng.choice([None, *range(6)]), rng.choice(ROLES), rng.choice(TEXTS) if rng.random() < 0.6 else f"text {rng.random()}.") for _ in range(n)]
+
+
+def test_repairs_equal_the_cheapest_of_all_edits(spark):
+    rng = random.Random(6)
+    given = {i: conversation(rng, rng.randrange(1, 6)) for i in range(120)} | {None: conversation(rng, 3)}
+    given[500] = [(1, "system", "Only this.")]
+    given[501] = [(1, "user", "x."), (1, "user", "x."), (2, "user", "x.")]
+    got = result(spark, spark.createDataFrame([(i, *r) for i, rows in given.items() for r in rows], ROWS))
+    assert set(got) == set(given)
+    for i, rows in given.items():
+        said, counts = expected(rows)
+        cost, audit, repaired = brute(said)
+        assert got[i] == (counts, cost, audit, sha(repaired)), (i, rows)
+
+
+def walk(symbols):
+    """The same least (cost, audit), by one row of states from left to right."""
+    states = [(0, ""), None, None, None]
+    for s in ["", *symbols]:
+        m = T.times(T.step(s), T.INSERTS) if s else T.INSERTS
+        states = [T.least(*((x[0] + m[4 * k + j][0], x[1] + m[4 * k + j][1]) for k, x in enumerate(states) if x and m[4 * k + j])) for j in range(4)]
+    return T.least(states[0], states[3])
+
+
+def test_products_are_associative_and_equal_a_walk():
+    rng = random.Random(2)
+    for _ in range(60):
+        s = "".join(chr(65 + rng.randrange(16)) for _ in range(rng.randrange(0, 60)))
+        a, b = sorted(rng.randrange(len(s) + 1) for _ in range(2))
+        x, y, z = map(T.product, (s[:a], s[a:b], s[b:]))
+        assert T.times(T.times(x, y), z) == T.times(x, T.times(y, z)) == T.product(s)
+        assert T.cheapest(T.product(s)) == walk(s)
+
+
+def test_long_conversations_over_partitions_and_rounds(spark, monkeypatch):
+    rng = random.Random(8)
+    given = {1: [(i, *rng.choice(list(itertools.product(ROLES[:4], [f"said {i}.", f"cut {i}", " "])))) for i in range(700)], 2: [(None, "user", "same.")] * 50, 3: [(i, "user" if i % 2 else "assistant", f"{i}!") for i in range(90)]}
+    given |= {10 + i: conversation(rng, 4) for i in range(30)}
+    df = spark.createDataFrame([(i, *r) for i, rows in given.items() for r in rows], ROWS).withColumn("copies", F.lit("clash"))
+    monkeypatch.setattr(T, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(T, "FAN", 4)
+    got = result(spark, df)
+    for i, rows in given.items():
+        said, counts = expected(rows)
+        symbols = [T.symbol(r, f) for (r, _), f in zip(said, faults(said))]
+        cost, audit = walk(symbols)
+        repaired = T.apply(audit, 0, sum(e != "D" for e in audit) % 2 == 1, iter(said))
+        assert fits("".join(r[:1] or "-" for e, r, _ in repaired if e != "D"))
+        assert got[i] == (counts, cost, audit, sha([(r, x) for e, r, x in repaired if e != "D"])), i
+    parts = T.repair(df)[1].where("conv_id = 1")
+    assert parts.count() == parts.first().parts > 40
+    assert T.repair(df.limit(0))[0].count() == 0 and T.repair(df.limit(0))[1].count() == 0
+
+
+@pytest.mark.parametrize("rows", [[(None, None, None, None), (5, 1, "user", "Hi. You!"), (5, 2, "assistant", "Yes.")] + [(c, t, "assistant", f"Turn {t}.") for c in range(20) for t in range(6)]])
+def test_damage(spark, rows):
+    want = []
+    for c, t, r, x in rows:
+        k = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        r, x = r or " ", x or " "
+        if k:
+            x = "" if k == 1 else "".join(ch for ch in x if ch not in ".!?") if k == 2 else x
+            want += [(c, t, "user" if k == 4 else r, x)] * (2 if k == 3 else 1)
+    got = [tuple(r) for r in T.damaged(spark.createDataFrame(rows, ROWS)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) != len(rows)
+
+
+def test_query_has_every_conversation(spark, tmp_path):
+    lost = next(t for t in range(1000) if zlib.crc32(f"7:{t}".encode()) % 20 == 0)
+    spark.createDataFrame([(7, lost, "user", "x"), (8, 1, "user", "y.")], ROWS).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.conv_id: r for r in T.op12_turn_repair(spark, str(tmp_path)).collect()}
+    assert set(got) == {7, 8} and tuple(got[7])[1:] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
