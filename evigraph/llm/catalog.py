@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, html_text, language, mixing, notices, quality, simhash, tiling, tokens, topk, toxicity, turn_repair
+from . import chat, html_text, language, mixing, notices, quality, simhash, tiling, tokens, topk, toxicity, turn_repair, whitening
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_benchmark_tiling": tiling.op9_benchmark_tiling,
     "op10_license_notices": notices.op10_license_notices,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_turn_repair": turn_repair.op12_turn_repair,
     "op13_token_counts": tokens.op13_token_counts,
 }
