@@ -29,6 +29,8 @@ COMPONENTS, OVERSAMPLE, PASSES = 4, 8, 4
 CLOSE = 1e-11
 #: Eigenvalues below this share of the trace are taken as 0: there is no scale to divide by.
 NOTHING = 1e-12
+#: Tasks whose shares are added in one group.
+NEAR = 64
 #: Long sums stay exact below this.
 EXACT = 1 << 62
 
@@ -74,12 +76,13 @@ def _summed(vectors: DataFrame, dims: int, share, width: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["d", "v"])
 
     parts = vectors.select("x").mapInArrow(add, "d int, v array<double>").withColumn("piece", F.spark_partition_id())
-    at = F.posexplode("v").alias("j", "v")
-    # few rows a task; sorted, so that a sum of doubles comes out the same each time
-    sums = parts.select("d", "piece", at).groupBy("d", "j").agg(F.aggregate(F.array_sort(F.collect_list(F.struct("piece", "v"))), F.lit(0.0), lambda a, x: a + x["v"]).alias("v"))
+    # in two steps, so that no group holds a share of every task; sorted, so that a sum of doubles comes out the same each time
+    added = F.reduce(F.array_sort(F.collect_list(F.struct("piece", "v"))), F.array_repeat(F.lit(0.0), width), lambda a, x: F.zip_with(a, x["v"], lambda p, q: p + q)).alias("v")
+    near = parts.groupBy("d", F.floor(F.col("piece") / NEAR).alias("near")).agg(added)
+    sums = near.withColumnRenamed("near", "piece").groupBy("d").agg(added)
     out = np.zeros((dims, width))
-    for r in sums.collect():  # dims x width numbers
-        out[r.d, r.j] = r.v
+    for r in sums.collect():  # dims rows of width numbers
+        out[r.d] = r.v
     return out
 
 
