@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to ``spark.checkpoint.dir`` and cut from its lineage, so that it is computed once and survives lost executors.
+def shared(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     Where the setting is unset, a local session gets a new folder of its own; on a cluster that is an
     error, as executors would write where nobody else reads.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not given:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names no folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        given = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(given)
+    return given
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and cut from its lineage, so that it is computed once and survives lost executors."""
+    shared(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: smaller than a checkpoint, and read by column."""
+    path = f"{shared(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -79,5 +79,5 @@ def occurrences(text: Column, term: Column) -> Column:
 
 
 def word_hits(text: Column, term: Column, most: int = 10) -> Column:
-    """How often a term stands in a text as words, at most ``most``."""
-    return F.least(F.regexp_count(text, F.concat(F.lit(r"\b"), F.regexp_replace(term, r"([^A-Za-z0-9_ ])", r"\\$1"), F.lit(r"\b"))), F.lit(most)).cast("long")
+    """How often a term stands in a text as words, of any script, at most ``most``."""
+    return F.least(F.regexp_count(text, F.concat(F.lit(r"(?U)\b\Q"), F.replace(term, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E\b"))), F.lit(most)).cast("long")

@@ -9,7 +9,10 @@ from evigraph.functions import ranks, text
 from evigraph.operators.contains import containing
 
 SCHEMA = "array<struct<document_id: string, source_file: string, page: string, chunk_id: string, quote: string>>"
+FIELDS = ("document_id", "source_file", "page", "chunk_id", "quote")
 SHORTEST = 8
+#: Items of one group that may stand in one array, at a sink.
+MOST_LISTED = 100_000
 
 
 def in_own_chunk(quotes: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -56,18 +59,26 @@ def grounded(evidence: Column, body: Column) -> Column:
     return F.filter(evidence, lambda e: (F.length(text.folded(e["quote"])) >= SHORTEST) & F.contains(whole, text.folded(e["quote"])))
 
 
-def united(order: str, evidence: str = "evidence") -> Column:
-    """An aggregate: all items of a group in the order of ``order``, each once; nulls equal nulls."""
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(F.col(evidence), F.array().cast(SCHEMA)).alias("e"))))
-    return F.array_distinct(F.flatten(F.transform(rows, lambda r: r["e"])))
+def items(rows: DataFrame, by: str, order: str, evidence: str = "evidence") -> DataFrame:
+    """(by, at, fields): the evidence of ``rows``, an item a row; ``at`` is the row's order and the place in its array."""
+    listed = rows.select(by, F.col(order).alias("_order"), F.posexplode(F.coalesce(F.col(evidence), F.array().cast(SCHEMA))).alias("_place", "_item"))
+    return listed.select(by, F.struct("_order", F.col("_place").cast("long").alias("_place")).alias("at"), "_item.*")
 
 
 def numbered(items: DataFrame, group: str, order: str) -> DataFrame:
     """(group, place, document_id, source_file, page, chunk_id, quote): the different items of each group, in the order they first appear.
 
-    ``items`` has one row an item. Repeats go before the shuffle that orders them, and items are numbered
-    within pieces of the order, so a group of very many is no single task and no single array.
+    ``items`` has one row an item; nulls equal nulls. Repeats go before the shuffle that orders them, and items are
+    numbered within pieces of the order, so a group of very many is no single task and no single array.
     """
-    fields = ["document_id", "source_file", "page", "chunk_id", "quote"]
-    once = items.groupBy(group, *fields).agg(F.min(order).alias("_first"))
-    return ranks.numbered(once, [group], ["_first", *fields], "place").select(group, "place", *fields)
+    once = items.groupBy(group, *FIELDS).agg(F.min(order).alias("_first"))
+    return ranks.numbered(once, [group], ["_first", *FIELDS], "place").select(group, "place", *FIELDS)
+
+
+def listed(numbered_items: DataFrame, by: str, most: int = MOST_LISTED) -> DataFrame:
+    """(by, evidence): the items of each group as one array in order, for a sink; a group of more than ``most`` is an error.
+
+    An item whose place is beyond the bound ends the job before it is collected.
+    """
+    item = F.when(F.col("place") < most, F.struct("place", F.struct(*FIELDS).alias("item"))).otherwise(F.raise_error(F.lit(f"over {most} evidence items in one array")).cast("struct<place: long, item: " + SCHEMA[6:-1] + ">"))
+    return numbered_items.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["item"]).cast(SCHEMA).alias("evidence"))

@@ -1,13 +1,17 @@
 """Merging occurrences to nodes, and relationships after their endpoints.
 
 The first occurrence gives a node its scalar fields; of each property the first non-empty value
-wins, or the last one if all are empty, and keys stand in the order they first appeared; evidence is
-united in order. Everything is an aggregate with explicit ordinals, so results do not depend on how
-rows are dealt out, and is partly computed before the shuffle.
+wins, or the last one if all are empty, and keys stand in the order they first appeared. These are
+aggregates with explicit ordinals, so results do not depend on how rows are dealt out. Evidence
+stays a table with a row an item: repeats go before the shuffle, and the items of a node or relationship are numbered in
+pieces of their order, so one with millions of them is neither an array nor a single task. Arrays
+of evidence are made at sinks only (:func:`merge_nodes` and the like), under the bound of :func:`evidence.listed`.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -90,48 +94,148 @@ def merged_properties(rows: DataFrame, key: str, order: str, union_lists: bool =
     return best.groupBy(key).agg(numbered.alias("props"))
 
 
+@dataclass(frozen=True)
+class Merged:
+    """Merged rows with ``merge_key`` and ``has_evidence``, what became of ids, and the evidence they take in, as yet unordered."""
+
+    rows: DataFrame
+    aliases: DataFrame
+    id_col: str
+    items: DataFrame  # (merge_key, at, fields)
+
+    @property
+    def table(self) -> DataFrame:
+        """The rows without their key."""
+        return self.rows.drop("merge_key")
+
+    def numbered(self) -> DataFrame:
+        """(merge_key, place, fields): each row's different evidence items in order."""
+        return E.numbered(self.items, "merge_key", "at")
+
+    def evidence(self) -> DataFrame:
+        """(id, place, fields): as :func:`numbered`, under the merged id."""
+        ids = self.rows.select("merge_key", self.id_col)
+        return self.numbered().join(ids, "merge_key").select(self.id_col, "place", *E.FIELDS)
+
+    def with_arrays(self) -> DataFrame:
+        """The rows with their evidence as arrays; see :func:`evidence.listed` for the bound."""
+        joined = self.rows.join(E.listed(self.numbered(), "merge_key"), "merge_key", "left")
+        return joined.withColumn("evidence", F.coalesce("evidence", F.array().cast(E.SCHEMA))).drop("merge_key", "has_evidence")
+
+
+def _merged(keyed: DataFrame, id_col: str, head: list[str], items: DataFrame | None = None, union_lists: bool = False, carried: DataFrame | None = None) -> Merged:
+    """Rows with ``merge_key`` and ``_order`` merged by key.
+
+    Evidence, in the order of its rows and then its own, is in their arrays, or in ``items`` (id, place, fields), or in
+    ``carried`` (merge_key, at, fields).
+    """
+    has = F.size("evidence") > 0 if "evidence" in keyed.columns else F.col("has_evidence")
+    heads = keyed.groupBy("merge_key").agg(F.min_by(F.struct(*head), "_order").alias("head"), F.coalesce(F.bool_or(has), F.lit(False)).alias("has_evidence"))
+    props = merged_properties(keyed, "merge_key", "_order", union_lists)
+    rows = heads.join(props, "merge_key", "left").select("merge_key", "head.*", F.coalesce("props", F.array().cast(P.SCHEMA)).alias("props"), "has_evidence")
+    first = keyed.select("merge_key", F.col(id_col).alias("_old"), "_order").groupBy("merge_key", "_old").agg(F.min("_order").alias("_order"))
+    named = first.join(rows.select("merge_key", id_col), "merge_key")
+    aliases = named.groupBy("_old").agg(F.min_by(id_col, "_order").alias(id_col)).withColumnRenamed("_old", f"old_{id_col}")
+    if carried is None and items is None:
+        carried = E.items(keyed, "merge_key", "_order")
+    elif carried is None:
+        owner = first.groupBy("_old").agg(F.min_by(F.struct("merge_key", "_order"), "_order").alias("o")).select("_old", "o.*")
+        carried = items.withColumnRenamed(id_col, "_old").join(owner, "_old").select("merge_key", F.struct("_order", F.col("place").alias("_place")).alias("at"), *E.FIELDS)
+    return Merged(rows, aliases, id_col, carried)
+
+
+def merged_nodes(occurrences: DataFrame, strategy: str = "canonical", union_lists: bool = False, order: Column | None = None, items: DataFrame | None = None) -> Merged:
+    """Occurrences merged to nodes, evidence as rows.
+
+    ``occurrences`` is (occ_ord, node_id, node_type, canonical_key, source_instance_id, props, evidence).
+    ``order``, the ordinal by default, says which of a group comes first; the node keeps that one's ordinal.
+    Nodes that were merged before have ``has_evidence`` and their evidence in ``items`` (node_id, place, fields).
+    """
+    keyed = occurrences.withColumn("merge_key", STRATEGIES[strategy]()).withColumn("_order", F.col("occ_ord") if order is None else order)
+    head = [c for c in occurrences.columns if c not in ("props", "evidence", "has_evidence")]
+    return _merged(keyed, "node_id", head, items, union_lists)
+
+
+def merged_by_key(keyed: DataFrame, items: DataFrame) -> Merged:
+    """Nodes that carry their ``merge_key`` and ``_order`` merged by it; their evidence is in ``items``. The first of a key gives the id."""
+    head = [c for c in keyed.columns if c not in ("props", "evidence", "has_evidence", "merge_key", "_order")]
+    return _merged(keyed, "node_id", head, items)
+
+
+def without_arrays(rows: DataFrame) -> DataFrame:
+    """Rows with ``has_evidence`` instead of their array."""
+    return rows.withColumn("has_evidence", F.coalesce(F.size("evidence") > 0, F.lit(False))).drop("evidence")
+
+
+def merged_with(known: DataFrame, items: DataFrame, fresh: DataFrame, key: Column, id_col: str = "node_id", order: str = "occ_ord", union_lists: bool = False) -> Merged:
+    """``known`` rows, whose evidence is in ``items`` (id, place, fields), and ``fresh`` ones with arrays of it, merged by ``key``.
+
+    Known rows come first, whatever the ordinals.
+    """
+    placed = lambda rows, late: rows.withColumn("merge_key", key).withColumn("_order", F.struct(F.lit(late).alias("late"), order))
+    old, new = placed(known, False), placed(fresh, True)
+    both = old.unionByName(without_arrays(new).select(*old.columns))
+    owner = old.select(F.col(id_col).alias("_of"), "merge_key", "_order")
+    at = F.struct("_order", F.col("place").alias("_place")).alias("at")
+    carried = items.join(owner, F.col(id_col) == F.col("_of")).select("merge_key", at, *E.FIELDS).unionByName(E.items(new, "merge_key", "_order"))
+    return _merged(both, id_col, [c for c in known.columns if c not in ("props", "has_evidence")], union_lists=union_lists, carried=carried)
+
+
 def merge_nodes(occurrences: DataFrame, strategy: str = "canonical", union_lists: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(nodes, aliases): merged nodes, and (old_node_id, node_id) of all occurrences.
+    """(nodes, aliases): merged nodes with arrays of evidence, and (old_node_id, node_id) of all occurrences.
 
-    ``occurrences`` is (occ_ord, node_id, node_type, canonical_key, source_instance_id, props,
-    evidence). Merging what is merged already changes nothing.
+    For nodes of little evidence; see :func:`merged_nodes`. Merging what is merged already changes nothing.
     """
-    keyed = occurrences.withColumn("merge_key", STRATEGIES[strategy]())
-    fields = [c for c in occurrences.columns if c not in ("props", "evidence", "occ_ord")]
-    heads = keyed.groupBy("merge_key").agg(F.min("occ_ord").alias("occ_ord"), F.min_by(F.struct(*fields), "occ_ord").alias("head"), E.united("occ_ord").alias("evidence"))
-    props = merged_properties(keyed, "merge_key", "occ_ord", union_lists)
-    nodes = heads.join(props, "merge_key", "left").select("occ_ord", "head.*", F.coalesce("props", F.array().cast(P.SCHEMA)).alias("props"), "evidence", "merge_key")
-    aliases = keyed.select("merge_key", F.col("node_id").alias("old_node_id"), "occ_ord").groupBy("merge_key", "old_node_id").agg(F.min("occ_ord").alias("at")).join(nodes.select("merge_key", "node_id"), "merge_key")
-    return nodes.drop("merge_key"), aliases.groupBy("old_node_id").agg(F.min_by("node_id", "at").alias("node_id"))
+    found = merged_nodes(occurrences, strategy, union_lists)
+    return found.with_arrays(), found.aliases
 
 
-def remap(relationships: DataFrame, aliases: DataFrame, drop_unknown: bool = False) -> DataFrame:
-    """Relationships with endpoints replaced by their aliases, then one for each (source, type, target).
+def redirected(relationships: DataFrame, aliases: DataFrame, drop_unknown: bool = False) -> DataFrame:
+    """Relationships with endpoints replaced by their aliases (old_node_id, node_id).
 
     Endpoints without an alias stay as they are, or, with ``drop_unknown``, drop the relationship.
     """
     how = "inner" if drop_unknown else "left"
     s, t = (aliases.select(F.col("old_node_id").alias(f"{x}_old"), F.col("node_id").alias(f"{x}_new")) for x in "st")
     moved = relationships.join(s, F.col("source_node_id") == F.col("s_old"), how).join(t, F.col("target_node_id") == F.col("t_old"), how)
-    moved = moved.withColumn("source_node_id", F.coalesce("s_new", "source_node_id")).withColumn("target_node_id", F.coalesce("t_new", "target_node_id")).drop("s_old", "s_new", "t_old", "t_new")
-    return merge_relationships(moved)
+    return moved.withColumn("source_node_id", F.coalesce("s_new", "source_node_id")).withColumn("target_node_id", F.coalesce("t_new", "target_node_id")).drop("s_old", "s_new", "t_old", "t_new")
+
+
+ENDS = ("source_node_id", "relationship_type", "target_node_id")
+
+
+def merged_relationships(relationships: DataFrame, items: DataFrame | None = None, minted: bool = True, union_lists: bool = False) -> Merged:
+    """One relationship for each (source, type, target), evidence as rows; its id minted from these, or else the first one's."""
+    keyed = relationships.withColumn("merge_key", F.struct(*ENDS)).withColumn("_order", F.col("rel_ord"))
+    if minted:
+        keyed = keyed.withColumn("_minted", text.minted("rel_", *(F.col(c) for c in ENDS)))
+    found = _merged(keyed, "relationship_id", ["rel_ord", "relationship_id", *(["_minted"] if minted else []), *ENDS], items, union_lists)
+    if not minted:
+        return found
+    ids = found.rows.select(F.col("relationship_id").alias("_first"), F.col("_minted").alias("relationship_id"))
+    aliases = found.aliases.withColumnRenamed("relationship_id", "_first").join(ids, "_first").drop("_first")
+    return Merged(found.rows.withColumn("relationship_id", F.col("_minted")).drop("_minted"), aliases, "relationship_id", found.items)
+
+
+def remap(relationships: DataFrame, aliases: DataFrame, drop_unknown: bool = False) -> DataFrame:
+    """Relationships with endpoints replaced by their aliases, then one for each (source, type, target), with arrays of evidence."""
+    return merge_relationships(redirected(relationships, aliases, drop_unknown))
 
 
 def merge_relationships(relationships: DataFrame) -> DataFrame:
-    """One relationship for each (source, type, target), with an id minted from these."""
-    ends = ["source_node_id", "relationship_type", "target_node_id"]
-    keyed = relationships.withColumn("merge_key", F.struct(*ends))
-    heads = keyed.groupBy("merge_key").agg(F.min("rel_ord").alias("rel_ord"), E.united("rel_ord").alias("evidence"))
-    props = merged_properties(keyed, "merge_key", "rel_ord")
-    out = heads.join(props, "merge_key", "left").select("rel_ord", "merge_key.*", F.coalesce("props", F.array().cast(P.SCHEMA)).alias("props"), "evidence")
-    return out.withColumn("relationship_id", text.minted("rel_", *(F.col(c) for c in ends)))
+    """One relationship for each (source, type, target), with an id minted from these and an array of evidence."""
+    return merged_relationships(relationships).with_arrays()
+
+
+def merged_relationships_by_id(relationships: DataFrame) -> Merged:
+    """One relationship for each id: the first occurrence's ends and type, the first non-empty value of each property, all evidence as rows."""
+    keyed = relationships.withColumn("merge_key", F.col("relationship_id")).withColumn("_order", F.col("rel_ord"))
+    return _merged(keyed, "relationship_id", ["rel_ord", "relationship_id", "relationship_type", "source_node_id", "target_node_id"])
 
 
 def merge_relationships_by_id(relationships: DataFrame) -> DataFrame:
-    """One relationship for each id: the first occurrence's ends and type, the first non-empty value of each property, all evidence."""
-    heads = relationships.groupBy("relationship_id").agg(F.min("rel_ord").alias("rel_ord"), F.min_by(F.struct("relationship_type", "source_node_id", "target_node_id"), "rel_ord").alias("head"), E.united("rel_ord").alias("evidence"))
-    props = merged_properties(relationships, "relationship_id", "rel_ord")
-    return heads.join(props, "relationship_id", "left").select("rel_ord", "relationship_id", "head.*", F.coalesce("props", F.array().cast(P.SCHEMA)).alias("props"), "evidence")
+    """As :func:`merged_relationships_by_id`, with arrays of evidence."""
+    return merged_relationships_by_id(relationships).with_arrays()
 
 
 def merge_repaired_relationships(relationships: DataFrame, repair: DataFrame, nodes: DataFrame, redirects: DataFrame) -> DataFrame:
@@ -139,14 +243,17 @@ def merge_repaired_relationships(relationships: DataFrame, repair: DataFrame, no
 
     Of repair relationships with one id the first counts. ``redirects`` is (old_node_id, node_id).
     """
-    s, t = (redirects.select(F.col("old_node_id").alias(f"{x}_old"), F.col("node_id").alias(f"{x}_new")) for x in "st")
-    moved = repair.join(s, F.col("source_node_id") == F.col("s_old"), "left").join(t, F.col("target_node_id") == F.col("t_old"), "left")
-    moved = moved.withColumn("source_node_id", F.coalesce("s_new", "source_node_id")).withColumn("target_node_id", F.coalesce("t_new", "target_node_id")).drop("s_old", "s_new", "t_old", "t_new")
+    return relationships.unionByName(fresh_relationships(relationships, repair, nodes, redirects).select(*relationships.columns))
+
+
+def fresh_relationships(relationships: DataFrame, repair: DataFrame, nodes: DataFrame, redirects: DataFrame) -> DataFrame:
+    """The relationships of ``repair`` that :func:`merge_repaired_relationships` adds."""
     known = nodes.select(F.col("node_id").alias("_n")).distinct()
+    moved = redirected(repair, redirects)
     whole = moved.join(known, F.col("source_node_id") == F.col("_n"), "left_semi").join(known, F.col("target_node_id") == F.col("_n"), "left_semi").where("relationship_id <> ''")
-    first = whole.withColumn("_n", F.row_number().over(W.partitionBy("relationship_id").orderBy("rel_ord"))).where("_n = 1").drop("_n")
-    fresh = first.join(relationships.select("relationship_id").distinct(), "relationship_id", "left_anti")
-    return relationships.unionByName(fresh.select(*relationships.columns))
+    fields = [c for c in repair.columns if c != "relationship_id"]
+    first = whole.groupBy("relationship_id").agg(F.min_by(F.struct(*fields), "rel_ord").alias("r")).select("relationship_id", "r.*")
+    return first.join(relationships.select("relationship_id").distinct(), "relationship_id", "left_anti")
 
 
 def first_of_triples(relationships: DataFrame) -> DataFrame:
@@ -155,15 +262,35 @@ def first_of_triples(relationships: DataFrame) -> DataFrame:
     return relationships.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
-def merge_repair(nodes: DataFrame, repair: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes, redirects): repair nodes merged into those of the same id, else of the same repair identity, else added.
+def repaired_nodes(nodes: DataFrame, repair: DataFrame, items: DataFrame | None = None) -> tuple[Merged, DataFrame]:
+    """(merged, redirects): repair nodes merged into those of the same id, else of the same repair identity, else added.
 
-    Both have the columns of occurrences, the ordinals of ``repair`` after those of ``nodes``.
+    What ``nodes`` have comes first, whatever the ordinals. Repair nodes that share an identity with each other, but with
+    no node, are one as well: the first. ``repair`` has arrays of evidence, as replies are bounded; so have ``nodes``
+    unless theirs is in ``items`` (node_id, place, fields). ``redirects`` is (old_node_id, node_id).
     """
     known = nodes.select(F.col("node_id").alias("known_id")).distinct()
     named = nodes.withColumn("identity", repair_identity()).where("identity is not null").groupBy("identity").agg(F.max_by("node_id", "occ_ord").alias("same_id"))
-    found = repair.withColumn("identity", repair_identity()).join(known, F.col("node_id") == F.col("known_id"), "left").join(named, "identity", "left")
-    moved = found.withColumn("old_id", F.col("node_id")).withColumn("node_id", F.coalesce("known_id", "same_id", "node_id"))
-    redirects = moved.where("old_id <> node_id").select(F.col("old_id").alias("old_node_id"), "node_id").distinct()
-    both = nodes.unionByName(moved.select(*nodes.columns))
-    return merge_nodes(both, "id")[0], redirects
+    own = repair.withColumn("identity", repair_identity()).join(known, F.col("node_id") == F.col("known_id"), "left")
+    fresh = own.where("known_id is null and identity is not null").groupBy("identity").agg(F.min_by("node_id", "occ_ord").alias("first_id"))
+    found = own.join(named, "identity", "left").join(fresh, "identity", "left")
+    moved = found.withColumn("old_id", F.col("node_id")).withColumn("node_id", F.coalesce("known_id", "same_id", "first_id", "node_id"))
+    redirects = moved.where("old_id <> node_id").groupBy(F.col("old_id").alias("old_node_id")).agg(F.min_by("node_id", "occ_ord").alias("node_id"))
+    if items is None:
+        items = E.numbered(E.items(nodes, "node_id", "occ_ord"), "node_id", "at")
+        nodes = without_arrays(nodes)
+    return merged_with(nodes, items, moved.select(*(c for c in nodes.columns if c != "has_evidence"), "evidence"), F.col("node_id")), redirects
+
+
+def merge_repair(nodes: DataFrame, repair: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, redirects): as :func:`repaired_nodes`, for nodes and repair nodes with arrays of evidence. Both have the columns of occurrences."""
+    merged, redirects = repaired_nodes(nodes, repair)
+    return merged.with_arrays(), redirects
+
+
+def composed(redirects: DataFrame, later: DataFrame) -> DataFrame:
+    """(old_node_id, node_id): redirects followed by later ones. An id that both redirect goes where the first one leads, and on from there."""
+    on = later.select(F.col("old_node_id").alias("_via"), F.col("node_id").alias("_to"))
+    first = redirects.join(on, F.col("node_id") == F.col("_via"), "left").select("old_node_id", F.coalesce("_to", "node_id").alias("node_id"))
+    rest = later.join(redirects.select(F.col("old_node_id").alias("_via")).distinct(), F.col("old_node_id") == F.col("_via"), "left_anti")
+    return first.unionByName(rest).where("old_node_id <> node_id")

@@ -5,10 +5,11 @@ Ontologies are mostly small files; whether their tables are broadcast is left to
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evigraph.functions.store import cut
+from evigraph.functions.store import stored
 
 
 def known_types(nodes: DataFrame, types: DataFrame) -> DataFrame:
@@ -57,6 +58,26 @@ def valid(relationships: DataFrame, nodes: DataFrame, signatures: DataFrame) ->
     return ends(relationships, nodes).join(signatures.distinct(), ["source_type", "relationship_type", "target_type"], "left_semi").select(*relationships.columns)
 
 
+def final_filter(relationships: DataFrame, nodes: DataFrame, signatures: DataFrame) -> DataFrame:
+    """All relationships with ``verdict``, in one pass: kept, or why not.
+
+    ``source missing``, ``target missing``, ``both missing`` where an end is no node, ``signature not allowed``, or ``repeated`` where
+    an earlier one that is sound has the same ends and type.
+    """
+    allowed = signatures.distinct().withColumn("_ok", F.lit(True))
+    seen = ends(relationships, nodes).join(allowed, ["source_type", "relationship_type", "target_type"], "left")
+    no_source, no_target = F.col("source_type").isNull(), F.col("target_type").isNull()
+    lost = F.when(no_source & no_target, "both missing").when(no_source, "source missing").when(no_target, "target missing").when(F.col("_ok").isNull(), "signature not allowed")
+    judged = seen.withColumn("_lost", lost).drop("_ok")
+    triple = ["source_node_id", "relationship_type", "target_node_id"]
+    first = judged.where("_lost is null").groupBy(*triple).agg(F.min("rel_ord").alias("_first"))
+    firsts = first.select(*(F.col(c).alias(f"_{c}") for c in triple), "_first")
+    same = F.expr(" and ".join(f"{c} <=> _{c}" for c in triple))
+    again = F.row_number().over(W.partitionBy(*triple, "rel_ord").orderBy("relationship_id")) > 1  # rows of one ordinal are few
+    verdict = F.coalesce(F.col("_lost"), F.when((F.col("rel_ord") == F.col("_first")) & ~again, "kept").otherwise("repeated"))
+    return judged.join(firsts, same, "left").withColumn("verdict", verdict).select(*relationships.columns, "source_type", "target_type", "verdict")
+
+
 def degrees(relationships: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node_id, node_type, degree): ends of relationships at each node, valid or not; a loop counts twice."""
     touched = relationships.select(F.explode(F.array("source_node_id", "target_node_id")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
@@ -75,12 +96,26 @@ def relationship_coverage(relationships: DataFrame, signatures: DataFrame) -> Da
     return signatures.select("relationship_type").distinct().join(counts, F.col("relationship_type") == F.col("t"), "left").select("relationship_type", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+def _bare(rows: DataFrame) -> Column:
+    """Whether a row has no evidence: by its flag, where evidence is a table, or by its array."""
+    return ~F.col("has_evidence") if "has_evidence" in rows.columns else F.coalesce(F.size("evidence"), F.lit(0)) <= 0
+
+
+def thin_nodes(nodes: DataFrame) -> DataFrame:
+    """(node_id, node_type, occ_ord, keys, bare): what validation looks at."""
+    return nodes.select("node_id", "node_type", "occ_ord", F.transform("props", lambda p: p["key"]).alias("keys"), _bare(nodes).alias("bare"))
+
+
+def thin_relationships(relationships: DataFrame) -> DataFrame:
+    """(relationship_id, relationship_type, source_node_id, target_node_id, bare)."""
+    return relationships.select("relationship_id", "relationship_type", "source_node_id", "target_node_id", _bare(relationships).alias("bare"))
+
+
 def _thin(nodes: DataFrame, relationships: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes and relationships with only what validation looks at, computed once."""
-    bare = F.coalesce(F.size("evidence"), F.lit(0)) <= 0
-    n = cut(nodes.select("node_id", "node_type", "occ_ord", F.transform("props", lambda p: p["key"]).alias("keys"), bare.alias("bare")))
-    r = cut(ends(relationships.select("relationship_id", "relationship_type", "source_node_id", "target_node_id", bare.alias("bare")), n))
-    return n, r
+    """Nodes and relationships with only what validation looks at, computed once; those that are thin are taken as they are."""
+    n = nodes if "keys" in nodes.columns else stored(thin_nodes(nodes))
+    r = relationships if "bare" in relationships.columns else thin_relationships(relationships)
+    return n, stored(ends(r, n))
 
 
 def findings(nodes: DataFrame, relationships: DataFrame, types: DataFrame, properties: DataFrame, signatures: DataFrame) -> DataFrame:

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evigraph.functions import ordinals
 from evigraph.functions import props as P
 from evigraph.functions import text
-from evigraph.functions.store import cut
+from evigraph.functions.store import shared, stored
 from evigraph.operators import evidence as E
 from evigraph.operators import merge as M
 from evigraph.operators import replies as R
 from evigraph.operators import normalize as N
 from evigraph.operators import resolve, retrieve
 from evigraph.operators import validate as V
+from evigraph.plans import repair as rounds_of
 from evigraph.plans import star
+from evigraph.plans.graph import Graph
 from evigraph.sources import chunks as C
 
 QUERIES: dict = {}
@@ -32,9 +37,22 @@ def query(name: str, sql: str | None):
 
 
 def _docs(spark, sf_dir) -> DataFrame:
-    """The documents; a table of fewer splits than there are cores, as a single small file, is dealt out over them."""
-    docs, cores = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.sparkContext.defaultParallelism
-    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def _chunks(spark, sf_dir) -> DataFrame:
+    return C.cut(_docs(spark, sf_dir))
+
+
+def _shown(rows: DataFrame, name: str = "chunk_ord") -> DataFrame:
+    """``rows`` with the place of a chunk as the number that the SQL has for it."""
+    return rows.withColumn(name, F.col(name)["document"] * 1_000_000 + F.col(name)["piece"])
+
+
+def _item(place: str) -> Column:
+    """The place of a reply's item as the number that the SQL has for it."""
+    at = F.col(place)
+    return (at["chunk"]["document"] * 1_000_000 + at["chunk"]["piece"]) * 100_000 + at["place"]
 
 
 def _onto(spark):
@@ -56,12 +74,12 @@ _suffix = lambda c: f"trim(regexp_replace(regexp_replace({_identity(c)}, '\\b(?:
 
 @query("chunk_scan_report", f"WITH {CHUNKS_SQL} SELECT chunk_ord, document_id, chunk_id, page::VARCHAR AS pages, length(text)::BIGINT AS n_chars, substring(trim(regexp_replace(text, '{SPACE}', ' ', 'g')), 1, 120) AS preview FROM chk")
 def chunk_scan_report(spark, sf_dir):
-    return C.report(C.cut(_docs(spark, sf_dir)))
+    return _shown(C.report(_chunks(spark, sf_dir)))
 
 
 @query("chunk_by_document", f"WITH {CHUNKS_SQL} SELECT document_id, count(*)::BIGINT AS n_chunks, sum(length(text))::BIGINT AS n_chars FROM chk GROUP BY document_id")
 def chunk_by_document(spark, sf_dir):
-    return C.by_document(C.cut(_docs(spark, sf_dir)))
+    return C.by_document(_chunks(spark, sf_dir))
 
 
 @query("text_normalize", f"SELECT doc_id, md5({_fold('text')}) AS folded FROM documents")
@@ -121,27 +139,27 @@ QUOTES_SQL = f"quo AS (SELECT chunk_ord, document_id, chunk_id, substring(text,
 
 
 def _quotes(chunks: DataFrame) -> DataFrame:
-    odd = F.floor(F.col("chunk_ord") / 1_000_000) % 2 == 1
+    odd = F.col("chunk_ord.document") % 2 == 1
     return chunks.select("chunk_ord", "document_id", "chunk_id", F.concat(F.substring("text", 5, 20), F.when(odd, "#").otherwise("")).alias("quote"))
 
 
 @query("quote_grounding_local", f"WITH {CHUNKS_SQL}, {QUOTES_SQL} SELECT chunk_ord, quote FROM quo JOIN chk USING (chunk_ord) WHERE length({_fold('quote')}) >= 8 AND contains({_fold('text')}, {_fold('quote')})")
 def quote_grounding_local(spark, sf_dir):
-    chunks = C.cut(_docs(spark, sf_dir))
-    return E.in_own_chunk(_quotes(chunks), chunks).select("chunk_ord", "quote")
+    chunks = _chunks(spark, sf_dir)
+    return _shown(E.in_own_chunk(_quotes(chunks), chunks).select("chunk_ord", "quote"))
 
 
 @query("quote_grounding_global", f"WITH {CHUNKS_SQL}, {QUOTES_SQL}, fq AS (SELECT DISTINCT {_fold('quote')} AS q FROM quo), fb AS (SELECT DISTINCT {_fold('text')} AS b FROM chk), hit AS (SELECT DISTINCT q FROM fq JOIN fb ON contains(b, q) WHERE length(q) >= 8) SELECT chunk_ord, quote FROM quo WHERE {_fold('quote')} IN (SELECT q FROM hit)")
 def quote_grounding_global(spark, sf_dir):
-    chunks = C.cut(_docs(spark, sf_dir))
-    return E.in_any_chunk(_quotes(chunks), chunks).select("chunk_ord", "quote")
+    chunks = _chunks(spark, sf_dir)
+    return _shown(E.in_any_chunk(_quotes(chunks), chunks).select("chunk_ord", "quote"))
 
 
 @query("evidence_dedup", f"WITH {CHUNKS_SQL}, e AS (SELECT source_file, document_id, md5(text) AS quote, min(chunk_ord) AS o FROM chk GROUP BY ALL) SELECT source_file, (row_number() OVER (PARTITION BY source_file ORDER BY o) - 1)::BIGINT AS place, document_id, quote FROM e")
 def evidence_dedup(spark, sf_dir):
     """Each source's different evidence items in corpus order; a quote is a chunk's whole text, by its digest."""
     none = F.lit(None).cast("string")
-    items = C.cut(_docs(spark, sf_dir)).select("source_file", "chunk_ord", "document_id", none.alias("page"), none.alias("chunk_id"), F.md5("text").alias("quote"))
+    items = _chunks(spark, sf_dir).select("source_file", "chunk_ord", "document_id", none.alias("page"), none.alias("chunk_id"), F.md5("text").alias("quote"))
     return E.numbered(items, "source_file", "chunk_ord").select("source_file", "place", "document_id", "quote")
 
 
@@ -158,13 +176,13 @@ l AS (SELECT k.merge_key, p.* FROM keyed k JOIN prop p USING (occ_ord)),
 b AS (SELECT merge_key, key, min(occ_ord * 100 + pos) AS o, coalesce(arg_min(value_json, occ_ord) FILTER (WHERE value_json NOT IN ('""', 'null', '[]', '{{}}')), arg_max(value_json, occ_ord)) AS value_json FROM l GROUP BY ALL)
 SELECT node_id, (row_number() OVER (PARTITION BY merge_key ORDER BY o) - 1)::BIGINT AS pos, key, value_json FROM b JOIN node USING (merge_key)""")
 def node_merge_first_nonempty(spark, sf_dir):
-    nodes, _ = M.merge_nodes(star.nodes(spark, sf_dir))
+    nodes = M.merged_nodes(star.nodes(spark, sf_dir)).table
     return nodes.select("node_id", F.explode("props").alias("p")).select("node_id", F.col("p.pos").cast("long").alias("pos"), "p.key", "p.value_json")
 
 
 @query("alias_map", f"WITH {star.NODES_SQL}, {star.MERGED_SQL} SELECT old_node_id, node_id FROM als")
 def alias_map(spark, sf_dir):
-    return M.merge_nodes(star.nodes(spark, sf_dir))[1]
+    return M.merged_nodes(star.nodes(spark, sf_dir)).aliases
 
 
 _STRONG_SQL = f"""strong AS (SELECT occ.*, node_type || CASE WHEN p.value_json IS NULL THEN '|opaque|' || node_id ELSE '|name|' || {_suffix("json_extract_string(p.value_json, '$')")} END AS merge_key FROM occ LEFT JOIN prop p ON p.occ_ord = occ.occ_ord AND p.key = 'name' AND p.value_json <> '""')"""
@@ -172,7 +190,8 @@ _STRONG_SQL = f"""strong AS (SELECT occ.*, node_type || CASE WHEN p.value_json I
 
 @query("node_merge_strong_or_name", f"WITH {star.NODES_SQL}, {_STRONG_SQL} SELECT arg_min(node_id, occ_ord) AS node_id, node_type, count(*)::BIGINT AS n_occurrences FROM strong GROUP BY merge_key, node_type")
 def node_merge_strong_or_name(spark, sf_dir):
-    nodes, aliases = M.merge_nodes(star.nodes(spark, sf_dir), "strong_or_name")
+    merged = M.merged_nodes(star.nodes(spark, sf_dir), "strong_or_name")
+    nodes, aliases = merged.table, merged.aliases
     return aliases.groupBy("node_id").agg(F.count(F.lit(1)).alias("n_occurrences")).join(nodes.select("node_id", "node_type"), "node_id").select("node_id", "node_type", "n_occurrences")
 
 
@@ -186,13 +205,13 @@ def _metrics(spark, sf_dir) -> DataFrame:
 
 @query("metric_identity_merge", "SELECT 'm_' || min(o_orderkey) AS node_id, count(*)::BIGINT AS n FROM orders GROUP BY o_orderpriority, year(o_orderdate), o_orderstatus, o_orderkey % 7")
 def metric_identity_merge(spark, sf_dir):
-    return M.merge_nodes(_metrics(spark, sf_dir), "name_or_metric")[1].groupBy("node_id").agg(F.count(F.lit(1)).alias("n"))
+    return M.merged_nodes(_metrics(spark, sf_dir), "name_or_metric").aliases.groupBy("node_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("relationship_remap_dedup", f"WITH {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.ONTOLOGY_SQL}, {star.MERGED_SQL}, {star.REMAPPED_SQL} SELECT rel_ord, source_node_id, relationship_type, target_node_id, 'rel_' || substring(sha1(source_node_id || '|' || relationship_type || '|' || target_node_id), 1, 20) AS relationship_id FROM tri")
 def relationship_remap_dedup(spark, sf_dir):
-    _, aliases = M.merge_nodes(star.nodes(spark, sf_dir))
-    return M.remap(star.relationships(spark, sf_dir), aliases).select("rel_ord", "source_node_id", "relationship_type", "target_node_id", "relationship_id")
+    aliases = M.merged_nodes(star.nodes(spark, sf_dir)).aliases
+    return M.merged_relationships(M.redirected(star.relationships(spark, sf_dir), aliases)).table.select("rel_ord", "source_node_id", "relationship_type", "target_node_id", "relationship_id")
 
 
 _REVIEWED = f"""{star.REVIEWS_SQL},
@@ -231,8 +250,8 @@ def repair_merge(spark, sf_dir):
     key = F.expr("cast(substring(node_id, 10) as long)")
     name = F.when(key % 2 == 1, P.quoted(F.concat(F.lit("somebody else "), key))).otherwise(P.value(F.col("props"), "name"))
     repair = nodes.where(key % 5 == 0).withColumn("props", P.of(name=name, balance=F.lit("7"), extra=key.cast("string")).cast(P.SCHEMA)).withColumn("node_id", F.concat(F.lit("fix_"), key)).withColumn("occ_ord", F.col("occ_ord") + 10**13)
-    merged, _ = M.merge_repair(nodes, repair)
-    return merged.select("node_id", F.explode("props").alias("p")).select("node_id", "p.key", "p.value_json")
+    merged, _ = M.repaired_nodes(nodes, repair)
+    return merged.table.select("node_id", F.explode("props").alias("p")).select("node_id", "p.key", "p.value_json")
 
 
 @query("repair_relationships", f"""WITH fixed AS (SELECT 'fix_' || c_custkey AS old_id, 'customer_' || c_custkey AS node_id FROM customer WHERE c_custkey % 5 = 0),
@@ -251,14 +270,32 @@ def repair_relationships(spark, sf_dir):
     return out.select("relationship_id", "relationship_type", "source_node_id", "target_node_id")
 
 
+def _counted(merged: M.Merged) -> DataFrame:
+    """Merged rows with the number of their different evidence items."""
+    n = merged.numbered().groupBy("merge_key").agg(F.count(F.lit(1)).alias("n"))
+    return merged.rows.join(n, "merge_key", "left").withColumn("n_evidence", F.coalesce("n", F.lit(0)).cast("long"))
+
+
+@query("merged_node_evidence", f"WITH {star.NODES_SQL}, {star.MERGED_SQL} SELECT n.node_id, (row_number() OVER (PARTITION BY k.merge_key ORDER BY k.occ_ord) - 1)::BIGINT AS place, k.node_id AS chunk_id, k.canonical_key AS quote FROM keyed k JOIN node n USING (merge_key) WHERE k.canonical_key IS NOT NULL")
+def merged_node_evidence(spark, sf_dir):
+    """The evidence that merged nodes take in, a row an item, in order."""
+    return M.merged_nodes(star.nodes(spark, sf_dir)).evidence().select("node_id", "place", "chunk_id", "quote")
+
+
+@query("merged_relationship_evidence", f"WITH {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.MERGED_SQL}, mov AS (SELECT r.*, coalesce(s.node_id, source_node_id) AS s, coalesce(t.node_id, target_node_id) AS t FROM rel r LEFT JOIN als s ON source_node_id = s.old_node_id LEFT JOIN als t ON target_node_id = t.old_node_id), i AS (SELECT s, relationship_type, t, source_node_id AS chunk_id, target_node_id AS quote, min(rel_ord) AS o FROM mov GROUP BY ALL) SELECT 'rel_' || substring(sha1(s || '|' || relationship_type || '|' || t), 1, 20) AS relationship_id, (row_number() OVER (PARTITION BY s, relationship_type, t ORDER BY o) - 1)::BIGINT AS place, chunk_id, quote FROM i")
+def merged_relationship_evidence(spark, sf_dir):
+    """The evidence that relationships take in as their ends are merged, a row an item, in order."""
+    aliases = M.merged_nodes(star.nodes(spark, sf_dir)).aliases
+    return M.merged_relationships(M.redirected(star.relationships(spark, sf_dir), aliases)).evidence().select("relationship_id", "place", "chunk_id", "quote")
+
+
 @query("relationship_merge_by_id", "SELECT 'l_' || l_orderkey AS relationship_id, min(((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber) AS rel_ord, 'part_' || arg_min(l_partkey, ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber) AS target_node_id, arg_min(round(l_quantity)::BIGINT, ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber)::VARCHAR AS quantity, count(DISTINCT l_suppkey)::BIGINT AS n_evidence FROM lineitem GROUP BY l_orderkey")
 def relationship_merge_by_id(spark, sf_dir):
     """Line items of an order as occurrences of one relationship id: first ends and values, all evidence once."""
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     quote = F.array(F.struct(F.lit("star").alias("document_id"), F.lit("tables").alias("source_file"), F.lit(None).cast("string").alias("page"), F.lit(None).cast("string").alias("chunk_id"), F.col("l_suppkey").cast("string").alias("quote"))).cast(E.SCHEMA)
     rows = line.select((((F.col("l_orderkey") * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")).alias("rel_ord"), F.concat(F.lit("l_"), F.col("l_orderkey")).alias("relationship_id"), F.lit("CONTAINS").alias("relationship_type"), F.concat(F.lit("order_"), F.col("l_orderkey")).alias("source_node_id"), F.concat(F.lit("part_"), F.col("l_partkey")).alias("target_node_id"), P.of(quantity=F.round("l_quantity").cast("long").cast("string")).alias("props"), quote.alias("evidence"))
-    out = M.merge_relationships_by_id(rows)
-    return out.select("relationship_id", "rel_ord", "target_node_id", P.value(F.col("props"), "quantity").alias("quantity"), F.size("evidence").cast("long").alias("n_evidence"))
+    return _counted(M.merged_relationships_by_id(rows)).select("relationship_id", "rel_ord", "target_node_id", P.value(F.col("props"), "quantity").alias("quantity"), "n_evidence")
 
 
 @query("node_merge_by_id", "SELECT 'c_' || o_custkey AS node_id, min(o_orderkey) AS occ_ord, count(DISTINCT o_orderpriority)::BIGINT AS n_evidence, '\"' || arg_min(o_orderstatus, o_orderkey) || '\"' AS status FROM orders GROUP BY o_custkey")
@@ -268,7 +305,7 @@ def node_merge_by_id(spark, sf_dir):
     none = F.lit(None).cast("string")
     quote = F.array(F.struct(F.lit("star").alias("document_id"), F.lit("tables").alias("source_file"), none.alias("page"), none.alias("chunk_id"), F.col("o_orderpriority").alias("quote"))).cast(E.SCHEMA)
     rows = orders.select(F.col("o_orderkey").alias("occ_ord"), F.concat(F.lit("c_"), F.col("o_custkey")).alias("node_id"), F.lit("Customer").alias("node_type"), none.alias("canonical_key"), none.alias("source_instance_id"), P.of(status=P.quoted(F.col("o_orderstatus"))).alias("props"), quote.alias("evidence"))
-    return M.merge_nodes(rows, "id")[0].select("node_id", "occ_ord", F.size("evidence").cast("long").alias("n_evidence"), P.value(F.col("props"), "status").alias("status"))
+    return _counted(M.merged_nodes(rows, "id")).select("node_id", "occ_ord", "n_evidence", P.value(F.col("props"), "status").alias("status"))
 
 
 @query("property_list_union", "SELECT 'c_' || o_custkey AS node_id, to_json(list(s ORDER BY o)) AS statuses FROM (SELECT o_custkey, o_orderpriority AS s, min(o_orderkey) AS o FROM orders GROUP BY ALL) GROUP BY o_custkey")
@@ -285,9 +322,10 @@ _GRAPH = f"WITH {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.ONTOLOGY_SQL},
 
 
 def _merged(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Merged nodes and remapped relationships, each computed once."""
-    nodes, aliases = M.merge_nodes(star.nodes(spark, sf_dir))
-    return cut(nodes), cut(M.remap(star.relationships(spark, sf_dir), aliases))
+    """Merged nodes and remapped relationships with what validation looks at, each computed once."""
+    merged = M.merged_nodes(star.nodes(spark, sf_dir))
+    moved = M.merged_relationships(M.redirected(star.relationships(spark, sf_dir), merged.aliases)).table
+    return stored(V.thin_nodes(merged.table)), stored(moved.select("rel_ord", "relationship_id", "relationship_type", "source_node_id", "target_node_id", (~F.col("has_evidence")).alias("bare")))
 
 
 @query("orphan_relationships", f"{_GRAPH} SELECT rel_ord, source_node_id, relationship_type, target_node_id, CASE WHEN source_type IS NOT NULL THEN 'target' WHEN target_type IS NOT NULL THEN 'source' ELSE 'both' END AS reason FROM typed WHERE source_type IS NULL OR target_type IS NULL")
@@ -379,36 +417,36 @@ _RANKED = "al AS (SELECT grp, chunk_ord, 0 AS tier, 0 AS score, 0 AS size FROM d
 
 @query("retrieve_topk_nodes", f"WITH {_SCORED}, {_DIRECT}, {_RANKED} WHERE rank <= 10")
 def retrieve_topk_nodes(spark, sf_dir):
-    chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
-    return retrieve.top(retrieve.direct(nodes, chunks, "grp"), retrieve.scored(retrieve.node_terms(nodes, "grp"), chunks, "grp"), "grp", 10)
+    chunks, nodes = _chunks(spark, sf_dir), _term_nodes(spark, sf_dir)
+    return _shown(retrieve.top(retrieve.direct(nodes, chunks, "grp"), retrieve.scored(retrieve.node_terms(nodes, "grp"), chunks, "grp"), "grp", 10))
 
 
 @query("retrieve_topk_best", f"WITH {_SCORED}, b AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, size, chunk_ord) AS best FROM sco), {_DIRECT.replace('length(text) > 0', 'length(text) > 0 AND doc_id < 0')}, {_RANKED.replace('FROM sco', 'FROM b').replace('WHERE (grp', 'WHERE best <= 10 AND (grp')} WHERE rank <= 10")
 def retrieve_topk_best(spark, sf_dir):
     """The ten best scored chunks of each group, with no chunk quoted by any node in front."""
-    chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
+    chunks, nodes = _chunks(spark, sf_dir), _term_nodes(spark, sf_dir)
     scored = retrieve.scored(retrieve.node_terms(nodes, "grp"), chunks, "grp")
     none = nodes.withColumn("evidence", F.filter("evidence", lambda e: F.lit(False)))
-    return retrieve.top_of_best(retrieve.direct(none, chunks, "grp"), scored, "grp", 10)
+    return _shown(retrieve.top_of_best(retrieve.direct(none, chunks, "grp"), scored, "grp", 10))
 
 
 @query("retrieve_topk_endpoints", f"WITH {_SCORED.replace('SELECT source AS grp, lower', 'SELECT grp, lower').replace('FROM node_q WHERE', 'FROM node_q JOIN pair USING (source) WHERE').replace('node_q AS', 'pair AS (SELECT grp, source FROM (SELECT a.source || chr(124) || b.source AS grp, a.source AS x, b.source AS y FROM (SELECT DISTINCT source FROM documents) a JOIN (SELECT DISTINCT source FROM documents) b ON b.source = (SELECT min(source) FROM documents)) p JOIN (SELECT DISTINCT source FROM documents) s ON s.source IN (x, y)), node_q AS')}, dir AS (SELECT DISTINCT grp, doc_id * 1000000 AS chunk_ord FROM documents JOIN pair USING (source) WHERE length(text) > 0), {_RANKED} WHERE rank <= 12")
 def retrieve_topk_endpoints(spark, sf_dir):
     """Chunks for relationships between the nodes of each source and those of the first: both ends' nodes give terms and quoted chunks."""
-    chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
+    chunks, nodes = _chunks(spark, sf_dir), _term_nodes(spark, sf_dir)
     sources = nodes.select(F.col("grp").alias("x")).distinct()
     pairs = sources.withColumn("y", sources.agg(F.min("x")).scalar())
     ends = pairs.select(F.concat_ws("|", "x", "y").alias("pair"), F.explode(F.array_distinct(F.array("x", "y"))).alias("end"))
     members = nodes.join(ends, F.col("grp") == F.col("end")).select(F.col("pair").alias("grp"), "occ_ord", "props", "evidence")
-    return retrieve.top(retrieve.direct(members, chunks, "grp"), retrieve.scored(retrieve.node_terms(members, "grp"), chunks, "grp"), "grp", 12)
+    return _shown(retrieve.top(retrieve.direct(members, chunks, "grp"), retrieve.scored(retrieve.node_terms(members, "grp"), chunks, "grp"), "grp", 12))
 
 
 @query("retrieve_topk_scored", f"WITH {_SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, size, chunk_ord)::INTEGER AS rank FROM sco) SELECT grp, chunk_ord, score, rank FROM r WHERE rank <= 12")
 def retrieve_topk_scored(spark, sf_dir):
-    chunks, nodes = C.cut(_docs(spark, sf_dir)), _term_nodes(spark, sf_dir)
+    chunks, nodes = _chunks(spark, sf_dir), _term_nodes(spark, sf_dir)
     scored = retrieve.scored(retrieve.node_terms(nodes, "grp"), chunks, "grp")
     ranked = retrieve.top(scored.where("false"), scored, "grp", 12)
-    return ranked.join(scored, ["grp", "chunk_ord"]).select("grp", "chunk_ord", "score", "rank")
+    return _shown(ranked.join(scored, ["grp", "chunk_ord"]).select("grp", "chunk_ord", "score", "rank"))
 
 
 SCHEMA_TERMS = (("Verb", "are"), ("Verb", "was"), ("Noun", "thing"), ("Noun", "que"), ("None", "xylophone"))
@@ -420,15 +458,15 @@ r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, chunk_o
 SELECT grp, chunk_ord, score, rank FROM r WHERE CASE WHEN best > 0 THEN score > 0 AND rank <= 8 ELSE rank <= 2 END""")
 def schema_term_topk(spark, sf_dir):
     # accents become a letter, as word boundaries beside them differ between engines
-    chunks = C.cut(_docs(spark, sf_dir)).withColumn("text", F.translate(F.lower("text"), "áéíóúàèìòùâêîôûäëïöüñçß", "z" * 23))
-    return retrieve.by_words(spark.createDataFrame(SCHEMA_TERMS, "grp string, term string"), chunks, "grp")
+    chunks = _chunks(spark, sf_dir).withColumn("text", F.translate(F.lower("text"), "áéíóúàèìòùâêîôûäëïöüñçß", "z" * 23))
+    return _shown(retrieve.by_words(spark.createDataFrame(SCHEMA_TERMS, "grp string, term string"), chunks, "grp"))
 
 
 @query("keyword_topk", f"""WITH {CHUNKS_SQL}, t AS (SELECT * FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in SCHEMA_TERMS)}) v(grp, term)),
 s AS (SELECT grp, chunk_ord, sum((length(lower(text)) - length(replace(lower(text), term, ''))) // length(term))::BIGINT AS score FROM chk, t GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, chunk_ord)::INTEGER AS rank FROM s WHERE score > 0) SELECT grp, chunk_ord, score, rank FROM r WHERE rank <= 8""")
 def keyword_topk(spark, sf_dir):
-    return retrieve.by_substrings(spark.createDataFrame(SCHEMA_TERMS, "grp string, term string"), C.cut(_docs(spark, sf_dir)), "grp")
+    return _shown(retrieve.by_substrings(spark.createDataFrame(SCHEMA_TERMS, "grp string, term string"), _chunks(spark, sf_dir), "grp"))
 
 
 _BLOCK = "chr(10) || '--- ' || document_id || ' / ' || chunk_id || ' / pages ' || page || '-' || page || ' ---' || chr(10) || text || chr(10)"
@@ -438,9 +476,9 @@ _BLOCK = "chr(10) || '--- ' || document_id || ' / ' || chunk_id || ' / pages ' |
 def context_budget(spark, sf_dir):
     from pyspark.sql import Window as W
 
-    chunks = C.cut(_docs(spark, sf_dir))
+    chunks = _chunks(spark, sf_dir)
     ranked = chunks.select("document_id", "chunk_ord", F.row_number().over(W.partitionBy("document_id").orderBy(F.length("text"), "chunk_ord")).alias("rank"))
-    return retrieve.within_budget(ranked, chunks.drop("document_id").withColumn("document_id", F.concat(F.lit("doc_"), F.floor(F.col("chunk_ord") / 1_000_000))), "document_id", 5000).select("document_id", "chunk_ord", "rank", "used")
+    return _shown(retrieve.within_budget(ranked, chunks, "document_id", 5000).select("document_id", "chunk_ord", "rank", "used"))
 
 
 _BATCHED = f"WITH {star.NODES_SQL}, {star.ONTOLOGY_SQL}, {star.MERGED_SQL}, bat AS (SELECT node_id, node_type, (row_number() OVER (PARTITION BY node_type ORDER BY occ_ord) - 1) // 16 AS batch FROM node)"
@@ -448,27 +486,20 @@ _BATCHED = f"WITH {star.NODES_SQL}, {star.ONTOLOGY_SQL}, {star.MERGED_SQL}, bat
 
 @query("node_batches", f"{_BATCHED} SELECT node_id, node_type, batch::BIGINT AS batch FROM bat")
 def node_batches(spark, sf_dir):
-    return retrieve.batches(M.merge_nodes(star.nodes(spark, sf_dir))[0]).select("node_id", "node_type", "batch")
+    return retrieve.batches(M.merged_nodes(star.nodes(spark, sf_dir)).table).select("node_id", "node_type", "batch")
 
 
 @query("signature_batches", f"{_BATCHED}, k AS (SELECT DISTINCT node_type, batch FROM bat), p AS (SELECT DISTINCT source_type, target_type FROM sig), j AS (SELECT p.*, s.batch AS sb, t.batch AS tb FROM p LEFT JOIN k s ON s.node_type = source_type LEFT JOIN k t ON t.node_type = target_type) SELECT DISTINCT source_type, target_type, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN sb END::BIGINT AS source_batch, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN tb END::BIGINT AS target_batch, CASE WHEN sb IS NOT NULL AND tb IS NOT NULL THEN 'reviewed' ELSE 'not_applicable' END AS status FROM j")
 def signature_batches(spark, sf_dir):
-    batched = retrieve.batches(M.merge_nodes(star.nodes(spark, sf_dir))[0])
-    return retrieve.signature_batches(batched, _onto(spark)[2])
-
-
-@query("signature_batches_all", None)
-def signature_batches_all(spark, sf_dir):
-    """The same rows as signature_batches; a test holds them against counts of batches."""
-    batched = retrieve.batches(M.merge_nodes(star.nodes(spark, sf_dir))[0])
+    batched = retrieve.batches(M.merged_nodes(star.nodes(spark, sf_dir)).table)
     return retrieve.signature_batches(batched, _onto(spark)[2])
 
 
 @query("coverage_requests", f"WITH {CHUNKS_SQL}, {star.NODES_SQL}, {star.ONTOLOGY_SQL}, {star.MERGED_SQL}, o AS (SELECT chunk_ord, (row_number() OVER (ORDER BY chunk_ord) - 1) // 6 AS batch FROM chk) SELECT node_type, batch::BIGINT AS batch, count(*)::BIGINT AS n_chunks FROM typ, o WHERE node_type NOT IN (SELECT node_type FROM node) GROUP BY ALL")
 def coverage_requests(spark, sf_dir):
-    chunks = C.cut(_docs(spark, sf_dir)).select("chunk_ord", F.lit("chunk").alias("node_type"))
+    chunks = _chunks(spark, sf_dir).select("chunk_ord", F.lit("chunk").alias("node_type"))
     six = retrieve.batches(chunks, 6, "chunk_ord").groupBy("batch").agg(F.count(F.lit(1)).alias("n_chunks"))
-    missing = V.coverage(M.merge_nodes(star.nodes(spark, sf_dir))[0], _onto(spark)[0]).where("not found").select("node_type")
+    missing = V.coverage(M.merged_nodes(star.nodes(spark, sf_dir)).table, _onto(spark)[0]).where("not found").select("node_type")
     asked = missing.agg(F.array_sort(F.collect_set("node_type"))).scalar()  # at most the ontology's types
     return six.select(F.explode(asked).alias("node_type"), "batch", "n_chunks")
 
@@ -484,13 +515,13 @@ def reply_parse(spark, sf_dir):
 SQL["reply_parse"] = """SELECT doc_id, doc_id::VARCHAR AS node_id, pos::INTEGER AS pos, key, CASE key WHEN 'source' THEN '"' || source || '"' ELSE n_chars::VARCHAR END AS value_json FROM documents, (VALUES (0, 'source'), (1, 'n_chars')) v(pos, key)"""
 
 
-# --- normalizing replies: each document's first chunk gets a reply made by a rule ------------------
+# --- normalizing replies: each chunk gets a reply made by a rule -----------------------------------
 
 
 def _replies(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """(replies, chunks): two nodes, one of an unknown type, and a relationship, quoting the chunk or not by the parity of the document; one reply in seven is broken."""
-    chunks = C.cut(_docs(spark, sf_dir)).where("chunk_id = 'c0'")
-    k = F.floor(F.col("chunk_ord") / 1_000_000)
+    chunks = _chunks(spark, sf_dir)
+    k = F.col("chunk_ord.document")
     quote = F.when(k % 2 == 0, F.col("text")).otherwise(F.lit("words that stand nowhere in it"))
     node = lambda i, kind: F.struct(F.concat(F.lit(i), k.cast("string")).alias("node_id"), F.lit(kind).alias("node_type"), F.struct(F.col("source_file").alias("name"), F.lit("").alias("brand"), F.lit(1).alias("odd")).alias("properties"), F.array(F.struct(quote.alias("quote"))).alias("evidence"))
     link = F.struct(F.concat(F.lit("q"), k.cast("string")).alias("relationship_id"), F.lit("SUPPLIES").alias("relationship_type"), F.concat(F.lit("s"), k.cast("string")).alias("source_node_id"), F.concat(F.lit("p"), k.cast("string")).alias("target_node_id"), F.struct().alias("properties"), F.array(F.struct(quote.alias("quote"))).alias("evidence"))
@@ -499,7 +530,7 @@ def _replies(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return chunks.select(F.lit("primary").alias("pass"), "chunk_ord", raw.alias("raw"), F.when(k % 7 == 0, "error").otherwise("ok").alias("status")), chunks
 
 
-_SAID = f"""WITH {CHUNKS_SQL}, c0 AS (SELECT *, chunk_ord // 1000000 AS k FROM chk WHERE chunk_id = 'c0'), good AS (SELECT * FROM c0 WHERE k % 7 <> 0),
+_SAID = f"""WITH {CHUNKS_SQL}, c0 AS (SELECT *, chunk_ord // 1000000 AS k FROM chk), good AS (SELECT * FROM c0 WHERE k % 7 <> 0),
 gr AS (SELECT * FROM good WHERE k % 2 = 0 AND length({_fold('text')}) >= 8)"""
 
 
@@ -507,7 +538,7 @@ gr AS (SELECT * FROM good WHERE k % 2 = 0 AND length({_fold('text')}) >= 8)"""
 def normalize_nodes(spark, sf_dir):
     types, properties, _ = _onto(spark)
     out = N.nodes(*_replies(spark, sf_dir), types, properties)
-    return out.select("occ_ord", "node_type", "node_id", F.array_join("props.key", ",").alias("keys"), F.size("evidence").cast("long").alias("n_evidence"))
+    return out.select(_item("occ_ord").alias("occ_ord"), "node_type", "node_id", F.array_join("props.key", ",").alias("keys"), F.size("evidence").cast("long").alias("n_evidence"))
 
 
 @query("normalize_nodes_kept", f"{_SAID}, n AS (SELECT *, unnest(['Supplier', 'Part']) AS node_type FROM gr) SELECT node_type, CASE node_type WHEN 'Part' THEN 'p' ELSE 's' END || k AS node_id, CASE node_type WHEN 'Part' THEN 'name,brand' ELSE 'name' END AS keys, page::VARCHAR AS page FROM n")
@@ -529,7 +560,7 @@ def normalize_relationships(spark, sf_dir):
     types, properties, signatures = _onto(spark)
     replies, chunks = _replies(spark, sf_dir)
     out = N.relationships(replies, N.nodes(replies, chunks, types, properties), chunks, signatures)
-    return out.select("rel_ord", "source_node_id", "relationship_type", "target_node_id", "relationship_id")
+    return out.select(_item("rel_ord").alias("rel_ord"), "source_node_id", "relationship_type", "target_node_id", "relationship_id")
 
 
 @query("normalize_relationships_kept", f"{_SAID} SELECT 'q' || k AS relationship_id, 's' || k AS source_node_id, 'SUPPLIES' AS relationship_type, 'p' || k AS target_node_id FROM gr")
@@ -581,13 +612,86 @@ def validation_without_orphans(spark, sf_dir):
 @query("final_clean", f"{_GRAPH} SELECT source_node_id, relationship_type, target_node_id, min(rel_ord) AS rel_ord, 'rel_' || substring(sha1(source_node_id || '|' || relationship_type || '|' || target_node_id), 1, 20) AS relationship_id FROM rel WHERE source_node_id IN (SELECT node_id FROM node) AND target_node_id IN (SELECT node_id FROM node) GROUP BY 1, 2, 3")
 def final_clean(spark, sf_dir):
     """Raw relationships without those that lack an end, the first of each triple, under a minted id."""
-    nodes, _ = M.merge_nodes(star.nodes(spark, sf_dir))
+    nodes = M.merged_nodes(star.nodes(spark, sf_dir)).table
     ids = nodes.select("node_id").distinct()
     rels = star.relationships(spark, sf_dir)
     whole = rels.join(ids.withColumnRenamed("node_id", "source_node_id"), "source_node_id", "left_semi").join(ids.withColumnRenamed("node_id", "target_node_id"), "target_node_id", "left_semi")
     return M.first_of_triples(whole).select("source_node_id", "relationship_type", "target_node_id", "rel_ord", text.minted("rel_", F.col("source_node_id"), F.col("relationship_type"), F.col("target_node_id")).alias("relationship_id"))
 
 
+@query("final_filter_reasons", f"""WITH {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.ONTOLOGY_SQL}, j AS (SELECT r.*, CASE WHEN a.node_id IS NULL AND b.node_id IS NULL THEN 'both missing' WHEN a.node_id IS NULL THEN 'source missing' WHEN b.node_id IS NULL THEN 'target missing' WHEN sig.source_type IS NULL THEN 'signature not allowed' END AS lost
+FROM rel r LEFT JOIN occ a ON source_node_id = a.node_id LEFT JOIN occ b ON target_node_id = b.node_id LEFT JOIN sig ON sig.source_type = a.node_type AND sig.relationship_type = r.relationship_type AND sig.target_type = b.node_type)
+SELECT rel_ord, coalesce(lost, CASE WHEN row_number() OVER (PARTITION BY lost, source_node_id, relationship_type, target_node_id ORDER BY rel_ord) = 1 THEN 'kept' ELSE 'repeated' END) AS verdict FROM j""")
+def final_filter_reasons(spark, sf_dir):
+    """Every relationship with whether it stays in the final graph, or why not, in one pass."""
+    return V.final_filter(star.relationships(spark, sf_dir), star.nodes(spark, sf_dir), _onto(spark)[2]).select("rel_ord", "verdict")
+
+
+# --- repair rounds: a graph without suppliers and warehouses is asked for them ----------------------
+
+
+def _without_suppliers(spark, sf_dir) -> tuple[Graph, DataFrame]:
+    """(graph, chunks): the star's nodes and relationships but those of suppliers, each once, with places in corpus order."""
+    at = lambda c: ordinals.item(0, ordinals.chunk(F.lit(0), F.lit(0)), F.lit("primary"), F.col(c)).alias(c)
+    nodes = star.nodes(spark, sf_dir).where("node_type <> 'Supplier' and occ_ord < 7000000000000").withColumn("occ_ord", at("occ_ord"))
+    rels = star.relationships(spark, sf_dir).where("relationship_type <> 'SUPPLIES'").withColumn("rel_ord", at("rel_ord"))
+    items = [stored(E.numbered(E.items(df, key, order), key, "at")) for df, key, order in ((nodes, "node_id", "occ_ord"), (rels, "relationship_id", "rel_ord"))]
+    return Graph(stored(M.without_arrays(nodes)), stored(M.without_arrays(rels)), *items), _chunks(spark, sf_dir)
+
+
+def _supplier_replies() -> R.RuleExtractor:
+    """What a model says when asked: suppliers in the first round, one of them twice, a customer under a new id; a warehouse in the second. Quotes are from the first chunk shown."""
+    block = r"(?s)--- (\S+) / (\S+) / pages \S+ ---\n(.{20})"
+    part = lambda i: F.regexp_extract("prompt", block, i)
+    quote = F.array(F.struct(part(1).alias("document_id"), part(2).alias("chunk_id"), part(3).alias("quote")))
+    node = lambda i, kind, name: F.struct(F.lit(i).alias("node_id"), F.lit(kind).alias("node_type"), F.struct(F.lit(name).alias("name")).alias("properties"), quote.alias("evidence"))
+    link = lambda i, kind, s, t: F.struct(F.lit(i).alias("relationship_id"), F.lit(kind).alias("relationship_type"), F.lit(s).alias("source_node_id"), F.lit(t).alias("target_node_id"), quote.alias("evidence"))
+    said = lambda nodes, links: F.to_json(F.struct(F.array(*nodes).alias("nodes"), F.array(*links).alias("relationships")))
+    suppliers = said([node("fix_s", "Supplier", "Repair Supply"), node("fix_t", "Supplier", "repair supply "), node("fix_c", "Customer", "customer#000000001")], [link(*x) for x in REPAIR_LINKS[:5]])
+    warehouse = said([node("fix_w", "Warehouse", "House")], [link(*x) for x in REPAIR_LINKS[5:]])
+    return R.RuleExtractor(F.when((F.col("node_type") == "Supplier") & (F.col("round") == 1), suppliers).when((F.col("node_type") == "Warehouse") & (F.col("round") == 2), warehouse).otherwise(F.lit('{"nodes": []}')))
+
+
+REPAIR_LINKS = (
+    ("f1", "SUPPLIES", "fix_s", "part_1"), ("f2", "SUPPLIES", "fix_t", "part_0"), ("f3", "SUPPLIES", "fix_s", "part_ghost"), ("f4", "PLACED", "fix_c", "order_3"), ("r_10000000000000", "IN_REGION", "nation_0", "region_1"),
+    ("f5", "STORES", "fix_w", "part_1"), ("f6", "PLACED", "fix_c", "order_4"),
+)
+SUPPLIER_TEXT = "1. Supplier\nProperties:\n- name\n2. Warehouse\nProperties:\n- name\n"
+
+
+def _repaired(spark, sf_dir, mode: str) -> rounds_of.Repaired:
+    graph, chunks = _without_suppliers(spark, sf_dir)
+    work = f"{shared(spark)}/repair-{uuid.uuid4().hex}"
+    return rounds_of.run(spark, graph, chunks, star.ONTOLOGY, SUPPLIER_TEXT, _supplier_replies(), work, rounds_of.RepairOptions(mode))
+
+
+_NO_SUPPLIERS = f"{star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.ONTOLOGY_SQL}, old AS (SELECT occ_ord, node_id, node_type, canonical_key FROM occ WHERE node_type <> 'Supplier' AND occ_ord < 7000000000000)"
+_SOUND = "JOIN {0} a ON e.source_node_id = a.node_id JOIN {0} b ON e.target_node_id = b.node_id JOIN sig ON sig.source_type = a.node_type AND sig.relationship_type = e.relationship_type AND sig.target_type = b.node_type"
+
+
+@query("repair_loop", f"""WITH {_NO_SUPPLIERS}, al AS (SELECT node_id, node_type FROM old UNION ALL VALUES ('fix_s', 'Supplier'), ('fix_w', 'Warehouse')),
+edge AS (SELECT rel_ord, 'r_' || rel_ord AS relationship_id, relationship_type, source_node_id, target_node_id FROM rel WHERE relationship_type <> 'SUPPLIES' UNION ALL SELECT * FROM (VALUES (90000000000000, 'f1', 'SUPPLIES', 'fix_s', 'part_1'), (90000000000001, 'f2', 'SUPPLIES', 'fix_s', 'part_0'), (90000000000002, 'f4', 'PLACED', 'customer_1', 'order_3'), (90000000000003, 'f5', 'STORES', 'fix_w', 'part_1'), (90000000000004, 'f6', 'PLACED', 'customer_1', 'order_4')) v)
+SELECT arg_min(relationship_id, rel_ord) AS relationship_id, e.relationship_type, source_node_id, target_node_id FROM edge e {_SOUND.format('al')} GROUP BY ALL""")
+def repair_loop(spark, sf_dir):
+    """The final relationships after two rounds, by stable ids: two names of one supplier and a customer's new id are redirected, also for the round after."""
+    done = _repaired(spark, sf_dir, "stable").graph
+    return V.final_filter(done.relationships, done.nodes, _onto(spark)[2]).where("verdict = 'kept'").select("relationship_id", "relationship_type", "source_node_id", "target_node_id")
+
+
+_RAW_NAME = f"trim(regexp_replace(regexp_replace(lower(trim(p_name)), '\\b(?:{'|'.join(text.COMPANY_WORDS_RAW)})\\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query("repair_loop_resolved", f"""WITH {_NO_SUPPLIERS}, one AS (SELECT {_RAW_NAME} AS name, min(p_partkey) AS k FROM part GROUP BY 1), als AS (SELECT 'part_' || p_partkey AS o, 'part_' || k AS n FROM part JOIN one ON one.name = {_RAW_NAME}),
+al AS (SELECT node_id, node_type FROM old WHERE node_type <> 'Part' UNION ALL SELECT 'part_' || k, 'Part' FROM one UNION ALL VALUES ('fix_s', 'Supplier'), ('fix_w', 'Warehouse')),
+edge AS (SELECT rel_ord, 'r_' || rel_ord AS relationship_id, relationship_type, source_node_id, target_node_id FROM rel WHERE relationship_type <> 'SUPPLIES' UNION ALL SELECT * FROM (VALUES (90000000000000, 'f1', 'SUPPLIES', 'fix_s', 'part_1'), (90000000000001, 'f2', 'SUPPLIES', 'fix_s', 'part_0'), (90000000000002, 'r_10000000000000', 'IN_REGION', 'nation_0', 'region_1'), (90000000000003, 'f5', 'STORES', 'fix_w', 'part_1')) v),
+mov AS (SELECT rel_ord, relationship_id, relationship_type, coalesce(s.n, source_node_id) AS source_node_id, coalesce(t.n, target_node_id) AS target_node_id FROM edge LEFT JOIN als s ON source_node_id = s.o LEFT JOIN als t ON target_node_id = t.o)
+SELECT arg_min(relationship_id, rel_ord) AS relationship_id, e.relationship_type, source_node_id, target_node_id FROM mov e {_SOUND.format('al')} GROUP BY ALL""")
+def repair_loop_resolved(spark, sf_dir):
+    """The same, all nodes merged by name after each round: parts of one name become one, and relationships follow."""
+    done = _repaired(spark, sf_dir, "resolved").graph
+    return V.final_filter(done.relationships, done.nodes, _onto(spark)[2]).where("verdict = 'kept'").select("relationship_id", "relationship_type", "source_node_id", "target_node_id")
+
+
 # --- end to end ------------------------------------------------------------------------------------
 
 
@@ -598,9 +702,9 @@ SELECT 'node' AS part, typ.node_type AS kind, count(deg.node_id)::BIGINT AS n, c
 UNION ALL SELECT 'relationship', s.relationship_type, count(good.relationship_type)::BIGINT, 0 FROM (SELECT DISTINCT relationship_type FROM sig) s LEFT JOIN good USING (relationship_type) GROUP BY s.relationship_type""")
 def graph_end_to_end(spark, sf_dir):
     """How many nodes and relationships of each type survive merging, remapping and validation, and how many nodes have no relationship."""
-    types, properties, signatures = _onto(spark)
+    types, _, signatures = _onto(spark)
     nodes, rels = _merged(spark, sf_dir)
-    nodes = V.allowed_properties(V.known_types(nodes, types), properties)
+    nodes = V.known_types(nodes, types)
     rels = V.valid(rels, nodes, signatures)
     degrees = V.degrees(rels, nodes).groupBy(F.col("node_type").alias("t")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("degree") == 0, 1).otherwise(0)).alias("disconnected"))
     by_type = types.select("node_type").distinct().join(degrees, F.col("node_type") == F.col("t"), "left").select(F.lit("node").alias("part"), F.col("node_type").alias("kind"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("disconnected", F.lit(0)).cast("long").alias("disconnected"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from evigraph.functions import ordinals
+
 FILE_SCHEMA = """chunks array<struct<document_id: string, chunk_id: string, source_file: string, chunk_index: int,
     start_page: int, end_page: int, character_count: int, text: string>>"""
 COLUMNS = ("chunk_ord", "document_id", "chunk_id", "source_file", "start_page", "end_page", "text")
@@ -26,11 +28,14 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cut(documents: DataFrame, size: int = 2000) -> DataFrame:
-    """Texts of (doc_id, text, source) cut into pieces of ``size`` characters; a null or empty text has none."""
+    """Texts of (doc_id, text, source) cut into pieces of ``size`` characters; a null or empty text has none.
+
+    Their order is document and piece, as a struct.
+    """
     pieces = F.expr(f"sequence(0, cast(ceil(length(text) / {size}) as int) - 1)")
     rows = documents.where("length(text) > 0").select("doc_id", "source", "text", F.explode(pieces).alias("piece"))
     return rows.select(
-        (F.col("doc_id") * 1_000_000 + F.col("piece")).alias("chunk_ord"), F.concat(F.lit("doc_"), F.col("doc_id")).alias("document_id"), F.concat(F.lit("c"), F.col("piece")).alias("chunk_id"),
+        ordinals.chunk(F.col("doc_id"), F.col("piece")).alias("chunk_ord"), F.concat(F.lit("doc_"), F.col("doc_id")).alias("document_id"), F.concat(F.lit("c"), F.col("piece")).alias("chunk_id"),
         F.col("source").alias("source_file"), (F.col("piece") + 1).cast("int").alias("start_page"), (F.col("piece") + 1).cast("int").alias("end_page"), F.expr(f"substring(text, piece * {size} + 1, {size})").alias("text"),
     )
 

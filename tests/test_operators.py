@@ -222,6 +222,6 @@ def test_every_signature_has_all_pairs_of_its_batches(spark):
     if not os.path.isdir(sf):
         pytest.skip("no test data")
     count = {r.node_type: -(-r["count"] // 16) for r in M.merge_nodes(star.nodes(spark, sf))[0].groupBy("node_type").count().collect()}
-    got = {(r.source_type, r.target_type): r["count"] for r in queries.QUERIES["signature_batches_all"](spark, sf).groupBy("source_type", "target_type").count().collect()}
+    got = {(r.source_type, r.target_type): r["count"] for r in queries.QUERIES["signature_batches"](spark, sf).groupBy("source_type", "target_type").count().collect()}
     want = {(s, t): count.get(s, 0) * count.get(t, 0) or 1 for s, _, t in star.ONTOLOGY.signatures}
     assert got == want and any("Order" in pair for pair in got)
