@@ -683,7 +683,7 @@ _RAW_NAME = f"trim(regexp_replace(regexp_replace(lower(trim(p_name)), '\\b(?:{'|
 
 @query("repair_loop_resolved", f"""WITH {_NO_SUPPLIERS}, one AS (SELECT {_RAW_NAME} AS name, min(p_partkey) AS k FROM part GROUP BY 1), als AS (SELECT 'part_' || p_partkey AS o, 'part_' || k AS n FROM part JOIN one ON one.name = {_RAW_NAME}),
 al AS (SELECT node_id, node_type FROM old WHERE node_type <> 'Part' UNION ALL SELECT 'part_' || k, 'Part' FROM one UNION ALL VALUES ('fix_s', 'Supplier'), ('fix_w', 'Warehouse')),
-edge AS (SELECT rel_ord, 'r_' || rel_ord AS relationship_id, relationship_type, source_node_id, target_node_id FROM rel WHERE relationship_type <> 'SUPPLIES' UNION ALL SELECT * FROM (VALUES (90000000000000, 'f1', 'SUPPLIES', 'fix_s', 'part_1'), (90000000000001, 'f2', 'SUPPLIES', 'fix_s', 'part_0'), (90000000000002, 'r_10000000000000', 'IN_REGION', 'nation_0', 'region_1'), (90000000000003, 'f5', 'STORES', 'fix_w', 'part_1')) v),
+edge AS (SELECT rel_ord, 'r_' || rel_ord AS relationship_id, relationship_type, source_node_id, target_node_id FROM rel WHERE relationship_type <> 'SUPPLIES' UNION ALL SELECT * FROM (VALUES (90000000000000, 'rel_' || substring(sha1('fix_s|SUPPLIES|part_1'), 1, 20), 'SUPPLIES', 'fix_s', 'part_1'), (90000000000001, 'rel_' || substring(sha1('fix_t|SUPPLIES|part_0'), 1, 20), 'SUPPLIES', 'fix_s', 'part_0'), (90000000000002, 'rel_' || substring(sha1('nation_0|IN_REGION|region_1'), 1, 20), 'IN_REGION', 'nation_0', 'region_1'), (90000000000003, 'rel_' || substring(sha1('fix_w|STORES|part_1'), 1, 20), 'STORES', 'fix_w', 'part_1')) v),
 mov AS (SELECT rel_ord, relationship_id, relationship_type, coalesce(s.n, source_node_id) AS source_node_id, coalesce(t.n, target_node_id) AS target_node_id FROM edge LEFT JOIN als s ON source_node_id = s.o LEFT JOIN als t ON target_node_id = t.o)
 SELECT arg_min(relationship_id, rel_ord) AS relationship_id, e.relationship_type, source_node_id, target_node_id FROM mov e {_SOUND.format('al')} GROUP BY ALL""")
 def repair_loop_resolved(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from dataclasses import dataclass, field
 
@@ -65,52 +67,51 @@ def _lines(text: str) -> list[str]:
     return [x.strip() for x in text.splitlines() if x.strip()]
 
 
+def _last(places: list[int], at: int) -> int:
+    """The last of rising ``places`` before ``at``; -1 without any."""
+    i = bisect.bisect_left(places, at)
+    return places[i - 1] if i else -1
+
+
 def parse_nodes(text: str, dialect: str | Dialect = "numbered") -> tuple[list[str], dict[str, set[str]]]:
-    """Node types in file order and their properties."""
+    """Node types in file order and their properties.
+
+    A bullet is a property of the heading before it if a list of properties has begun since, and has not ended.
+    """
     d = DIALECTS[dialect] if isinstance(dialect, str) else dialect
-    types: list[str] = []
-    properties: dict[str, set[str]] = {}
-    current, listing = None, False
-    for line in _lines(text):
-        if re.fullmatch(r"Properties\s*:", line, re.IGNORECASE):
-            listing = current is not None
-        elif heading := re.fullmatch(d.heading, line):
-            name = heading[1]
-            if name not in properties or d.repeated == "restart":
-                types.append(name)
-                properties[name] = set()
-            elif d.repeated == "ignored":
-                continue
-            current, listing = name, False
-        elif current and listing:
-            if found := re.fullmatch(d.bullet, line):
-                properties[current].add(found[1])
-            elif d.ends == "other" or d.ends == "undashed" and not line.startswith("-"):
-                listing = False
+    lines = _lines(text)
+    named = {i: found[1] for i, line in enumerate(lines) if (found := re.fullmatch(d.heading, line))}
+    begins = [i for i, line in enumerate(lines) if re.fullmatch(r"Properties\s*:", line, re.IGNORECASE)]
+    bullets = {i: found[1] for i, line in enumerate(lines) if i not in named and (found := re.fullmatch(d.bullet, line))}
+    first = {name: i for i, name in reversed(named.items())}
+    heads = [i for i, name in named.items() if d.repeated != "ignored" or first[name] == i]
+    plain = set(range(len(lines))) - named.keys() - set(begins) - bullets.keys()
+    ends = sorted(i for i in plain if d.ends == "other" or d.ends == "undashed" and not lines[i].startswith("-"))
+    owned = [(_last(heads, i), prop) for i, prop in bullets.items() if _last(begins, i) > max(_last(heads, i), _last(ends, i)) and heads and heads[0] < _last(begins, i)]
+    final = {named[i]: i for i in heads}  # where a heading restarts its list, the last one counts
+    types = [named[i] for i in heads]
+    properties = {t: {prop for i, prop in owned if named[i] == t and (d.repeated != "restart" or i == final[t])} for t in types}
     if d.need_nodes and not types:
         raise ValueError("no node types in the ontology")
-    return types, properties
+    return types if d.repeated == "restart" else list(properties), properties
 
 
 def parse_relationships(text: str, types: list[str], dialect: str | Dialect = "numbered") -> tuple[list[tuple[str, str, str]], list[tuple[str, str]]]:
-    """Signature rows, and the pairs of types that are named (also those without a relationship)."""
+    """Signature rows, and the pairs of types that are named (also those without a relationship).
+
+    A relationship belongs to the pair before it, or to none if that one's types are not known.
+    """
     d = DIALECTS[dialect] if isinstance(dialect, str) else dialect
-    pairs: dict[tuple[str, str], set[str]] = {}
-    current = None
-    for line in _lines(text):
-        shout = line.upper()
-        if shout in d.stop if d.stop_exact else any(shout.startswith(s) for s in d.stop):
-            break
-        if ends := re.fullmatch(rf"{NAME}\s*->\s*{NAME}", line):
-            current = (ends[1], ends[2]) if not d.known_ends or {ends[1], ends[2]} <= set(types) else None
-            if current:
-                pairs.setdefault(current, set())
-        elif current and (relation := re.fullmatch(d.relation, line)):
-            pairs[current].add(relation[1])
-    rows = [(s, r, t) for (s, t), rs in pairs.items() for r in sorted(rs)]
+    stops = lambda shout: shout in d.stop if d.stop_exact else shout.startswith(d.stop)
+    lines = list(itertools.takewhile(lambda line: not stops(line.upper()), _lines(text)))
+    pairs = {i: found.groups() for i, line in enumerate(lines) if (found := re.fullmatch(rf"{NAME}\s*->\s*{NAME}", line))}
+    sound = {i: pair for i, pair in pairs.items() if not d.known_ends or set(pair) <= set(types)}
+    named = [(_last(list(pairs), i), found[1]) for i, line in enumerate(lines) if i not in pairs and (found := re.fullmatch(d.relation, line))]
+    order = list(dict.fromkeys(sound.values()))
+    rows = sorted({(order.index(sound[i]), name) for i, name in named if i in sound})
     if d.need_relations and not rows:
         raise ValueError("no relationships in the ontology")
-    return rows, list(pairs)
+    return [(order[i][0], name, order[i][1]) for i, name in rows], order
 
 
 def parse(nodes_text: str, relationships_text: str, dialect: str | Dialect = "numbered") -> Ontology:
@@ -176,6 +177,8 @@ SCHEMA_WORDS = ("properties", "attributes", "description", "optional", "required
 def schema_terms(node_type: str, nodes_text: str) -> list[str]:
     """Search terms of a type: the words of its name, and those of the lines of its first block that are no item; three letters or more."""
     name = re.sub(r"(?<!^)(?=[A-Z])", " ", node_type).lower().split()
-    own = [line.lower() for block, line in blocks(nodes_text) if block == node_type and not _ITEM.fullmatch(line)]
+    rows = blocks(nodes_text)
+    start = next((i for i, (block, _) in enumerate(rows) if block == node_type), len(rows))
+    own = [line.lower() for _, line in itertools.takewhile(lambda row: not _ITEM.fullmatch(row[1]), rows[start + 1 :])]
     words = {w.replace("_", " ") for line in own for w in re.findall("[a-z][a-z0-9_]{2,}", line)} - {w for w in SCHEMA_WORDS}
     return sorted(t for t in words | {w for part in name for w in re.findall("[a-z0-9]+", part)} if len(t) >= 3)

@@ -60,6 +60,11 @@ def test_ontology_dialects():
     assert O.allowed_types("1. A\nProperties:\n- name\n- two words\n* **B**") == {"A", "name", "B"} and O.allowed_relationships("A -> B\n- R_1\n* S\n- lower") == {"R_1", "S"}
     with pytest.raises(ValueError):
         O.base_types("FINAL GRAPH SCHEMA - BASE NODES\nnothing")
+    assert O.schema_terms("Alpha", "1. Alpha\nfirst words\n2. Beta\nother\n3. Alpha\nlater") == ["alpha", "first", "words"]
+    none = O.parse_nodes("Properties:\n- stray\n1. A\n- early\nProperties:\n- a\n- two words\n- b\nend\n- c\n2. B\n")
+    assert none == (["A", "B"], {"A": {"a", "b"}, "B": set()})
+    assert O.parse_nodes("A\nProperties:\n- x\nB\nProperties:\n- y\nA\n- z", "loose") == (["A", "B"], {"A": {"x"}, "B": {"y", "z"}})
+    assert O.parse_relationships("- LOST\nA -> B\n- R\nA -> Z\n- S\nB -> A\nA -> B\n- Q\n", ["A", "B"]) == ([("A", "Q", "B"), ("A", "R", "B")], [("A", "B"), ("B", "A")])
     assert O.schema_terms("RiskFactor", "1. RiskFactor\nProperties:\nexposure_level is a required string\n2. Other\nno") == ["exposure level", "factor", "risk"]
     onto = O.parse("1. A\nProperties:\n- z\n- b\n2. B\n", "A -> B\n- R\nB -> A\n")
     assert onto.render() == "NODE TYPES\nA: b, z\nB: \n\nRELATIONSHIP SIGNATURES\nA -> B: R\nB -> A: "
