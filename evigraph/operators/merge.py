@@ -262,24 +262,31 @@ def first_of_triples(relationships: DataFrame) -> DataFrame:
     return relationships.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
-def repaired_nodes(nodes: DataFrame, repair: DataFrame, items: DataFrame | None = None) -> tuple[Merged, DataFrame]:
-    """(merged, redirects): repair nodes merged into those of the same id, else of the same repair identity, else added.
+def repair_targets(nodes: DataFrame, repair: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(moved, redirects): ``repair`` under the ids they merge into, and (old_node_id, node_id) of those that are others.
 
-    What ``nodes`` have comes first, whatever the ordinals. Repair nodes that share an identity with each other, but with
-    no node, are one as well: the first. ``repair`` has arrays of evidence, as replies are bounded; so have ``nodes``
-    unless theirs is in ``items`` (node_id, place, fields). ``redirects`` is (old_node_id, node_id).
+    That is the node of the same id, else of the same repair identity, else their own, or that of the first repair
+    node of the same identity. Only ids and identities of ``repair``, which are few, are looked for among the nodes.
     """
-    known = nodes.select(F.col("node_id").alias("known_id")).distinct()
-    named = nodes.withColumn("identity", repair_identity()).where("identity is not null").groupBy("identity").agg(F.max_by("node_id", "occ_ord").alias("same_id"))
-    own = repair.withColumn("identity", repair_identity()).join(known, F.col("node_id") == F.col("known_id"), "left")
-    fresh = own.where("known_id is null and identity is not null").groupBy("identity").agg(F.min_by("node_id", "occ_ord").alias("first_id"))
-    found = own.join(named, "identity", "left").join(fresh, "identity", "left")
+    own = repair.withColumn("identity", repair_identity())
+    known = nodes.join(own.select("node_id").distinct(), "node_id", "left_semi").select(F.col("node_id").alias("known_id")).distinct()
+    named = nodes.withColumn("identity", repair_identity()).join(own.select("identity").distinct(), "identity", "left_semi").groupBy("identity").agg(F.max_by("node_id", "occ_ord").alias("same_id"))
+    seen = own.join(known, F.col("node_id") == F.col("known_id"), "left")
+    fresh = seen.where("known_id is null and identity is not null").groupBy("identity").agg(F.min_by("node_id", "occ_ord").alias("first_id"))
+    found = seen.join(named, "identity", "left").join(fresh, "identity", "left")
     moved = found.withColumn("old_id", F.col("node_id")).withColumn("node_id", F.coalesce("known_id", "same_id", "first_id", "node_id"))
     redirects = moved.where("old_id <> node_id").groupBy(F.col("old_id").alias("old_node_id")).agg(F.min_by("node_id", "occ_ord").alias("node_id"))
-    if items is None:
-        items = E.numbered(E.items(nodes, "node_id", "occ_ord"), "node_id", "at")
-        nodes = without_arrays(nodes)
-    return merged_with(nodes, items, moved.select(*(c for c in nodes.columns if c != "has_evidence"), "evidence"), F.col("node_id")), redirects
+    return moved.select(*repair.columns), redirects
+
+
+def repaired_nodes(nodes: DataFrame, repair: DataFrame) -> tuple[Merged, DataFrame]:
+    """(merged, redirects): repair nodes merged into those of :func:`repair_targets`, or added.
+
+    Both have arrays of evidence. What ``nodes`` have comes first, whatever the ordinals. ``redirects`` is (old_node_id, node_id).
+    """
+    moved, redirects = repair_targets(nodes, repair)
+    items = E.numbered(E.items(nodes, "node_id", "occ_ord"), "node_id", "at")
+    return merged_with(without_arrays(nodes), items, moved.select(*nodes.columns), F.col("node_id")), redirects
 
 
 def merge_repair(nodes: DataFrame, repair: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,13 +13,21 @@ FILE_SCHEMA = """chunks array<struct<document_id: string, chunk_id: string, sour
 COLUMNS = ("chunk_ord", "document_id", "chunk_id", "source_file", "start_page", "end_page", "text")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+PATTERN = "*_chunks.json"
+
+
+def read(spark: SparkSession, folder: str, relative: bool = False) -> DataFrame:
     """The chunks of all ``*_chunks.json`` files of a folder, in the order of file names, then of the arrays.
 
-    A file without a ``chunks`` array has none. Files are counted, not rows collected: only a row
+    A folder that is not there or has no such file is an error; a file without a ``chunks`` array has none. ``chunk_file`` is
+    a file's whole URI, or, ``relative``, the folder's name and the file's. Files are counted, not rows collected: only a row
     for each file goes through a single window.
     """
-    files = spark.read.schema(FILE_SCHEMA).json(folder, multiLine=True, pathGlobFilter="*_chunks.json").select(F.col("_metadata.file_path").alias("chunk_file"), "chunks")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", PATTERN).load(folder).select("path")  # names only, contents are not read
+    if not listed.limit(1).count():
+        raise FileNotFoundError(f"no {PATTERN} files in {folder}")
+    name = F.regexp_extract("_metadata.file_path", "[^/]*/[^/]*$", 0) if relative else F.col("_metadata.file_path")
+    files = spark.read.schema(FILE_SCHEMA).json(folder, multiLine=True, pathGlobFilter=PATTERN).select(name.alias("chunk_file"), "chunks")
     sizes = files.groupBy("chunk_file").agg(F.sum(F.size(F.coalesce("chunks", F.array()))).alias("n"))
     before = F.coalesce(F.sum("n").over(W.orderBy("chunk_file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select(F.col("chunk_file").alias("file"), before.alias("before"))

@@ -178,3 +178,70 @@ def test_a_hundred_thousand_terms(spark, monkeypatch):
     got = {(r.term, r.chunk_ord): r.n for r in retrieve.substring_counts(terms, chunks).collect()}
     want = {(f"term{i}", c): t.count(f"term{i}") for c, t in enumerate(["term5 term5 term99999 term100000", "xterm12 term12", "nothing"]) for i in (0, 1, 5, 9, 10, 12, 99, 100, 999, 1000, 9999, 10000, 99999, 2, 3)}
     assert got == {k: n for k, n in want.items() if n}
+
+
+def test_phrases_of_common_words_are_dealt_over_parts(spark, monkeypatch):
+    from evigraph.operators import contains
+
+    monkeypatch.setattr(contains, "DEALT", 10)
+    texts = spark.range(300).select(F.col("id").alias("text_id"), F.concat(F.lit("so and the of it "), F.col("id")).alias("body"))
+    phrases = spark.createDataFrame([("and the of",), ("and the of it",), ("so and the of it 7",), ("it 29",), ("the",)], "phrase string")
+    got = {}
+    for r in contains.containing(phrases, texts).collect():
+        got.setdefault(r.phrase, set()).add(r.text_id)
+    body = {i: f"so and the of it {i}" for i in range(300)}
+    assert got == {p: {i for i, t in body.items() if p in t} for p in ("and the of", "and the of it", "so and the of it 7", "it 29")}
+
+
+def test_one_json_object(spark, tmp_path):
+    from evigraph.plans import export
+
+    g = A.finish(graph_of(spark), ONTO, A._written(spark, str(tmp_path / "w")))
+    summary = V.summary(g.nodes, g.relationships, ONTO.types_df(spark), ONTO.properties_df(spark), ONTO.signatures_df(spark)).first()
+    assert g.audit["validation_summary"].first().asDict() == summary.asDict()  # counted while tables were written
+    export.write_object(g, ONTO, str(tmp_path / "o"), ends=True)
+    files = list((tmp_path / "o").glob("part-*"))
+    whole = json.loads(files[0].read_text(encoding="utf-8"))
+    assert len(files) == 1 and list(whole) == ["schema_version", "ontology", "nodes", "relationships", "ontology_coverage", "validation", "extraction_summary"]
+    assert whole["nodes"][0] == {"id": "co", "label": "Company", "node_id": "co", "node_type": "Company", "properties": {"name": "Acme Widgets"}, "evidence": [{"document_id": "d", "source_file": "f", "page": "1", "chunk_id": "c0", "quote": "Acme Widgets"}]}
+    assert [n["id"] for n in whole["nodes"]] == ["co", "ci"]
+    assert whole["relationships"] == [{"id": "r0", "relationship_id": "r0", "relationship_type": "BASED_IN", "source_id": "co", "target_id": "ci", "source_node_id": "co", "target_node_id": "ci", "source": "co", "target": "ci", "properties": {}, "evidence": []}]
+    assert whole["ontology_coverage"] == {"node_types_found": ["City", "Company"], "node_types_not_found": ["Fine", "Law"], "relationship_types_found": ["BASED_IN"], "relationship_types_not_found": ["BINDS", "SETS"]}
+    assert whole["validation"]["errors"] == [{"kind": "node without evidence", "subject": "ci"}, {"kind": "relationship without evidence", "subject": "r0"}]
+    assert whole["extraction_summary"]["nodes"] == 2 and whole["ontology"]["relationship_signatures"][0] == {"source": "Company", "relationship": "BASED_IN", "target": "City"}
+
+
+def test_folders_without_chunk_files_are_errors(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "other.json").write_text("{}")
+    with pytest.raises(FileNotFoundError):
+        C.read(spark, str(tmp_path / "in"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        C.read(spark, str(tmp_path / "nowhere"))
+    (tmp_path / "in" / "a_chunks.json").write_text(json.dumps({"chunks": [{"text": "x"}]}))
+    assert C.read(spark, str(tmp_path / "in"), relative=True).first().chunk_file == "in/a_chunks.json"
+
+
+def test_a_stream_of_occurrences_merges_to_the_nodes_of_one_run(spark, tmp_path):
+    from evigraph.streaming import ingest
+
+    rng = random.Random(3)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    file = lambda n: json.dumps({"chunks": [{"document_id": f"d{n}", "chunk_id": f"c{i}", "text": f"{rng.choice(['Acme', 'acme!', 'Beta'])} {rng.randrange(3)}"} for i in range(4)]})
+
+    def extract(chunks):
+        name = F.substring_index("text", " ", 1)
+        props = F.array(F.struct(F.lit(0).alias("pos"), F.substring_index("text", " ", -1).alias("key"), F.concat(F.lit('"'), "text", F.lit('"')).alias("value_json")))
+        item = F.struct("document_id", F.lit(None).cast("string").alias("source_file"), F.lit(None).cast("string").alias("page"), "chunk_id", F.col("text").alias("quote"))
+        node_id = F.concat_ws("_", "document_id", "chunk_id")
+        return chunks.select("chunk_ord", node_id.alias("node_id"), F.lit("Company").alias("node_type"), name.alias("canonical_key"), node_id.alias("source_instance_id"), props.cast("array<struct<pos: int, key: string, value_json: string>>").alias("props"), F.array(item).cast(E.SCHEMA).alias("evidence")).withColumnRenamed("chunk_ord", "occ_ord")
+
+    for n in range(3):
+        (folder / f"{n}_chunks.json").write_text(file(n))
+        ingest.merge(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "ck"), extract).awaitTermination()
+    got, items = ingest.merged(spark, str(tmp_path / "out"))
+    want = M.merged_nodes(extract(C.read(spark, str(folder))))
+    rows = lambda df: sorted((r.node_id, r.canonical_key, [(p.key, p.value_json) for p in r.props], r.has_evidence) for r in df.collect())
+    assert rows(got) == rows(want.table) and got.count() == 2
+    assert {tuple(r) for r in items.collect()} == {tuple(r) for r in want.evidence().collect()}
