@@ -17,6 +17,7 @@ from evigraph.operators import replies as R
 from evigraph.operators import normalize as N
 from evigraph.operators import resolve, retrieve
 from evigraph.operators import validate as V
+from evigraph.plans import passes
 from evigraph.plans import repair as rounds_of
 from evigraph.plans import star
 from evigraph.plans.graph import Graph
@@ -37,7 +38,9 @@ def query(name: str, sql: str | None):
 
 
 def _docs(spark, sf_dir) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents; a table of fewer files than there are cores, which may be single row groups, is dealt out over them."""
+    docs, cores = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if len(docs.inputFiles()) < cores else docs
 
 
 def _chunks(spark, sf_dir) -> DataFrame:
@@ -627,6 +630,62 @@ def final_filter_reasons(spark, sf_dir):
     return V.final_filter(star.relationships(spark, sf_dir), star.nodes(spark, sf_dir), _onto(spark)[2]).select("rel_ord", "verdict")
 
 
+# --- reviews and recovered relationships, over rule-made replies -----------------------------------
+
+_WALK = "acc AS (SELECT node_id, duplicate_of FROM jud WHERE verdict = 'accepted'), walk AS (SELECT node_id AS old_node_id, duplicate_of AS node_id, 1 AS d FROM acc UNION ALL SELECT w.old_node_id, a.duplicate_of, d + 1 FROM walk w JOIN acc a ON w.node_id = a.node_id), als AS (SELECT old_node_id, arg_max(node_id, d) AS node_id FROM walk GROUP BY old_node_id)"
+
+
+def _reviewed(spark, sf_dir) -> tuple[M.Merged, DataFrame]:
+    """(merged, aliases): the star's nodes with reviewed duplicates merged into their roots."""
+    occurrences = star.nodes(spark, sf_dir)
+    items = E.numbered(E.items(occurrences, "node_id", "occ_ord"), "node_id", "at")
+    merged, aliases, _ = passes.apply_reviews(M.without_arrays(occurrences), star.reviews(spark, sf_dir), items)
+    return merged, aliases
+
+
+@query("reviewed_node_evidence", f"WITH RECURSIVE {star.NODES_SQL}, {_REVIEWED}, {_WALK} SELECT coalesce(als.node_id, occ.node_id) AS node_id, (row_number() OVER (PARTITION BY coalesce(als.node_id, occ.node_id) ORDER BY als.node_id IS NOT NULL, occ_ord) - 1)::BIGINT AS place, canonical_key AS quote FROM occ LEFT JOIN als ON occ.node_id = old_node_id WHERE canonical_key IS NOT NULL")
+def reviewed_node_evidence(spark, sf_dir):
+    """Evidence of nodes after reviews: the root's first, then that of its duplicates."""
+    return _reviewed(spark, sf_dir)[0].evidence().select("node_id", "place", "quote")
+
+
+@query("reviewed_relationships", f"WITH RECURSIVE {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {_REVIEWED}, {_WALK}, mov AS (SELECT r.*, coalesce(s.node_id, source_node_id) AS s, coalesce(t.node_id, target_node_id) AS t FROM rel r LEFT JOIN als s ON source_node_id = s.old_node_id LEFT JOIN als t ON target_node_id = t.old_node_id) SELECT 'rel_' || substring(sha1(s || '|' || relationship_type || '|' || t), 1, 20) AS relationship_id, min(rel_ord) AS rel_ord, s AS source_node_id, relationship_type, t AS target_node_id FROM mov GROUP BY s, relationship_type, t")
+def reviewed_relationships(spark, sf_dir):
+    """Relationships after reviews, one for each source, type and target."""
+    moved = M.redirected(star.relationships(spark, sf_dir), _reviewed(spark, sf_dir)[1])
+    return M.merged_relationships(moved).table.select("relationship_id", "rel_ord", "source_node_id", "relationship_type", "target_node_id")
+
+
+def _order_replies(spark, sf_dir) -> DataFrame:
+    """A reply for every tenth order (node_type, batch, raw): who placed it, a signature that is not allowed, an end that is not there, and where its customer is said to be; the quote is from a document, or, of odd ones, from nowhere."""
+    docs = _docs(spark, sf_dir)
+    n = docs.agg(F.max("doc_id")).first()[0] + 1
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 10 = 0").select("o_orderkey", "o_custkey", (F.col("o_orderkey") / 10).cast("long").alias("k"))
+    quotes = docs.select("doc_id", F.concat(F.substring("text", 5, 20), F.when(F.col("doc_id") % 2 == 1, "#").otherwise("")).alias("quote"))
+    both = orders.join(quotes, F.col("k") % n == F.col("doc_id"), "left")
+    order, customer, nation = F.concat(F.lit("order_"), "o_orderkey"), F.concat(F.lit("customer_"), "o_custkey"), F.concat(F.lit("nation_"), F.col("k") % 25)
+    link = lambda kind, s, t: F.struct(F.lit(kind).alias("relationship_type"), s.alias("source_node_id"), t.alias("target_node_id"), F.array(F.struct("quote")).alias("evidence"))
+    links = F.array(link("PLACED", customer, order), link("SUPPLIES", customer, order), link("PLACED", F.lit("customer_nobody"), order), link("LOCATED_IN", customer, nation))
+    return both.select(F.lit("Order").alias("node_type"), F.col("o_orderkey").alias("batch"), F.to_json(F.struct(links.alias("relationships"))).alias("raw"))
+
+
+@query("relationship_candidates", f"""WITH {CHUNKS_SQL}, {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.ONTOLOGY_SQL}, quo AS (SELECT doc_id, substring(text, 5, 20) || CASE WHEN doc_id % 2 = 1 THEN '#' ELSE '' END AS quote FROM documents),
+fq AS (SELECT DISTINCT {_fold('quote')} AS q FROM quo), fb AS (SELECT DISTINCT {_fold('text')} AS b FROM chk), hit AS (SELECT DISTINCT q FROM fq JOIN fb ON contains(b, q) WHERE length(q) >= 8),
+ask AS (SELECT o_orderkey, o_custkey, o_orderkey // 10 AS k, {_fold('quote')} IN (SELECT q FROM hit) AS found FROM orders LEFT JOIN quo ON doc_id = (o_orderkey // 10) % (SELECT max(doc_id) + 1 FROM documents) WHERE o_orderkey % 10 = 0),
+raw AS (SELECT o_orderkey * 10 AS o, 'PLACED' AS relationship_type, 'customer_' || o_custkey AS s, 'order_' || o_orderkey AS t, found FROM ask
+ UNION ALL SELECT o_orderkey * 10 + 1, 'SUPPLIES', 'customer_' || o_custkey, 'order_' || o_orderkey, found FROM ask UNION ALL SELECT o_orderkey * 10 + 2, 'PLACED', 'customer_nobody', 'order_' || o_orderkey, found FROM ask
+ UNION ALL SELECT o_orderkey * 10 + 3, 'LOCATED_IN', 'customer_' || o_custkey, 'nation_' || k % 25, found FROM ask),
+v AS (SELECT raw.*, CASE WHEN a.node_id IS NULL OR b.node_id IS NULL THEN 'unknown endpoint' WHEN sig.source_type IS NULL THEN 'signature not allowed' WHEN found IS NOT TRUE THEN 'evidence not found' WHEN EXISTS (SELECT 1 FROM rel WHERE rel.source_node_id = s AND rel.relationship_type = raw.relationship_type AND rel.target_node_id = t) THEN 'already present' ELSE 'accepted' END AS verdict
+ FROM raw LEFT JOIN occ a ON s = a.node_id LEFT JOIN occ b ON t = b.node_id LEFT JOIN sig ON sig.source_type = a.node_type AND sig.relationship_type = raw.relationship_type AND sig.target_type = b.node_type)
+SELECT (row_number() OVER (ORDER BY o) - 1)::BIGINT AS place, s AS source_node_id, relationship_type, t AS target_node_id, CASE WHEN verdict = 'accepted' AND row_number() OVER (PARTITION BY s, relationship_type, t, verdict ORDER BY o) > 1 THEN 'already present' ELSE verdict END AS verdict FROM v""")
+def relationship_candidates(spark, sf_dir):
+    """Relationships of replies, each with the first reason why it is not taken up: ends, signature, quote, or that it is there."""
+    at = lambda c: ordinals.item(0, ordinals.chunk(F.lit(0), F.lit(0)), F.lit("primary"), F.col(c)).alias(c)
+    known = star.relationships(spark, sf_dir).withColumn("rel_ord", at("rel_ord"))
+    judged = passes.candidates(_order_replies(spark, sf_dir), "relationships", star.nodes(spark, sf_dir), known, _chunks(spark, sf_dir), star.ONTOLOGY, ["node_type", "batch"], "relationships")
+    return judged.select(F.col("rel_ord.place").alias("place"), "source_node_id", "relationship_type", "target_node_id", "verdict")
+
+
 # --- repair rounds: a graph without suppliers and warehouses is asked for them ----------------------
 
 
