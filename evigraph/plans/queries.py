@@ -387,6 +387,15 @@ def validation_errors(spark, sf_dir):
     return V.errors(nodes, rels, *_onto(spark)).groupBy("kind", "subject").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("validation_report", f"{_ERRORS} SELECT kind, subject FROM err ORDER BY kind, subject LIMIT 30")
+def validation_report(spark, sf_dir):
+    """The first thirty errors, as a report shows them."""
+    from evigraph.plans import assemble
+
+    nodes, rels = _merged(spark, sf_dir)
+    return assemble.examples("validation_errors", V.errors(nodes, rels, *_onto(spark)))
+
+
 @query("validation_summary", f"{_ERRORS}, touched AS (SELECT source_node_id AS id FROM tri UNION SELECT target_node_id FROM tri) SELECT (SELECT count(*) FROM node)::BIGINT AS node_count, (SELECT count(*) FROM tri)::BIGINT AS relationship_count, (SELECT count(*) FROM node WHERE node_id NOT IN (SELECT id FROM touched))::BIGINT AS disconnected_count, (SELECT count(*) FROM typ WHERE node_type NOT IN (SELECT node_type FROM node))::BIGINT AS missing_type_count, (SELECT count(*) FROM err)::BIGINT AS error_count, (SELECT count(*) FROM err) = 0 AS valid")
 def validation_summary(spark, sf_dir):
     nodes, rels = _merged(spark, sf_dir)

@@ -245,3 +245,23 @@ def test_a_stream_of_occurrences_merges_to_the_nodes_of_one_run(spark, tmp_path)
     rows = lambda df: sorted((r.node_id, r.canonical_key, [(p.key, p.value_json) for p in r.props], r.has_evidence) for r in df.collect())
     assert rows(got) == rows(want.table) and got.count() == 2
     assert {tuple(r) for r in items.collect()} == {tuple(r) for r in want.evidence().collect()}
+
+
+def test_of_several_replies_the_same_one_counts(spark, tmp_path):
+    asked = spark.createDataFrame([("a", "p", "s", "one", 1)], "request_id string, pass string, system string, prompt string, max_tokens int")
+    key = R.keyed(asked).first().request_key
+    rows = [("a", "p", key, raw, status, n, None) for raw, status, n in (("z", "ok", 2), ("y", "ok", 1), ("x", "ok", 1), ("b", "error", 0))]
+    spark.createDataFrame(rows, R.REPLY_SCHEMA).write.parquet(str(tmp_path / "r"))
+    recorded = R.RecordedExtractor(spark.createDataFrame([(key, "q"), (key, "c")], "request_key string, raw string"))
+    assert R.answered(asked, recorded, str(tmp_path / "r")).first().raw == "x"
+    assert R.answered(asked, recorded, str(tmp_path / "new")).first().raw == "c"
+
+
+def test_source_is_given_as_source_text_where_asked(spark, tmp_path):
+    onto = O.parse("1. Company\nProperties:\n- source_text\n2. City\nProperties:\n- name\n", "Company -> City\n- BASED_IN\n")
+    n = nodes(spark, occ(1, "a", "Company", props={"source": "s", "x": "1"}), occ(2, "b", "Company", props={"source": "s", "source_text": '"t"'}), occ(3, "c", "City", props={"name": '"n"'}))
+    r = rels(spark, ("a", "BASED_IN", "c"), ("a", "EATS", "c"), ("a", "BASED_IN", "ghost"))
+    parts = [E.numbered(E.items(x, k, o), k, "at") for x, k, o in ((n, "node_id", "occ_ord"), (r, "relationship_id", "rel_ord"))]
+    g = A.finish(Graph(M.without_arrays(n), M.without_arrays(r), *parts), onto, A._written(spark, str(tmp_path)), A.Options(source_text=True, strict=True))
+    assert {x.node_id: [(p.key, p.value_json) for p in x.props] for x in g.nodes.collect()} == {"a": [("source_text", '"s"')], "b": [("source_text", '"t"')], "c": [("name", '"n"')]}
+    assert {(x.relationship_id, x.reason) for x in A.examples("relationship_filter", g.audit["relationship_filter"]).collect()} == {("r1", "signature not allowed"), ("r2", "target missing")}
