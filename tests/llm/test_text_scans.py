@@ -155,9 +155,12 @@ def slow_extract(html):
     safe = {j for i, e in enumerate(el) if e[4] for j in up(i)}
     total = sum(len(x[0]) for x in lines)
     size = lambda i, rows: sum(len(x[0]) for x in rows if i in x[2])
-    doubt = {i for i, e in enumerate(el) if (e[3] or e[2] and not e[5]) and i not in safe and 2 * size(i, lines) <= total}
+    doubt = {i for i, e in enumerate(el) if (e[3] or e[2] and not e[5]) and i not in safe}
+    article = any(el[i][4] for x in lines if not doubt & set(x[2]) for i in x[2])
+    doubt = {i for i in doubt if article or el[i][3] == html_text.COMMENTS or 2 * size(i, lines) <= total}
     if all(doubt & set(x[2]) for x in lines):
         return ""
+    lines = [x for x in lines if not any(i in doubt and el[i][3] >= html_text.FOREIGN for i in x[2])]
     weight = [len(x[0]) * (8.0 if any(el[i][4] for i in x[2]) else 1.0) * (0.05 if doubt & set(x[2]) else 1.0) for x in lines]
     ratio = [w / (1 + x[1]) for w, x in zip(weight, lines)]
     smooth = []
@@ -174,26 +177,62 @@ def slow_extract(html):
         if max(abs(new[0] - low), abs(new[1] - high)) < 1e-12:
             break
         low, high = new
-    taken = [max(r, o if any(el[i][4] for i in x[2]) else 0) >= (low + high) / 2 for r, o, x in zip(smooth, ratio, lines)]
+    least = (low + high) / 2
+    upper = [o for o, r in zip(ratio, smooth) if r >= least]
+    alike = sum(upper) / len(upper) / 2
+    taken = [(o if doubt & set(x[2]) else r) >= least or o >= alike or o >= least and any(el[i][4] for i in x[2]) for r, o, x in zip(smooth, ratio, lines)]
     gone = {i for i in doubt if 2 * sum(len(x[0]) for x, t in zip(lines, taken) if t and i in x[2]) < size(i, lines)}
     rows = [(x, w * t) for x, w, t in zip(lines, weight, taken) if not gone & set(x[2])]
     mass = lambda i: sum(w for x, w in rows if i < 0 or i in x[2])
-    at = -1
-    while True:
-        heavy = [i for i, e in enumerate(el) if e[1] == at and e[0] in html_text.REGION and mass(i) >= 0.9 * mass(at) > 0]
-        if not heavy or at >= 0 and el[at][0] == "article":
+    chosen = [x for x, w in rows if w]
+    home = lambda x: next(i for i in (*reversed(x[2]), -1) if i < 0 or el[i][0] in html_text.REGION)
+    blocks = lambda x: [el[i][0] for i in x[2] if home(x) < 0 or i > home(x)]
+    at, passed = -1, []
+    while at < 0 or not el[at][4]:
+        whole = [i for i, e in enumerate(el) if e[1] == at and e[0] in html_text.REGION and chosen and all(i in x[2] for x in chosen)]
+        parts = {home(x) for x, _ in rows if home(x) >= 0 and el[home(x)][0] == "section" and el[home(x)][1] == at and set(blocks(x)) & html_text.ALONG}
+        if not whole or el[whole[0]][0] == "section" and len(parts) > 1:
             break
-        at = heavy[0]
-    inner = [i for i, e in enumerate(el) if e[4] and mass(i) and i != at and (at < 0 or at in up(i)) and (e[0] == "article" or at < 0 or not el[at][4])]
-    if at >= 0 and el[at][4] and el[at][0] != "main":
-        inner = []
-    outer = [i for i in inner if not any(j in up(el[i][1]) for j in inner)]
-    where = outer if outer and 2 * sum(map(mass, outer)) >= mass(at) else [at]
-    return "\n\n".join(x[0] for x, _ in rows if any(i < 0 or i in x[2] for i in where))
+        passed, at = [*passed, at], whole[0]
+    vouched = at >= 0 and el[at][4]
+    texts = [i for i, e in enumerate(el) if e[4] and mass(i) and i != at and (at < 0 or at in up(i)) and (e[0] == "article" or not vouched)]
+    texts = [] if vouched and el[at][0] == "article" else [i for i in texts if not any(j in up(el[i][1]) for j in texts)]
+    between = [j for i in texts for j in up(el[i][1]) if vouched and at in up(j)]
+    if vouched:
+        fits = all(set(texts) & set(x[2]) or home(x) in between for x in chosen)
+        where, around = (texts, between) if texts and fits else ([at], [])
+    else:
+        fits = 2 * sum(map(mass, texts)) >= mass(at)
+        where, around = (texts, []) if texts and fits else ([at], passed)
+
+    def stays(x, w):
+        if any(i < 0 or i in x[2] for i in where):
+            return True
+        if home(x) not in around:
+            return False
+        heading = any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t in blocks(x))
+        return w > 0 or heading or bool(set(blocks(x)) & html_text.ALONG) and home(x) >= 0 and el[home(x)][0] not in ("html", "body")
+
+    return "\n\n".join(x[0] for x, w in rows if stays(x, w))
+
+
+def test_headings_and_short_parts_stay_and_comments_go():
+    short, long = html_text.extract, PROSE.replace("Plain", "Said") * 4
+    parts = lambda page: [x.split()[0] for x in short(f"<body>{page}</body>")[0].split("\n\n")]
+    assert parts(f"<div><h1>Title</h1><p>Lede..</p><div class=body>{PROSE * 6}</div></div>") == ["Title", "Lede.."] + ["Plain"] * 6
+    assert parts(f"<main><h1>Title</h1><article>{PROSE * 10}</article><p>Closing remark</p></main>") == ["Title"] + ["Plain"] * 10 + ["Closing"]
+    assert parts(f"<main><article>{PROSE * 12}</article><article>{PROSE}</article></main>") == ["Plain"] * 13
+    assert parts(f"<div><div><a>Home</a></div><div><section>{PROSE * 9}</section><section><h2>S</h2>{PROSE}<p>ok.</p></section></div></div>") == ["Plain"] * 9 + ["S", "Plain", "ok."]
+    for box in ("<div class='user-comments'><p>Nice!</p><p>First</p></div>", f"<div class=comments>{long}</div>", f"<div class=promo>{long}</div>", f"<form>{long}</form>"):
+        assert parts(f"<article>{PROSE * 3}{box}{PROSE}</article>") == ["Plain"] * 4
+        assert parts(f"<main><article><p>One line.</p></article>{box}</main>") == parts(f"<article><p>One line.</p></article>{box}") == ["One"]
+    assert parts(f"<main>{PROSE}<div id='comments'>{long}</div></main>") == parts(f"<div>{PROSE}</div><div id='comments'>{long}</div>") == ["Plain"]
+    assert parts(f"<form><div class=promo>{long}</div></form>") == ["Said"] * 4  # nothing else is left
+    assert short("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p></article>")[0] == "Let x=1 hold."
 
 
 def test_extract_equals_the_slow_form(spark):
-    pages = [f"<body>{a}{b}{c}</body>" for a in ("<nav>m", "<div class=ad>b</div>", "<div><a>l</a></div>") for b in (f"<article>{PROSE}<p>s</p></article>", f"<div>{PROSE}</div>", "<main><p>t</p></main>") for c in (f"<article>{PROSE}</article>", f"<div class=comments>{PROSE}</div>", "")]
+    pages = [f"<body>{a}{b}{c}</body>" for a in ("<nav>m", "<div class=ad>b</div>", "<div><a>l</a></div>") for b in (f"<article>{PROSE}<p>s</p></article>", f"<div>{PROSE}</div>", "<main><p>t</p></main>", f"<div><h1>T</h1><p>l</p><div>{PROSE * 2}</div></div>", f"<main><h1>T</h1><article>{PROSE * 3}</article><p>c</p></main>", f"<form><section>{PROSE * 9}</section><section><h2>S</h2>{PROSE}</section></form>") for c in (f"<article>{PROSE}</article>", f"<div class=comments>{PROSE}</div>", f"<div class='promo'><p>b</p></div>", "")]
     sf = "/root/testdata/sf0.001/pages.parquet"
     if os.path.exists(sf):
         got = {r.page_id: r for r in html_text.op8_html_text(spark, os.path.dirname(sf)).collect()}
