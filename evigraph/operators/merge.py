@@ -96,9 +96,13 @@ def merged_properties(rows: DataFrame, key: str, order: str, union_lists: bool =
 
 @dataclass(frozen=True)
 class Merged:
-    """Merged rows with ``merge_key`` and ``has_evidence``, what became of ids, and the evidence they take in, as yet unordered."""
+    """Merged rows with ``merge_key`` and ``has_evidence``, what became of ids, and the evidence they take in, as yet unordered.
+
+    ``heads`` are the rows without properties: who only asks for ids, types and ends need not have properties merged.
+    """
 
     rows: DataFrame
+    heads: DataFrame
     aliases: DataFrame
     id_col: str
     items: DataFrame  # (merge_key, at, fields)
@@ -114,7 +118,7 @@ class Merged:
 
     def evidence(self) -> DataFrame:
         """(id, place, fields): as :func:`numbered`, under the merged id."""
-        ids = self.rows.select("merge_key", self.id_col)
+        ids = self.heads.select("merge_key", self.id_col)
         return self.numbered().join(ids, "merge_key").select(self.id_col, "place", *E.FIELDS)
 
     def with_arrays(self) -> DataFrame:
@@ -123,25 +127,32 @@ class Merged:
         return joined.withColumn("evidence", F.coalesce("evidence", F.array().cast(E.SCHEMA))).drop("merge_key", "has_evidence")
 
 
-def _merged(keyed: DataFrame, id_col: str, head: list[str], items: DataFrame | None = None, union_lists: bool = False, carried: DataFrame | None = None) -> Merged:
+def _merged(keyed: DataFrame, id_col: str, head: list[str], items: DataFrame | None = None, union_lists: bool = False, carried: DataFrame | None = None, by_key: dict[str, Column] | None = None) -> Merged:
     """Rows with ``merge_key`` and ``_order`` merged by key.
 
+    A row's ``head`` is that of its first occurrence; or, as ``by_key``, follows from ``merge_key`` and ``_first``, the first
+    ordinal, so that groups are hashed and not sorted.
+
     Evidence, in the order of its rows and then its own, is in their arrays, or in ``items`` (id, place, fields), or in
     ``carried`` (merge_key, at, fields).
     """
     has = F.size("evidence") > 0 if "evidence" in keyed.columns else F.col("has_evidence")
-    heads = keyed.groupBy("merge_key").agg(F.min_by(F.struct(*head), "_order").alias("head"), F.coalesce(F.bool_or(has), F.lit(False)).alias("has_evidence"))
+    any_has = F.coalesce(F.bool_or(has), F.lit(False)).alias("has_evidence")
+    if by_key is None:
+        heads = keyed.groupBy("merge_key").agg(F.min_by(F.struct(*head), "_order").alias("head"), any_has).select("merge_key", "head.*", "has_evidence")
+    else:
+        heads = keyed.groupBy("merge_key").agg(F.min("_order").alias("_first"), any_has).select("merge_key", *(by_key[c].alias(c) for c in head), "has_evidence")
     props = merged_properties(keyed, "merge_key", "_order", union_lists)
-    rows = heads.join(props, "merge_key", "left").select("merge_key", "head.*", F.coalesce("props", F.array().cast(P.SCHEMA)).alias("props"), "has_evidence")
+    rows = heads.join(props, "merge_key", "left").select("merge_key", *head, F.coalesce("props", F.array().cast(P.SCHEMA)).alias("props"), "has_evidence")
     first = keyed.select("merge_key", F.col(id_col).alias("_old"), "_order").groupBy("merge_key", "_old").agg(F.min("_order").alias("_order"))
-    named = first.join(rows.select("merge_key", id_col), "merge_key")
+    named = first.withColumn(id_col, by_key[id_col]) if by_key else first.join(heads.select("merge_key", id_col), "merge_key")
     aliases = named.groupBy("_old").agg(F.min_by(id_col, "_order").alias(id_col)).withColumnRenamed("_old", f"old_{id_col}")
     if carried is None and items is None:
         carried = E.items(keyed, "merge_key", "_order")
     elif carried is None:
         owner = first.groupBy("_old").agg(F.min_by(F.struct("merge_key", "_order"), "_order").alias("o")).select("_old", "o.*")
         carried = items.withColumnRenamed(id_col, "_old").join(owner, "_old").select("merge_key", F.struct("_order", F.col("place").alias("_place")).alias("at"), *E.FIELDS)
-    return Merged(rows, aliases, id_col, carried)
+    return Merged(rows, heads, aliases, id_col, carried)
 
 
 def merged_nodes(occurrences: DataFrame, strategy: str = "canonical", union_lists: bool = False, order: Column | None = None, items: DataFrame | None = None) -> Merged:
@@ -207,14 +218,10 @@ ENDS = ("source_node_id", "relationship_type", "target_node_id")
 def merged_relationships(relationships: DataFrame, items: DataFrame | None = None, minted: bool = True, union_lists: bool = False) -> Merged:
     """One relationship for each (source, type, target), evidence as rows; its id minted from these, or else the first one's."""
     keyed = relationships.withColumn("merge_key", F.struct(*ENDS)).withColumn("_order", F.col("rel_ord"))
-    if minted:
-        keyed = keyed.withColumn("_minted", text.minted("rel_", *(F.col(c) for c in ENDS)))
-    found = _merged(keyed, "relationship_id", ["rel_ord", "relationship_id", *(["_minted"] if minted else []), *ENDS], items, union_lists)
-    if not minted:
-        return found
-    ids = found.rows.select(F.col("relationship_id").alias("_first"), F.col("_minted").alias("relationship_id"))
-    aliases = found.aliases.withColumnRenamed("relationship_id", "_first").join(ids, "_first").drop("_first")
-    return Merged(found.rows.withColumn("relationship_id", F.col("_minted")).drop("_minted"), aliases, "relationship_id", found.items)
+    head = ["rel_ord", "relationship_id", *ENDS]
+    ends = {c: F.col("merge_key")[c] for c in ENDS}
+    made = {"rel_ord": F.col("_first"), "relationship_id": text.minted("rel_", *ends.values()), **ends}
+    return _merged(keyed, "relationship_id", head, items, union_lists, by_key=made if minted else None)
 
 
 def remap(relationships: DataFrame, aliases: DataFrame, drop_unknown: bool = False) -> DataFrame:

@@ -324,11 +324,12 @@ def property_list_union(spark, sf_dir):
 _GRAPH = f"WITH {star.NODES_SQL}, {star.RELATIONSHIPS_SQL}, {star.ONTOLOGY_SQL}, {star.MERGED_SQL}, {star.REMAPPED_SQL}"
 
 
-def _merged(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Merged nodes and remapped relationships with what validation looks at, each computed once."""
+def _merged(spark, sf_dir, keys: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Merged nodes, with their properties' ``keys`` where these are looked at, and remapped relationships, each computed once."""
     merged = M.merged_nodes(star.nodes(spark, sf_dir))
-    moved = M.merged_relationships(M.redirected(star.relationships(spark, sf_dir), merged.aliases)).table
-    return stored(V.thin_nodes(merged.table)), stored(moved.select("rel_ord", "relationship_id", "relationship_type", "source_node_id", "target_node_id", (~F.col("has_evidence")).alias("bare")))
+    nodes = V.thin_nodes(merged.table) if keys else merged.heads.select("node_id", "node_type", "occ_ord")
+    moved = M.merged_relationships(M.redirected(star.relationships(spark, sf_dir), merged.aliases)).heads
+    return stored(nodes), stored(moved.select("rel_ord", "relationship_id", "relationship_type", "source_node_id", "target_node_id", (~F.col("has_evidence")).alias("bare")))
 
 
 @query("orphan_relationships", f"{_GRAPH} SELECT rel_ord, source_node_id, relationship_type, target_node_id, CASE WHEN source_type IS NOT NULL THEN 'target' WHEN target_type IS NOT NULL THEN 'source' ELSE 'both' END AS reason FROM typed WHERE source_type IS NULL OR target_type IS NULL")
@@ -345,12 +346,12 @@ def signature_violations(spark, sf_dir):
 
 @query("type_coverage", f"{_GRAPH} SELECT typ.node_type, count(node.node_id)::BIGINT AS n, count(node.node_id) > 0 AS found FROM typ LEFT JOIN node ON typ.node_type = node.node_type GROUP BY typ.node_type")
 def type_coverage(spark, sf_dir):
-    return V.coverage(_merged(spark, sf_dir)[0], _onto(spark)[0])
+    return V.coverage(M.merged_nodes(star.nodes(spark, sf_dir)).heads, _onto(spark)[0])
 
 
 @query("missing_types", f"{_GRAPH} SELECT node_type FROM typ WHERE node_type NOT IN (SELECT node_type FROM node)")
 def missing_types(spark, sf_dir):
-    return V.coverage(_merged(spark, sf_dir)[0], _onto(spark)[0]).where("not found").select("node_type")
+    return V.coverage(M.merged_nodes(star.nodes(spark, sf_dir)).heads, _onto(spark)[0]).where("not found").select("node_type")
 
 
 @query("relationship_type_counts", f"{_GRAPH} SELECT s.relationship_type, count(tri.relationship_type)::BIGINT AS n FROM (SELECT DISTINCT relationship_type FROM sig) s LEFT JOIN tri USING (relationship_type) GROUP BY s.relationship_type")
@@ -383,7 +384,7 @@ UNION ALL SELECT 'invalid relationship', source_type || '|' || relationship_type
 
 @query("validation_errors", f"{_ERRORS} SELECT kind, subject, count(*)::BIGINT AS n FROM err GROUP BY ALL")
 def validation_errors(spark, sf_dir):
-    nodes, rels = _merged(spark, sf_dir)
+    nodes, rels = _merged(spark, sf_dir, keys=True)
     return V.errors(nodes, rels, *_onto(spark)).groupBy("kind", "subject").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -392,13 +393,13 @@ def validation_report(spark, sf_dir):
     """The first thirty errors, as a report shows them."""
     from evigraph.plans import assemble
 
-    nodes, rels = _merged(spark, sf_dir)
+    nodes, rels = _merged(spark, sf_dir, keys=True)
     return assemble.examples("validation_errors", V.errors(nodes, rels, *_onto(spark)))
 
 
 @query("validation_summary", f"{_ERRORS}, touched AS (SELECT source_node_id AS id FROM tri UNION SELECT target_node_id FROM tri) SELECT (SELECT count(*) FROM node)::BIGINT AS node_count, (SELECT count(*) FROM tri)::BIGINT AS relationship_count, (SELECT count(*) FROM node WHERE node_id NOT IN (SELECT id FROM touched))::BIGINT AS disconnected_count, (SELECT count(*) FROM typ WHERE node_type NOT IN (SELECT node_type FROM node))::BIGINT AS missing_type_count, (SELECT count(*) FROM err)::BIGINT AS error_count, (SELECT count(*) FROM err) = 0 AS valid")
 def validation_summary(spark, sf_dir):
-    nodes, rels = _merged(spark, sf_dir)
+    nodes, rels = _merged(spark, sf_dir, keys=True)
     return V.summary(nodes, rels, *_onto(spark))
 
 
@@ -610,14 +611,14 @@ def chunk_counters(spark, sf_dir):
 def validation_graded(spark, sf_dir):
     """Findings as errors and warnings, as an earlier validator grades them, by kind."""
     types, properties, signatures = _onto(spark)
-    nodes, rels = _merged(spark, sf_dir)
+    nodes, rels = _merged(spark, sf_dir, keys=True)
     missing = V.coverage(nodes, types).where("not found")
     return V.graded(V.findings(nodes, rels, types, properties, signatures), missing).groupBy("level", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("validation_without_orphans", f"{_ERRORS} SELECT kind, count(*)::BIGINT AS n FROM err WHERE kind <> 'orphan relationship' GROUP BY ALL")
 def validation_without_orphans(spark, sf_dir):
-    nodes, rels = _merged(spark, sf_dir)
+    nodes, rels = _merged(spark, sf_dir, keys=True)
     return V.without_orphans(V.findings(nodes, rels, *_onto(spark))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
