@@ -5,6 +5,9 @@ letters with one space (or line break) between them, where the vocabulary's rule
 there. Pieces are then dealt, in order, to batches of ``BATCH_BYTES`` bytes, so that a batch is as much
 work whether it has one long text or many short ones, and what a library holds for a batch is bounded. A text
 without such a place, or of a vocabulary with other rules, is encoded whole, which is right but holds more.
+
+Pieces are parted at every safe place, and the length of a short part that is met again is remembered in its
+task: most words of a text were seen before, and looking up a length costs far less than encoding.
 """
 
 from __future__ import annotations
@@ -23,9 +26,13 @@ from . import common
 
 #: Characters of a piece from which on the next safe place is taken, and bytes of a batch.
 PIECE, BATCH_BYTES = 16_384, 262_144
+#: Characters of a part that is remembered at most, and parts that a task remembers before it starts anew.
+SHORT, REMEMBERED = 64, 1 << 18
 VOCABULARY, LIMIT = "word_bpe_49k.json", 2048
 #: One space, or white space, between two ASCII letters.
 SPACE, WHITE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])"), re.compile(r"(?<=[A-Za-z])[ \n](?=[A-Za-z])")
+#: Any space or line break: safe where words are kept by a split of which no part takes white space.
+ANY, PLAIN = re.compile(r"[ \n]"), {r"[\p{L}]+", r"\p{L}+", r"[\p{N}]", r"[\p{N}]+", r"\p{N}", r"\p{N}+", r"[^\s\p{L}\p{N}]+"}
 
 
 def place(vocabulary: str) -> str:
@@ -48,6 +55,16 @@ def _parts_at_white(rules: dict) -> bool:
     return bool(words) and plain and not any(re.search(r"\s", t["content"]) or t["single_word"] or t["lstrip"] or t["rstrip"] for t in rules.get("added_tokens", []))
 
 
+def _safe(rules: dict) -> re.Pattern | None:
+    """Where texts may be split under a tokenizer's rules."""
+    if not _parts_at_white(rules):
+        return None
+    pre = rules.get("pre_tokenizer") or {}
+    first = (pre.get("pretokenizers") or [pre])[0]
+    kinds = first["pattern"]["Regex"].split("|") if first.get("type") == "Split" else [" "]
+    return ANY if all(k in PLAIN or re.fullmatch("['A-Za-z]+", k) for k in kinds) else WHITE
+
+
 def counter(vocabulary: str) -> tuple[Callable[[list[str]], list[int]], re.Pattern | None, int]:
     """(lengths of a batch of texts, places where texts may be split, characters left out there) of a vocabulary file.
 
@@ -64,7 +81,8 @@ def counter(vocabulary: str) -> tuple[Callable[[list[str]], list[int]], re.Patte
         t = Tokenizer.from_str(rules)
         t.no_truncation()
         t.no_padding()
-        return lambda texts: [len(e) for e in t.encode_batch_fast(texts, add_special_tokens=False)], WHITE if _parts_at_white(json.loads(rules)) else None, 0
+        safe = _safe(json.loads(rules))
+        return lambda texts: [len(e) for e in t.encode_batch_fast(texts, add_special_tokens=False)], safe, int(safe is ANY)
     if path.endswith(".model"):
         import sentencepiece
 
@@ -121,11 +139,54 @@ def lengths(texts: list[str], count: Callable[[list[str]], list[int]], boundary:
     return out
 
 
+def remembering(count: Callable[[list[str]], list[int]], boundary: re.Pattern | None, left_out: int = 0, short: int = SHORT, most: int = REMEMBERED) -> Callable[[list[str]], list[int]]:
+    """``count`` of texts, where a part between safe places is encoded by itself when it is met again, and only looked up from then on.
+
+    A text's length is the sum of its parts' lengths. Parts that are new, or of more than ``short``
+    characters, are encoded together, a text at a time, as the library is slow with single words.
+    About ``most`` parts are held besides those of one batch.
+    """
+    if boundary is None:
+        return count
+    # a part begins with its white space unless that is left out
+    parts = (lambda t: t.replace("\n", " ").split(" ")) if boundary is ANY and left_out else (boundary if left_out else re.compile(f"(?={boundary.pattern})")).split
+    between = " " * left_out
+    known: dict[str, int] = {}
+    met: set[str] = set()
+
+    def counted(texts: list[str]) -> list[int]:
+        if len(met) > most:
+            known.clear()
+            met.clear()
+        sums, rests, agains = [], [], []
+        for text in texts:
+            n, rest, again = 0, [], []
+            for part in parts(text):
+                length = known.get(part)
+                if length is not None:
+                    n += length
+                elif part in met:
+                    again.append(part)
+                else:
+                    rest.append(part)
+                    if len(part) <= short:
+                        met.add(part)
+            sums.append(n)
+            rests.append(between.join(rest))
+            agains.append(again)
+        if new := list({part for again in agains for part in again}):
+            known.update(zip(new, count(new)))
+        return [n + more + sum(map(known.__getitem__, again)) for n, more, again in zip(sums, count(rests), agains)]
+
+    return counted
+
+
 def token_column(text: Column, vocabulary: str = VOCABULARY) -> Column:
     """How many tokens a text has, a long; null counts as the empty text, which has none."""
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count, boundary, left_out = counter(vocabulary)  # once a task
+        count = remembering(count, boundary, left_out)
         for batch in batches:
             yield pa.array(lengths(batch.to_pylist(), count, boundary, left_out), pa.int64())
 

@@ -38,6 +38,32 @@ def test_pieces_have_as_many_tokens_as_the_whole(name):
         assert sum(len(list(tokens.pieces(x, boundary, left_out, size))) for x in texts) > len(texts) or size > 50
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_remembered_parts_have_as_many_tokens_as_the_whole(name):
+    rng, one = random.Random(6), whole(name)
+    count, boundary, left_out = tokens.counter(name)
+    texts = ["", " ", "\n", "a", " a b ", "the man, the man\nthe man,"] + ["".join(rng.choice(BITS) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randrange(1, 120))) for _ in range(200)]
+    want = [one(x) for x in texts]
+    for short, most in ((64, 10**6), (3, 5), (0, 0)):
+        kept = tokens.remembering(count, boundary, left_out, short, most)
+        assert [n for i in range(0, len(texts), 9) for n in kept(texts[i : i + 9])] == want and kept(texts) == want
+
+
+def test_words_met_again_are_not_encoded_each_time():
+    seen = []
+
+    def count(batch):
+        seen.extend(batch)
+        return [len(x.split()) for x in batch]
+
+    kept = tokens.remembering(count, tokens.ANY, 1, 8, 100)
+    assert tokens.lengths(["some, words. " * 3000, "words.\nsome,", "averylongword " * 5], kept, tokens.ANY, 1) == [6000, 2, 5] and kept(["some, averylongword"]) == [2]
+    words = " ".join(seen).split()
+    assert words.count("some,") == words.count("words.") == 2 and words.count("averylongword") == 6  # too long to be kept
+    assert tokens.remembering(count, None) is count
+    assert tokens.counter(tokens.VOCABULARY)[1:] == (tokens.ANY, 1) and tokens.counter("byte_bpe_50k.json")[1:] == (tokens.WHITE, 0)
+
+
 def test_batches_are_balanced_by_bytes():
     seen = []
 
