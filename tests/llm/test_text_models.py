@@ -138,6 +138,31 @@ def test_quality_ranks_held_out_rows(spark):
     assert {r.s for r in d.select(quality.score_column(F.col("text"), none).alias("s")).collect()} == {0.5}
 
 
+def test_quality_learns_from_all_pairs_of_all_labelled_rows(spark):
+    g = np.random.default_rng(3)
+    n, width = 300, len(quality.FEATURES)
+    x = g.normal(size=(n, width))
+    x[0] *= 10  # an odd text
+    y = (x[:, 0] - x[:, 1] / 2 + g.normal(size=n) > 1).astype(int)
+    rows = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y)], "x array<double>, y int").repartition(5).localCheckpoint()
+    m = quality.train_rows(rows)
+    d = (x[y == 1][:, None, :] - x[y == 0][None, :, :]).reshape(-1, width)
+    grad = d.T @ (1 / (1 + np.exp(np.clip(d @ m["w"], -500, 500)))) / len(d) - quality.RIDGE * m["w"]
+    assert np.abs(grad).max() < 2e-5
+    assert abs(m["threshold"] - np.quantile(x @ m["w"], (y == 0).mean())) < 1e-9
+    values = spark.createDataFrame([(v,) for v in [1.0, 2.0, 2.0, 2.0, 5.0, -1e9, 7.5, 7.5]], "s double")
+    for share in (0.0, 0.1, 0.33, 0.5, 0.75, 0.9, 1.0):
+        assert abs(quality.quantile(values, share) - np.quantile([1.0, 2.0, 2.0, 2.0, 5.0, -1e9, 7.5, 7.5], share)) < 1e-5
+
+
+def test_quality_takes_every_labelled_row_once(spark):
+    rows = spark.createDataFrame([(i, [float(i)]) for i in range(400)] + [(3, [-1.0]), (None, [0.0]), (5, None)], "doc_id long, x array<double>")
+    l = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(7, None), (4, 1), (900, 1), (None, 0)], "doc_id long, quality int")
+    got = sorted((r.x[0], r.y) for r in quality.labelled(rows, l).collect())
+    want = sorted((-1.0 if i == 3 else float(i), 1 if i == 4 else i % 2) for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1)
+    assert got == want
+
+
 def test_newton_reaches_the_stationary_point():
     g = np.random.default_rng(0)
     x = g.normal(size=(400, len(quality.FEATURES)))
