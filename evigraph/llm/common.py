@@ -48,6 +48,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def packed(df: DataFrame, rows: int, of_task: int = 25_000) -> DataFrame:
+    """``df`` in no more partitions than about ``rows`` rows, narrow ones, are worth: all rows, and fewer tasks for the driver to keep track of."""
+    return df.coalesce(1 + rows // of_task)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, for wide rows: smaller than a checkpoint, and read by column."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"

@@ -102,20 +102,22 @@ def families(points: DataFrame, close: Callable[[Column, Column], Column], codes
     def coded(rows: DataFrame, node: str, name: str) -> DataFrame:
         if codes is None:
             return rows.withColumn(name, F.array(node))
-        return rows.join(codes.select(F.col("node").alias("_of"), F.col("code").alias(name)), F.col(node) == F.col("_of")).drop("_of")
+        return packed(rows.join(codes.select(F.col("node").alias("_of"), F.col("code").alias(name)), F.col(node) == F.col("_of"))).drop("_of")
 
+    n = points.count() * PARTS
+    packed = lambda df: common.packed(df, n)
     kept = verify or (lambda pairs: pairs)
     both = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     filed = _filed(points)  # replicas are made where they are sent from, and not kept
-    homes = common.cut(filed.select(F.col("home").alias("anchor"), "node"))
+    homes = common.cut(packed(filed.select(F.col("home").alias("anchor"), "node")))
     place = F.row_number().over(W.partitionBy("anchor").orderBy(F.xxhash64("node", "anchor"), "node"))
-    leads = homes.select("anchor", F.col("node").alias("lead"), place.alias("place")).where(F.col("place") <= LEADS).drop("place")
-    stars = homes.join(leads.hint("shuffle_hash"), "anchor").where("lead <> node").select(*both("lead", "node")).distinct()
+    leads = packed(homes.select("anchor", F.col("node").alias("lead"), place.alias("place")).where(F.col("place") <= LEADS)).drop("place")
+    stars = packed(packed(homes.join(leads.hint("shuffle_hash"), "anchor").where("lead <> node")).select(*both("lead", "node")).distinct())
     stars = coded(coded(stars, "a", "_x"), "b", "_y").where(close(F.col("_x"), F.col("_y"))).select("a", "b")
-    found = common.cut(kept(common.cut(stars)))
+    found = common.cut(packed(kept(common.cut(stars))))
     grown = components(found)
-    own = common.cut(_in_families(homes, grown))
-    sizes = own.groupBy("anchor", "family").agg(F.count(F.lit(1)).alias("n")).groupBy("anchor").agg(F.max_by("family", F.struct("n", "family")).alias("most"), F.count(F.lit(1)).alias("kinds"))
+    own = common.cut(packed(_in_families(homes, grown)))
+    sizes = packed(own.groupBy("anchor", "family").agg(F.count(F.lit(1)).alias("n"))).groupBy("anchor").agg(F.max_by("family", F.struct("n", "family")).alias("most"), F.count(F.lit(1)).alias("kinds"))
     met = _in_families(filed.select("node", "anchors"), grown).select(F.explode("anchors").alias("anchor"), "node", "family")
     # homes, one row for each fingerprint and part, are hashed, so that replicas need no sort
     near = common.cut(coded(met.join(sizes.hint("shuffle_hash"), "anchor").where("kinds > 1 or family <> most"), "node", "code"))
@@ -124,10 +126,10 @@ def families(points: DataFrame, close: Callable[[Column, Column], Column], codes
     few, many = (named.where(test).select("anchor", "other_node", "other_code", "other") for test in ("other <> most", "other = most"))
     reach = (F.col("family") != F.col("other")) & close(F.col("code"), F.col("other_code"))
     cross = near.join(few, "anchor").where(reach).select(*both("node", "other_node")).unionByName(near.where("family <> most").join(many, "anchor").where(reach).select(*both("node", "other_node")))
-    pairs = common.cut(cross.distinct())
+    pairs = common.cut(packed(packed(cross).distinct()))
     if not pairs.limit(1).count():
         return grown
-    return components(found.unionByName(common.cut(kept(pairs))))
+    return components(found.unionByName(common.cut(packed(kept(pairs)))))
 
 
 def _in_families(rows: DataFrame, grown: DataFrame | None) -> DataFrame:

@@ -111,3 +111,10 @@ def test_components_of_a_chain_a_star_and_a_cycle(spark):
 def test_bits_beyond_the_cover_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.linked(spark.createDataFrame([], "fp long"), 4)
+
+
+def test_few_links_are_kept_in_few_partitions(spark):
+    links = spark.range(500).selectExpr("id + 1 a", "id b").union(spark.range(600, 700).selectExpr("id a", "600L b")).repartition(40)
+    out = components(links)
+    assert out.rdd.getNumPartitions() <= 2
+    assert {(r.node, r.root) for r in out.collect()} == {(i, 0) for i in range(501)} | {(i, 600) for i in range(600, 700)}
