@@ -189,7 +189,6 @@ def signed(text: str | None) -> tuple[int, list[int], list[int]]:
     of similarity 0.8 differ in some 8 of 100 bits, so that some part mostly differs in one bit at most.
     """
     found = tokens(text)
-    node = xxh3_64_intdigest(b" ".join(found))
     kinds = list({*found, *map(b" ".join, zip(found, found[1:]))})
     ones = np.zeros(64 * LONGS, np.int64)
     for start in range(0, len(kinds), BLOCK >> 3):
@@ -200,12 +199,11 @@ def signed(text: str | None) -> tuple[int, list[int], list[int]]:
             more.append(x ^ x >> np.uint64(32))
         ones += np.unpackbits(np.concatenate(more, 1).view(np.uint8), axis=1).sum(0, dtype=np.int32)
     bits = np.packbits(2 * ones > len(kinds))
-    return node - (1 << 64) * (node >> 63), bits[: 4 * PARTS].view(">u4").tolist(), bits.view(">i8").tolist()
+    return node_of(found), bits[: 4 * PARTS].view(">u4").tolist(), bits.view(">i8").tolist()
 
 
-def shingles(text: str | None, words: int = 5) -> np.ndarray:
-    """The 64-bit hashes of a text's shingles, each once; a text of fewer words is one shingle."""
-    found = tokens(text)
+def shingles(found: list[bytes], words: int = 5) -> np.ndarray:
+    """The 64-bit hashes of the shingles of a text's :func:`tokens`, each once; a text of fewer words is one shingle."""
     runs = map(b" ".join, zip(*(found[i:] for i in range(words)))) if len(found) >= words else [b" ".join(found)]
     return np.unique(np.fromiter(map(xxh3_64_intdigest, runs), np.uint64)).view(np.int64)
 
@@ -213,19 +211,21 @@ def shingles(text: str | None, words: int = 5) -> np.ndarray:
 def alike(docs: DataFrame, firsts: DataFrame, similarity: float, words: int) -> Callable[[DataFrame], DataFrame]:
     """Keeps pairs of nodes whose texts have shingles alike by ``similarity`` or more (Jaccard); ``firsts`` (node, first) has a document of each.
 
-    Shingles are made of the texts of pairs only. A node that is in very many pairs is dealt to several tasks.
+    Shingles are made of the texts of pairs only: rows are mapped, as Spark takes a condition on what a function
+    returns below the join, where the function runs over all texts, and runs it once more above. A node that is
+    in very many pairs is dealt to several tasks.
     """
 
-    @F.pandas_udf("node long, hashes array<long>")
-    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([(node_of(t), shingles(t, words)) for t in texts], columns=["node", "hashes"], dtype=object)
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = ((node, tokens(t)) for node, t in zip(rows["_node"], rows["text"]))
+            yield pd.DataFrame([(node, shingles(t, words)) for node, t in found if node_of(t) == node], columns=["node", "hashes"], dtype=object)
 
     def keep(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = common.stored(firsts.join(asked, "node").select(F.col("first").alias("_first"), F.col("node").alias("_node")))
-        texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_first")).select("_node", hashed("text").alias("h"))
-        sets = common.stored(texts.where("h.node = _node").select(F.col("_node").alias("node"), "h.hashes")).dropDuplicates(["node"])
+        texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_first")).select("_node", "text")
+        sets = common.stored(texts.mapInPandas(hashed, "node long, hashes array<long>")).dropDuplicates(["node"])
         often = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         fat = pairs.join(often, "a").select("a", "b", F.expr(f"pmod(xxhash64(b), n div {DEALT} + 1)").alias("deal")).join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
         many = sets.join(often, F.col("node") == F.col("a")).select("a", F.col("hashes").alias("ha"), F.explode(F.expr(f"sequence(0L, n div {DEALT})")).alias("deal"))
@@ -235,8 +235,9 @@ def alike(docs: DataFrame, firsts: DataFrame, similarity: float, words: int) ->
     return keep
 
 
-def node_of(text: str | None) -> int:
-    node = xxh3_64_intdigest(b" ".join(tokens(text)))
+def node_of(found: list[bytes]) -> int:
+    """A number for a text's sequence of :func:`tokens`."""
+    node = xxh3_64_intdigest(b" ".join(found))
     return node - (1 << 64) * (node >> 63)
 
 
@@ -266,7 +267,7 @@ def representatives(docs: DataFrame, similarity: float = 0.8, words: int = 5) ->
     if rows == ids:
         kept = common.stored(named.select(F.col("component_id").alias("kept")).distinct())
         return docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == kept["kept"], "left_semi")  # ids only are hashed; texts are not sorted
-    number = F.pandas_udf(lambda texts: texts.map(node_of), "long")
+    number = F.pandas_udf(lambda texts: texts.map(lambda t: node_of(tokens(t))), "long")
     marked = docs.select(F.struct("*").alias("row"), number("text").alias("mark")).join(named, F.expr("mark = node"))
     return marked.where("row.doc_id <=> component_id").dropDuplicates(["root"]).select("row.*")
 

@@ -118,3 +118,17 @@ def test_few_links_are_kept_in_few_partitions(spark):
     out = components(links)
     assert out.rdd.getNumPartitions() <= 2
     assert {(r.node, r.root) for r in out.collect()} == {(i, 0) for i in range(501)} | {(i, 600) for i in range(600, 700)}
+
+
+def test_shingles_are_made_once_and_of_the_texts_of_pairs_only(spark, monkeypatch):
+    texts = {1: "a b c d e f g h i j k l", 2: "a b c d e f g h i j k l m", 3: "none of these words stand in one of the others"}
+    docs = spark.createDataFrame([*texts.items(), (1, "another text of the same id")], "doc_id long, text string")
+    node = {i: simhash.signed(t)[0] for i, t in texts.items()}
+    firsts = spark.createDataFrame([(n, i) for i, n in node.items()], "node long, first long")
+    plans, stored = [], simhash.common.stored
+    monkeypatch.setattr(simhash.common, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df))
+    pairs = spark.createDataFrame([(node[1], node[2]), (node[1], node[3])], "a long, b long")
+    assert [tuple(r) for r in simhash.alike(docs, firsts, 0.8, 5)(pairs).collect()] == [(node[1], node[2])]
+    (plan,) = (p for p in plans if "EvalPython" in p or "InPandas" in p)
+    assert plan.count("EvalPython") + plan.count("InPandas") == 1
+    assert plan.index("Python" if "EvalPython" in plan else "InPandas") < plan.index("Join")
