@@ -21,6 +21,8 @@ from . import common
 
 #: Documents of each language that the trees are learned from, on average.
 DOCS_EACH = 400
+#: Contexts whose code lengths are worked out at a time, so that the driver needs little memory besides the model.
+CONTEXTS = 1024
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double, bits_per_byte double, excess double, margin double"
 
@@ -79,28 +81,34 @@ def build(rows: list[tuple[str, int, int]]) -> dict:
             np.add.at(c, (np.searchsorted(contexts[k], suffixes[k][own]), part[own, 3]), n[own])
             lower_counts.append(c)
         for k in range(4):
-            left = np.ones((len(contexts[k]), width), bool)  # symbols that no longer context has had
-            cost = np.zeros((len(contexts[k]), width))
-            escape = np.zeros(len(contexts[k]))
-            for j in range(k, 4):
-                up = contexts[k] % width ** (3 - j) if j < 3 else contexts[k] * 0
-                c = lower_counts[j][np.searchsorted(contexts[j], up)] * left
-                total, kinds = c.sum(1), (c > 0).sum(1)
-                whole = np.maximum(total + kinds, 1)
-                with np.errstate(divide="ignore"):
-                    own_cost = escape[:, None] - np.log2(c / whole[:, None])
-                cost = np.where(c > 0, own_cost, cost)
-                escape = escape + np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / whole), 0)
-                left &= c == 0
-            rest = (left[:, :-1].sum(1) + unseen)[:, None]
-            cost = np.where(left, escape[:, None] + np.log2(np.maximum(rest, 1)), cost)
-            bits[starts[k] : starts[k + 1], :, i] = cost
-    node = np.full(width**3, starts[3], np.int32)
-    every = np.arange(width**3)
-    for k in (2, 1, 0):
-        short = every % width ** (3 - k)
-        at = np.minimum(np.searchsorted(contexts[k], short), len(contexts[k]) - 1)
-        node = np.where(contexts[k][at] == short, starts[k] + at, node).astype(np.int32)
+            for start in range(0, len(contexts[k]), CONTEXTS):
+                some = contexts[k][start : start + CONTEXTS]
+                left = np.ones((len(some), width), bool)  # symbols that no longer context has had
+                cost = np.zeros((len(some), width))
+                escape = np.zeros(len(some))
+                for j in range(k, 4):
+                    up = some % width ** (3 - j) if j < 3 else some * 0
+                    c = lower_counts[j][np.searchsorted(contexts[j], up)] * left
+                    total, kinds = c.sum(1), (c > 0).sum(1)
+                    whole = np.maximum(total + kinds, 1)
+                    with np.errstate(divide="ignore"):
+                        own_cost = escape[:, None] - np.log2(c / whole[:, None])
+                    cost = np.where(c > 0, own_cost, cost)
+                    escape = escape + np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / whole), 0)
+                    left &= c == 0
+                rest = (left[:, :-1].sum(1) + unseen)[:, None]
+                cost = np.where(left, escape[:, None] + np.log2(np.maximum(rest, 1)), cost)
+                bits[starts[k] + start : starts[k] + start + len(some), :, i] = cost
+        del lower_counts
+    node = np.empty(width**3, np.int32)
+    for start in range(0, width**3, width**2):
+        every = np.arange(start, start + width**2)
+        found = np.full(width**2, starts[3], np.int32)
+        for k in (2, 1, 0):
+            short = every % width ** (3 - k)
+            at = np.minimum(np.searchsorted(contexts[k], short), len(contexts[k]) - 1)
+            found = np.where(contexts[k][at] == short, starts[k] + at, found)
+        node[start : start + width**2] = found
     model = {"langs": langs, "symbol": symbol.astype(np.int32), "width": width, "node": node * width, "bits": bits.reshape(-1, len(langs))}
     # what a byte of a language's own texts takes
     own = model["bits"][model["node"][key] + part[:, 3], lang].astype(float) * n

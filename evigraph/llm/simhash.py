@@ -109,27 +109,27 @@ def families(points: DataFrame, close: Callable[[Column, Column], Column], codes
     kept = verify or (lambda pairs: pairs)
     both = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     filed = _filed(points)  # replicas are made where they are sent from, and not kept
-    homes = common.cut(packed(filed.select(F.col("home").alias("anchor"), "node")))
+    homes = common.stored(packed(filed.select(F.col("home").alias("anchor"), "node")))
     place = F.row_number().over(W.partitionBy("anchor").orderBy(F.xxhash64("node", "anchor"), "node"))
     leads = packed(homes.select("anchor", F.col("node").alias("lead"), place.alias("place")).where(F.col("place") <= LEADS)).drop("place")
     stars = packed(packed(homes.join(leads.hint("shuffle_hash"), "anchor").where("lead <> node")).select(*both("lead", "node")).distinct())
     stars = coded(coded(stars, "a", "_x"), "b", "_y").where(close(F.col("_x"), F.col("_y"))).select("a", "b")
-    found = common.cut(packed(kept(common.cut(stars))))
+    found = common.stored(packed(kept(common.stored(stars))))
     grown = components(found)
-    own = common.cut(packed(_in_families(homes, grown)))
+    own = common.stored(packed(_in_families(homes, grown)))
     sizes = packed(own.groupBy("anchor", "family").agg(F.count(F.lit(1)).alias("n"))).groupBy("anchor").agg(F.max_by("family", F.struct("n", "family")).alias("most"), F.count(F.lit(1)).alias("kinds"))
     met = _in_families(filed.select("node", "anchors"), grown).select(F.explode("anchors").alias("anchor"), "node", "family")
     # homes, one row for each fingerprint and part, are hashed, so that replicas need no sort
-    near = common.cut(coded(met.join(sizes.hint("shuffle_hash"), "anchor").where("kinds > 1 or family <> most"), "node", "code"))
+    near = common.stored(coded(met.join(sizes.hint("shuffle_hash"), "anchor").where("kinds > 1 or family <> most"), "node", "code"))
     named = own.join(near.select("anchor").distinct(), "anchor", "left_semi").select("anchor", F.col("node").alias("other_node"), F.col("family").alias("other")).join(sizes, "anchor")
     named = coded(named, "other_node", "other_code")
     few, many = (named.where(test).select("anchor", "other_node", "other_code", "other") for test in ("other <> most", "other = most"))
     reach = (F.col("family") != F.col("other")) & close(F.col("code"), F.col("other_code"))
     cross = near.join(few, "anchor").where(reach).select(*both("node", "other_node")).unionByName(near.where("family <> most").join(many, "anchor").where(reach).select(*both("node", "other_node")))
-    pairs = common.cut(packed(packed(cross).distinct()))
-    if not pairs.limit(1).count():
+    pairs = common.stored(packed(packed(cross).distinct()))
+    if pairs.isEmpty():
         return grown
-    return components(found.unionByName(common.cut(packed(kept(pairs)))))
+    return components(found.unionByName(common.stored(packed(kept(pairs)))))
 
 
 def _in_families(rows: DataFrame, grown: DataFrame | None) -> DataFrame:
@@ -165,7 +165,7 @@ def classes(docs: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_i
     of ``docs`` are not used, so their names cannot clash. An empty table gives an empty one.
     """
     signed = common.stored(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), words).alias("fp")))
-    fps = common.cut(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    fps = common.stored(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
     named = _named(fps.select(F.col("fp").alias("node"), "first"), linked(fps, bits))
     return signed.join(named.select(F.col("node").alias("fp"), "component_id").hint("shuffle_hash"), "fp").select("doc_id", "fp", "component_id")
 
@@ -262,7 +262,7 @@ def representatives(docs: DataFrame, similarity: float = 0.8, words: int = 5) ->
     rows_signed = common.stored(docs.select("doc_id", sign("text").alias("s")).select("doc_id", "s.*"))
     firsts = common.stored(rows_signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("parts").alias("parts"), F.any_value("code").alias("code")))
     grown = families(firsts.select("node", "parts"), within(APART, LONGS), firsts.select("node", "code"), alike(docs, firsts.select("node", "first"), similarity, words))
-    named = common.cut(_named(firsts.select("node", "first"), grown))
+    named = common.stored(_named(firsts.select("node", "first"), grown))
     rows, ids = rows_signed.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if rows == ids:
         kept = common.stored(named.select(F.col("component_id").alias("kept")).distinct())

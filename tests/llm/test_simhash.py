@@ -132,3 +132,12 @@ def test_shingles_are_made_once_and_of_the_texts_of_pairs_only(spark, monkeypatc
     (plan,) = (p for p in plans if "EvalPython" in p or "InPandas" in p)
     assert plan.count("EvalPython") + plan.count("InPandas") == 1
     assert plan.index("Python" if "EvalPython" in plan else "InPandas") < plan.index("Join")
+
+
+def test_a_round_of_components_is_one_join(spark, monkeypatch):
+    plans, stored = [], simhash.common.stored
+    monkeypatch.setattr(simhash.common, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df))
+    chain = [7, 31, 2, 19, 11, 3, 23, 5]
+    out = components(spark.createDataFrame(list(zip(chain, chain[1:])), "a long, b long"))
+    assert {(r.node, r.root) for r in out.collect()} == {(i, 2) for i in chain}
+    assert len(plans) > 2 and all(p.count("Join") <= 1 for p in plans)

@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -231,3 +232,19 @@ def test_every_language_is_learned(spark):
     rows = [(10 * i + j, f"word{i} text", f"l{i:03}") for i in range(230) for j in range(8)]
     got = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert got.select("lang").distinct().count() == 230
+
+
+def test_language_model_is_built_in_little_memory(monkeypatch):
+    rng = random.Random(9)
+    rows = sorted({(lang, int.from_bytes(bytes(rng.randrange(40, 120) for _ in range(4)))): rng.randrange(1, 9) for lang in ("aa", "bb") for _ in range(10_000)}.items())
+    rows = [(*key, n) for key, n in rows]
+    tracemalloc.start()
+    model = language.build(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * model["bits"].nbytes
+    monkeypatch.setattr(language, "CONTEXTS", 7)
+    few = language.build(rows[:300])
+    monkeypatch.setattr(language, "CONTEXTS", 1 << 20)
+    whole = language.build(rows[:300])
+    assert all((few[k] == whole[k]).all() for k in ("node", "bits", "typical"))
