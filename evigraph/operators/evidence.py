@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evigraph.functions import ranks, text
+from evigraph.functions.store import stored
 from evigraph.operators.contains import containing
 
 SCHEMA = "array<struct<document_id: string, source_file: string, page: string, chunk_id: string, quote: string>>"
@@ -65,14 +66,19 @@ def items(rows: DataFrame, by: str, order: str, evidence: str = "evidence") -> D
     return listed.select(by, F.struct("_order", F.col("_place").cast("long").alias("_place")).alias("at"), "_item.*")
 
 
-def numbered(items: DataFrame, group: str, order: str) -> DataFrame:
+def numbered(items: DataFrame, group: str, order: str, kept: bool = False) -> DataFrame:
     """(group, place, document_id, source_file, page, chunk_id, quote): the different items of each group, in the order they first appear.
 
-    ``items`` has one row an item; nulls equal nulls. Repeats go before the shuffle that orders them, and items are
-    numbered within pieces of the order, so a group of very many is no single task and no single array.
+    ``items`` has one row an item; nulls equal nulls. Items are shuffled once, by their group; those of a large group
+    are numbered within pieces of the order, so a group of very many is no single task and no single array.
+    They are read twice, and stored for that unless they are ``kept`` in a table already.
     """
-    once = items.groupBy(group, *FIELDS).agg(F.min(order).alias("_first"))
-    return ranks.numbered(once, [group], ["_first", *FIELDS], "place").select(group, "place", *FIELDS)
+    keys = list(dict.fromkeys([group, *FIELDS]))
+    placed = items.select(F.col(order).alias("_at"), *keys)
+    few, many = ranks.by_size(placed if kept else stored(placed), [group])
+    once = lambda rows: rows.groupBy(*keys).agg(F.min("_at").alias("_first"))
+    out = ranks.in_window(once(few.repartition(group)), [group], ["_first", *FIELDS], "place").select(group, "place", *FIELDS)
+    return out if many is None else out.unionByName(ranks.by_ranges(once(many), [group], ["_first", *FIELDS], "place").select(group, "place", *FIELDS))
 
 
 def listed(numbered_items: DataFrame, by: str, most: int = MOST_LISTED) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 
 from evigraph.functions import props as P
 from evigraph.functions import text
+from evigraph.functions.store import stored, stored_in_slices
 from evigraph.operators import evidence as E
 
 METRIC_TYPE = "FinancialMetric"
@@ -106,12 +107,18 @@ class Merged:
     aliases: DataFrame
     id_col: str
     items: DataFrame  # (merge_key, at, fields)
+    keyed: DataFrame  # the rows before, with ``merge_key`` and ``_order``
 
     @property
     def table(self) -> DataFrame:
         """The rows without their key."""
         return self.rows.drop("merge_key")
 
+    def with_keys(self) -> DataFrame:
+        """The heads with ``keys``, the names of all properties, whose values need not be merged for that."""
+        keys = F.array_distinct(F.flatten(F.collect_set(F.transform("props", lambda p: p["key"])))).alias("keys")
+        return self.heads.join(self.keyed.groupBy("merge_key").agg(keys), "merge_key").drop("merge_key")
+
     def numbered(self) -> DataFrame:
         """(merge_key, place, fields): each row's different evidence items in order."""
         return E.numbered(self.items, "merge_key", "at")
@@ -152,7 +159,7 @@ def _merged(keyed: DataFrame, id_col: str, head: list[str], items: DataFrame | N
     elif carried is None:
         owner = first.groupBy("_old").agg(F.min_by(F.struct("merge_key", "_order"), "_order").alias("o")).select("_old", "o.*")
         carried = items.withColumnRenamed(id_col, "_old").join(owner, "_old").select("merge_key", F.struct("_order", F.col("place").alias("_place")).alias("at"), *E.FIELDS)
-    return Merged(rows, heads, aliases, id_col, carried)
+    return Merged(rows, heads, aliases, id_col, carried, keyed)
 
 
 def merged_nodes(occurrences: DataFrame, strategy: str = "canonical", union_lists: bool = False, order: Column | None = None, items: DataFrame | None = None) -> Merged:
@@ -207,6 +214,7 @@ def redirected(relationships: DataFrame, aliases: DataFrame, drop_unknown: bool
     Endpoints without an alias stay as they are, or, with ``drop_unknown``, drop the relationship.
     """
     how = "inner" if drop_unknown else "left"
+    aliases = aliases if drop_unknown else aliases.where("old_node_id <> node_id")  # an id that stays needs no alias
     s, t = (aliases.select(F.col("old_node_id").alias(f"{x}_old"), F.col("node_id").alias(f"{x}_new")) for x in "st")
     moved = relationships.join(s, F.col("source_node_id") == F.col("s_old"), how).join(t, F.col("target_node_id") == F.col("t_old"), how)
     return moved.withColumn("source_node_id", F.coalesce("s_new", "source_node_id")).withColumn("target_node_id", F.coalesce("t_new", "target_node_id")).drop("s_old", "s_new", "t_old", "t_new")
@@ -215,6 +223,39 @@ def redirected(relationships: DataFrame, aliases: DataFrame, drop_unknown: bool
 ENDS = ("source_node_id", "relationship_type", "target_node_id")
 
 
+def relationship_evidence(relationships: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(relationship_id, place, fields): the evidence of :func:`merged_relationships` of :func:`redirected` ones, whose rows are shuffled slice by slice."""
+    changed = stored(aliases.where("old_node_id <> node_id"))
+    items = stored_in_slices(relationships, ["source_node_id"], lambda rows: merged_relationships(redirected(rows, changed)).items)
+    return E.numbered(items, "merge_key", "at", kept=True).select(text.minted("rel_", *(F.col("merge_key")[c] for c in ENDS)).alias("relationship_id"), "place", *E.FIELDS)
+
+
+def typed_aliases(aliases: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Aliases (old_node_id, node_id) with the ``node_type`` of the merged node."""
+    return aliases.join(nodes.groupBy("node_id").agg(F.max_by("node_type", "occ_ord").alias("node_type")), "node_id")
+
+
+def typed_triples(relationships: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(rel_ord, relationship_id, relationship_type, ends, source_type, target_type, has_evidence): as :func:`merged_relationships` gives the heads of :func:`redirected` ones, with the types of both ends.
+
+    ``aliases`` is that of :func:`typed_aliases` for every node; an end without an alias is no node and has no type. So types cost
+    no joins besides those that redirect, and rows are shuffled slice by slice.
+    """
+    s, t = (aliases.select(F.col("old_node_id").alias("_old"), F.col("node_id").alias("_new"), F.col("node_type").alias(f"{x}_type")) for x in ("source", "target"))
+    has = F.size("evidence") > 0 if "evidence" in relationships.columns else F.col("has_evidence")
+
+    def end(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+        return rows.join(ids, F.col(name) == F.col("_old"), "left").withColumn(name, F.coalesce("_new", name)).drop("_old", "_new")
+
+    def first(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*ENDS, "source_type", "target_type").agg(F.min("rel_ord").alias("rel_ord"), F.coalesce(F.bool_or("has_evidence"), F.lit(False)).alias("has_evidence"))
+
+    thin = relationships.select("rel_ord", *ENDS, has.alias("has_evidence"))
+    moved = stored_in_slices(thin, ["source_node_id"], lambda rows: end(end(rows, s, "source_node_id"), t, "target_node_id"))
+    once = stored_in_slices(moved, list(ENDS), first)
+    return once.select("rel_ord", text.minted("rel_", *(F.col(c) for c in ENDS)).alias("relationship_id"), *ENDS, "source_type", "target_type", "has_evidence")
+
+
 def merged_relationships(relationships: DataFrame, items: DataFrame | None = None, minted: bool = True, union_lists: bool = False) -> Merged:
     """One relationship for each (source, type, target), evidence as rows; its id minted from these, or else the first one's."""
     keyed = relationships.withColumn("merge_key", F.struct(*ENDS)).withColumn("_order", F.col("rel_ord"))

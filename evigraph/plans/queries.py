@@ -289,7 +289,7 @@ def merged_node_evidence(spark, sf_dir):
 def merged_relationship_evidence(spark, sf_dir):
     """The evidence that relationships take in as their ends are merged, a row an item, in order."""
     aliases = M.merged_nodes(star.nodes(spark, sf_dir)).aliases
-    return M.merged_relationships(M.redirected(star.relationships(spark, sf_dir), aliases)).evidence().select("relationship_id", "place", "chunk_id", "quote")
+    return M.relationship_evidence(star.relationships(spark, sf_dir), aliases).select("relationship_id", "place", "chunk_id", "quote")
 
 
 @query("relationship_merge_by_id", "SELECT 'l_' || l_orderkey AS relationship_id, min(((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber) AS rel_ord, 'part_' || arg_min(l_partkey, ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber) AS target_node_id, arg_min(round(l_quantity)::BIGINT, ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber)::VARCHAR AS quantity, count(DISTINCT l_suppkey)::BIGINT AS n_evidence FROM lineitem GROUP BY l_orderkey")
