@@ -7,11 +7,18 @@ import itertools
 import re
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 NAME = r"([A-Za-z][A-Za-z0-9_]*)"
 
 
+def _table(spark: SparkSession, columns: dict[str, str], rows: list[tuple]) -> DataFrame:
+    """``rows`` as a table whose size Spark knows, as it does not of one made from Python rows."""
+    values = list(zip(*rows)) or [()] * len(columns)
+    return spark.createDataFrame(pa.table({c: pa.array(v, kind) for (c, kind), v in zip(columns.items(), values)}))
+
+
 @dataclass(frozen=True)
 class Dialect:
     """How the files are written; see :data:`DIALECTS`."""
@@ -45,13 +52,13 @@ class Ontology:
     empty_pairs: list[tuple[str, str]] = field(default_factory=list)
 
     def types_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(enumerate(self.types)), "type_ord int, node_type string")
+        return _table(spark, {"type_ord": "int32", "node_type": "string"}, list(enumerate(self.types)))
 
     def properties_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(t, p) for t in dict.fromkeys(self.types) for p in sorted(self.properties.get(t, ()))], "node_type string, property string")
+        return _table(spark, {"node_type": "string", "property": "string"}, [(t, p) for t in dict.fromkeys(self.types) for p in sorted(self.properties.get(t, ()))])
 
     def signatures_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.signatures, "source_type string, relationship_type string, target_type string")
+        return _table(spark, {"source_type": "string", "relationship_type": "string", "target_type": "string"}, self.signatures)
 
     def render(self) -> str:
         """The ontology as text for a request: types with sorted properties, then sorted signatures."""

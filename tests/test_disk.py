@@ -72,6 +72,35 @@ def test_pairs_of_batches_are_made_where_they_are_written(spark, monkeypatch):
     assert out.where("status = 'reviewed'").rdd.getNumPartitions() >= 125 // 10
 
 
+def test_typed_triples_are_merged_relationships_with_types(spark, slices):
+    n, r = graph(spark)
+    merged = M.merged_nodes(n)
+    heads = M.merged_relationships(M.redirected(r, merged.aliases)).heads
+    want = V.ends(heads, merged.heads).drop("merge_key")
+    got = M.typed_triples(r, M.typed_aliases(merged.aliases, merged.heads))
+    assert rows(got.select(*want.columns)) == rows(want) and got.where("source_type is null").count() and got.where("source_type is not null").count()
+    assert V.ends(got, None) is got  # types cost no further joins
+    one = {x.node_id: sorted(x["keys"]) for x in merged.with_keys().collect()}
+    assert one == {x.node_id: sorted(p.key for p in x.props) for x in merged.table.collect()}
+
+
+def test_final_filter_by_slices(spark, slices):
+    from evigraph.plans import queries, star
+
+    got = queries.QUERIES["final_filter_reasons"](spark, SF)
+    whole = V.final_filter(star.relationships(spark, SF), star.nodes(spark, SF), star.ONTOLOGY.signatures_df(spark)).select("rel_ord", "verdict")
+    assert rows(got) == rows(whole)
+    assert len({f for f in got.inputFiles()}) >= store.MOST_SLICES
+
+
+def test_an_ontology_is_small_for_spark(spark, capsys):
+    from evigraph.plans import star
+
+    n, r = graph(spark)
+    V.violations(M.typed_triples(r, M.typed_aliases(M.merged_nodes(n).aliases, n)), n, star.ONTOLOGY.signatures_df(spark)).explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+
+
 def test_evidence_of_a_group_that_is_a_field(spark):
     items = spark.createDataFrame([("s", i, "d", q) for i, q in enumerate("abca")], "source_file string, at long, document_id string, quote string").selectExpr("*", "cast(null as string) page", "cast(null as string) chunk_id")
     assert [(x.place, x.quote) for x in E.numbered(items, "source_file", "at").select("place", "quote").orderBy("place").collect()] == [(0, "a"), (1, "b"), (2, "c")]
