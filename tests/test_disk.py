@@ -104,3 +104,19 @@ def test_an_ontology_is_small_for_spark(spark, capsys):
 def test_evidence_of_a_group_that_is_a_field(spark):
     items = spark.createDataFrame([("s", i, "d", q) for i, q in enumerate("abca")], "source_file string, at long, document_id string, quote string").selectExpr("*", "cast(null as string) page", "cast(null as string) chunk_id")
     assert [(x.place, x.quote) for x in E.numbered(items, "source_file", "at").select("place", "quote").orderBy("place").collect()] == [(0, "a"), (1, "b"), (2, "c")]
+
+
+@pytest.mark.parametrize("sieve", [1 << 19, 2])
+def test_phrases_in_one_text_or_in_all(spark, monkeypatch, sieve):
+    from evigraph.operators import contains
+
+    monkeypatch.setattr(contains, "SIEVE", sieve)
+    r = random.Random(4)
+    texts = [" ".join(r.choice(("the", "thesis", "aa", "a", "other", "bother", "x1", "longerword")) for _ in range(r.randrange(1, 12))) for _ in range(40)]
+    cut = [(t, a, r.randrange(4, 25)) for t in texts for a in (r.randrange(len(t)), 0)]
+    phrases = sorted({t[a : a + n] for t, a, n in cut if len(t[a : a + n].strip()) >= 4} | {"the other bothers", "aa zz aa", "zzzz", "esis a the"})
+    want = {(p, i) for p in phrases for i, t in enumerate(texts) if p in t}
+    rows = spark.createDataFrame([(p,) for p in phrases], "phrase string"), spark.createDataFrame(list(enumerate(texts)), "text_id long, body string")
+    assert {(x.phrase, x.text_id) for x in contains.containing(*rows).collect()} == want
+    some = [(x.phrase, x.text_id) for x in contains.containing(*rows, one=True).collect()]
+    assert set(some) <= want and {p for p, _ in some} == {p for p, _ in want} and len(some) < len(want)
